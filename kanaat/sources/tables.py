@@ -9,8 +9,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+# A table read in fewer pieces than this is small: moving it once costs little.
+FEW_PIECES = 16
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly per-row work on a table that is read in fewer pieces than there are
-    cores (one row group, for example). Large tables are read in many pieces and stay untouched."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Use more cores for costly per-row work on a small table that is read in a few pieces (one row
+    group, for example). Tables read in many pieces stay as they are."""
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, FEW_PIECES)
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
