@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kanaat.functions.fixed_values import MIN_WORDS
 
-SPACE = r"\x09-\x0D\x1C-\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+SPACE = r"\p{IsWhite_Space}\x1C-\x1F"
 DROPPED = rf"\p{{Nd}}+|[^\p{{L}}\p{{N}}_{SPACE}]+"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 

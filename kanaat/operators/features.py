@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kanaat.functions import text as T
+from kanaat.session import durable, fits
 
 # Largest vocabulary of one category; bounds what is broadcast and what a driver holds.
 MOST_TERMS = 100_000
@@ -25,6 +26,12 @@ def with_words(df: DataFrame, text: str, stop_words: list[str], bigrams: bool) -
     return kept.withColumn("words", words).drop("_tokens", "_kept")
 
 
+def each_word() -> Column:
+    """Explode ``words``. Over a bare column Catalyst would add a size filter, push it below, and so
+    tokenise every text twice; over an expression it does not."""
+    return F.explode(F.transform("words", lambda w: w))
+
+
 def term_counts(docs: DataFrame, groups: list[str]) -> DataFrame:
     """Corpus frequency and document frequency per term. Each row emits its words for the one and its
     distinct words for the other, so counts combine before the only shuffle."""
@@ -54,11 +61,16 @@ def vocabulary(docs: DataFrame, groups: list[str], size: int) -> DataFrame:
     )
 
 
+def fit_vocabulary(docs: DataFrame, groups: list[str], size: int) -> DataFrame:
+    """The vocabulary as a stored table, so that scoring does not count the training texts again."""
+    return durable(vocabulary(docs, groups, size))
+
+
 def weights(docs: DataFrame, vocab: DataFrame, groups: list[str], identity: str = "comment_id") -> DataFrame:
     """(id, group, term, tf, weight). Words outside the vocabulary drop out before the one shuffle, which
     moves a list of small integers per text; counting and scaling then stay in place."""
     known = F.broadcast(vocab.select(*groups, "term", "term_index", "idf"))
-    hits = docs.select(identity, *groups, F.explode("words").alias("term")).join(known, [*groups, "term"])
+    hits = docs.select(identity, *groups, each_word().alias("term")).join(known, [*groups, "term"])
     lists = hits.groupBy(identity, *groups).agg(F.collect_list("term_index").alias("_hits"))
     counts = lists.select(identity, *groups, F.explode("_hits").alias("term_index")).groupBy(
         identity, *groups, "term_index"
@@ -91,8 +103,6 @@ def class_term_weights(weighted: DataFrame, classes: DataFrame, groups: list[str
 def lexicon_polarity(comments: DataFrame, lexicon: DataFrame, most_words: int = 1_000_000) -> DataFrame:
     """Mean score of the lexicon words in each comment, 0 without any. The lexicon (word, score) is
     broadcast up to ``most_words`` rows and joined by shuffle beyond."""
-    from kanaat.session import fits
-
     side = F.broadcast(lexicon) if fits(lexicon, most_words) else lexicon
     words = comments.select("comment_id", F.explode(T.tokens(F.col("text"))).alias("word"))
     scored = words.join(side, "word").groupBy("comment_id").agg(F.avg("score").alias("polarity"))

@@ -89,14 +89,13 @@ weighted AS (SELECT comment_id, category, term, tf,
 
 @query(
     "tfidf_weights",
-    f"""WITH {TOKENS}, {PAIRS.replace('comment_id, lang', "comment_id, 'all' AS category")},
+    f"""WITH {TOKENS}, {PAIRS.replace('comment_id, lang', 'comment_id, lang AS category')},
 {TFIDF} SELECT comment_id, category, term, tf::BIGINT AS tf, round(weight, 6) AS weight FROM weighted""",
 )
 def tfidf_weights(spark, folder):
-    worded = features.with_words(
-        spread(comments(spark, folder)).withColumn("category", F.lit("all")), "text", STOP, bigrams=True
-    )
-    vocab = features.vocabulary(worded, ["category"], 300)
+    rows = spread(comments(spark, folder)).withColumnRenamed("lang", "category")
+    worded = features.with_words(rows, "text", STOP, bigrams=True)
+    vocab = features.fit_vocabulary(worded, ["category"], 300)
     return features.weights(worded, vocab, ["category"]).select(
         "comment_id", "category", "term", "tf", F.round("weight", 6).alias("weight")
     )
@@ -123,7 +122,7 @@ SELECT category, comment_id, count(*)::BIGINT AS terms, round(sum(weight), 5) AS
 )
 def tfidf_by_category(spark, folder):
     worded = _labelled_words(spark, folder)
-    weighted = features.weights(worded, features.vocabulary(worded, ["category"], 300), ["category"])
+    weighted = features.weights(worded, features.fit_vocabulary(worded, ["category"], 300), ["category"])
     return weighted.groupBy("category", "comment_id").agg(
         F.count(F.lit(1)).alias("terms"),
         F.round(F.sum("weight"), 5).alias("total"),
@@ -144,7 +143,7 @@ def multinomial_term_weights(spark, folder):
     from pyspark.sql import Window
 
     worded = _labelled_words(spark, folder)
-    weighted = features.weights(worded, features.vocabulary(worded, ["category"], 300), ["category"])
+    weighted = features.weights(worded, features.fit_vocabulary(worded, ["category"], 300), ["category"])
     classes = worded.select("comment_id", "category", "label")
     sums = features.class_term_weights(weighted, classes, ["category"])
     total = F.sum("weight").over(Window.partitionBy("category", "label"))
