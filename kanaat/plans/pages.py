@@ -175,5 +175,5 @@ def seen_links_removed(spark, folder):
     found = _pages(spark, folder).select(F.explode(hrefs).alias("href")).groupBy("href").agg(F.count(F.lit(1)).alias("n"))
     seen = table(spark, folder, "documents").select(
         F.concat(F.lit("/"), F.split_part("text", F.lit(" "), F.lit(1))).alias("href")
-    )
+    ).distinct()
     return found.join(seen, "href", "left_anti")
