@@ -119,7 +119,13 @@ def prepare(labelled: DataFrame, profile: Profile) -> Prepared:
         balanced.select("id", F.col("label").cast("double").alias("label"), array_to_vector("vector").alias("features"))
     )
     test = vectors.where("is_test").select("id", F.col("label").cast("double").alias("label"), "features")
-    return Prepared(vectorizer, train, durable(test), train.count(), done)
+    rows = train.count()
+    return Prepared(vectorizer, _in_pieces(train, rows), _in_pieces(durable(test), rows), rows, done)
+
+
+def _in_pieces(df: DataFrame, rows: int, rows_per_piece: int = 20_000) -> DataFrame:
+    """Iterative fits run one job per step; a small table should not cost many tasks each time."""
+    return df.coalesce(max(1, -(-rows // rows_per_piece)))
 
 
 def search(name: str, base: dict, grid: list[dict], data: Prepared, folds: int) -> tuple[dict, list[float]]:
@@ -141,7 +147,7 @@ def search(name: str, base: dict, grid: list[dict], data: Prepared, folds: int)
         estimator=made, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, foldCol="_fold", parallelism=2
     ).fit(folded)
     best = max(range(len(grid)), key=lambda i: (fitted.avgMetrics[i], -i))
-    return {**base, **grid[best]}, list(fitted.avgMetrics)
+    return {**base, **grid[best]}, [float(a) for a in fitted.avgMetrics]
 
 
 def _accuracy(model: CategoryModel, vectors: DataFrame) -> float:

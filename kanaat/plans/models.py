@@ -18,7 +18,7 @@ from kanaat.sources.tables import spread
 
 # Fewer rounds and trees than in a full training, so that all learners fit in a trial run.
 TRIAL = {"gb": {"maxIter": 10, "maxDepth": 3}, "ada": {"rounds": 8}, "rf": {"numTrees": 20, "maxDepth": 8},
-         "et": {"numTrees": 20, "maxDepth": 8}, "bagging": {"numTrees": 10, "maxDepth": 8}, "dt": {"maxDepth": 8}}
+         "et": {"numTrees": 20, "maxDepth": 8}, "bagging": {"numTrees": 10, "maxDepth": 8}, "dt": {"maxDepth": 8}, "svm": {"C": 1.0, "maxIter": 20}}
 ELEVEN = replace(training.ELEVEN, members={**training.ELEVEN.members, **TRIAL}, terms=300)
 SEVEN = replace(
     training.SEVEN,
