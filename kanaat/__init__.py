@@ -1 +1,8 @@
 """Spark-native analysis of short user-written texts (reviews, complaints, forum entries)."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks travel with them, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

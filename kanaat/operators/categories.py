@@ -19,7 +19,7 @@ SCHEMA = T.StructType([T.StructField("category", T.StringType()), T.StructField(
 def keywords(description: Column) -> Column:
     """Trimmed keywords listed behind the mark; none if the description lists none."""
     listed = F.trim(F.regexp_replace(F.substring_index(description, KEYWORD_MARK, -1), r"\s+", " "))
-    words = F.filter(F.transform(F.split(listed, ","), F.trim), lambda w: F.length(w) > 0)
+    words = F.filter(F.transform(F.split(listed, ","), lambda w: F.trim(w)), lambda w: F.length(w) > 0)
     return F.when(F.contains(description, F.lit(KEYWORD_MARK)), words).otherwise(F.array().cast("array<string>"))
 
 

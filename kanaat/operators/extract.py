@@ -71,6 +71,8 @@ def _read_links(html: str, selectors: list[str], market: str, frames):
                 if found:
                     break
             rows += [(i, n, h) for n, h in enumerate(found)]
+        if not rows:
+            continue
         picked = pdf.drop(columns=[html]).iloc[[r[0] for r in rows]]
         yield picked.assign(_pos=[r[1] for r in rows], href=[r[2] for r in rows])
 
@@ -112,6 +114,8 @@ def _read_cards(html: str, card, text_selectors, date_selectors, frames):
             for n, element in enumerate(read.select(card)):
                 owner.append(i)
                 rows.append((n, _first_text(read, text_selectors, element), _first_text(read, date_selectors, element)))
+        if not rows:
+            continue
         yield pdf.drop(columns=[html]).iloc[owner].assign(
             _pos=[r[0] for r in rows],
             _text=pd.Series([r[1] for r in rows], dtype=object).to_numpy(),

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kanaat.functions.fixed_values import NEIGHBOURS, SEED
-from kanaat.operators import neighbours
+from kanaat.operators.neighbours import BROADCAST_ROWS, knn_classify, matrix_of, nearest
 from kanaat.operators.ranking import hash_rank
 from kanaat.session import durable, fits
 
@@ -92,27 +92,27 @@ class Neighbours:
     name: str
     base: DataFrame
     k: int = NEIGHBOURS
-    most_rows: int = neighbours.BROADCAST_ROWS
+    most_rows: int = BROADCAST_ROWS
 
     def score(self, df: DataFrame) -> DataFrame:
         if not fits(self.base, self.most_rows):
             queries = df.select(
                 F.col("id"), F.lit(0).alias("grp"), vector_to_array("features").alias("vector")
             )
-            votes = neighbours.knn_classify(queries, self.base.withColumn("grp", F.lit(0)), self.k)
+            votes = knn_classify(queries, self.base.withColumn("grp", F.lit(0)), self.k)
             return df.join(
                 votes.select(F.col("query_id").alias("id"), F.col("p1").alias(f"p_{self.name}")), "id", "left"
             )
         held = self.base.orderBy("id").toPandas()
         ids, labels, k = held["id"].to_numpy(), held["label"].to_numpy().astype(float), self.k
-        matrix = neighbours._matrix(held["vector"])
+        matrix = matrix_of(held["vector"])
         by_id = dict(zip(ids.tolist(), labels.tolist()))
 
         @F.pandas_udf("double")
         def share(vectors: pd.Series) -> pd.Series:
             if vectors.empty:
                 return pd.Series(dtype="float64")
-            found = neighbours.nearest(range(len(vectors)), neighbours._matrix(vectors), ids, matrix, k, False)
+            found = nearest(range(len(vectors)), matrix_of(vectors), ids, matrix, k, False)
             voted = found["neighbour_id"].map(by_id).groupby(found["query_id"].to_numpy()).mean()
             return pd.Series(voted.reindex(range(len(vectors))).to_numpy())
 

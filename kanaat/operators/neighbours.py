@@ -25,7 +25,7 @@ MOST_GROUPS = 1000
 FOUND = "query_id long, neighbour_id long, distance2 double"
 
 
-def _matrix(vectors) -> np.ndarray:
+def matrix_of(vectors) -> np.ndarray:
     return np.vstack([np.asarray(v, dtype=np.float64) for v in vectors])
 
 
@@ -61,7 +61,7 @@ def _against(held: dict, k: int, skip_self: bool, frames):
         for group, part in pdf.groupby("grp"):
             if group in held:
                 ids, matrix = held[group]
-                yield nearest(part["id"].to_numpy(), _matrix(part["vector"]), ids, matrix, k, skip_self)
+                yield nearest(part["id"].to_numpy(), matrix_of(part["vector"]), ids, matrix, k, skip_self)
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -82,7 +82,7 @@ def knn_join(
     (query_id, neighbour_id, distance2, rank). Query ids are unique."""
     queries, base = queries.select("id", "grp", "vector"), base.select("id", "grp", "vector")
     if fits(base, broadcast_rows):
-        held = {g: (p["id"].to_numpy(), _matrix(p["vector"])) for g, p in base.toPandas().groupby("grp")}
+        held = {g: (p["id"].to_numpy(), matrix_of(p["vector"])) for g, p in base.toPandas().groupby("grp")}
         found = queries.mapInPandas(partial(_against, held, k, skip_self), FOUND)
         return found.withColumn(
             "rank", F.row_number().over(Window.partitionBy("query_id").orderBy("distance2", "neighbour_id"))
@@ -92,7 +92,7 @@ def knn_join(
 
 def _assign(centres: np.ndarray, frames):
     for pdf in frames:
-        away = np.sqrt(_squared(_matrix(pdf["vector"]), centres))
+        away = np.sqrt(_squared(matrix_of(pdf["vector"]), centres))
         cell = away.argmin(1)
         yield pdf.assign(cell=cell.astype("int32"), away=away[np.arange(len(cell)), cell])
 
@@ -101,7 +101,7 @@ def _visits(centres: np.ndarray, cells: dict, k: int, frames):
     """Cells a query has to look into. ``cells`` holds per group: cell numbers, radius of each and the
     smallest distances to the pivot in each."""
     for pdf in frames:
-        away = np.sqrt(_squared(_matrix(pdf["vector"]), centres))
+        away = np.sqrt(_squared(matrix_of(pdf["vector"]), centres))
         rows, into = [], []
         for i, group in enumerate(pdf["grp"]):
             if group not in cells:
@@ -112,25 +112,24 @@ def _visits(centres: np.ndarray, cells: dict, k: int, frames):
             open_cells = numbers[away[i][numbers] - radius <= bound * (1 + 1e-9) + 1e-9]
             rows += [i] * len(open_cells)
             into.append(open_cells)
-        visits = pdf.iloc[rows].copy()
-        visits["cell"] = np.concatenate(into).astype("int32") if into else np.array([], dtype="int32")
-        yield visits
+        if rows:
+            yield pdf.iloc[rows].assign(cell=np.concatenate(into).astype("int32"))
 
 
 def _chunk(k: int, skip_self: bool, key, queries: pd.DataFrame, base: pd.DataFrame) -> pd.DataFrame:
     if queries.empty or base.empty:
         return nearest([], np.zeros((0, 1)), np.array([], dtype="int64"), np.zeros((1, 1)), k, skip_self)
-    base_ids, matrix = base["id"].to_numpy(), _matrix(base["vector"])
+    base_ids, matrix = base["id"].to_numpy(), matrix_of(base["vector"])
     steps = [queries.iloc[s : s + 1024] for s in range(0, len(queries), 1024)]
     return pd.concat(
-        [nearest(q["id"].to_numpy(), _matrix(q["vector"]), base_ids, matrix, k, skip_self) for q in steps],
+        [nearest(q["id"].to_numpy(), matrix_of(q["vector"]), base_ids, matrix, k, skip_self) for q in steps],
         ignore_index=True,
     )
 
 
 def _by_cells(queries, base, k, skip_self, chunk_rows, pivots) -> DataFrame:
     keyed = base.withColumn("_key", shuffle_key(F.col("id"), SEED))
-    centres = _matrix([r.vector for r in keyed.orderBy("_key", "id").limit(pivots).select("vector").collect()])
+    centres = matrix_of([r.vector for r in keyed.orderBy("_key", "id").limit(pivots).select("vector").collect()])
     typed = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in base.schema.fields)
     placed = base.mapInPandas(partial(_assign, centres), f"{typed}, cell int, away double")
     wanted = k + 1 if skip_self else k
