@@ -30,6 +30,12 @@ def not_blank(text: Column) -> Column:
     return F.coalesce(text.rlike(f"[^{SPACE}]"), F.lit(False))
 
 
+def has_content(text: Column) -> Column:
+    """True when cleaning leaves something: a letter, an underscore or a number that is no digit. Tells
+    so at the first such character, without cleaning the text."""
+    return F.coalesce(text.rlike(r"[\p{L}\p{Nl}\p{No}_]"), F.lit(False))
+
+
 def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(f"[^{SPACE}]+"))
 

@@ -33,16 +33,17 @@ def each_word() -> Column:
 
 
 def term_counts(docs: DataFrame, groups: list[str]) -> DataFrame:
-    """Corpus frequency and document frequency per term. Each row emits its words for the one and its
-    distinct words for the other, so counts combine before the only shuffle."""
-    both = F.concat(
-        F.transform("words", lambda w: F.struct(w.alias("term"), F.lit(1).alias("c"), F.lit(0).alias("d"))),
-        F.transform(
-            F.array_distinct("words"), lambda w: F.struct(w.alias("term"), F.lit(0).alias("c"), F.lit(1).alias("d"))
-        ),
+    """Corpus frequency and document frequency per term. The words of a text are sorted in the row, so
+    the first of equal neighbours counts for the document; one shuffle of combined counts follows."""
+    sorted_words = docs.select(*groups, F.sort_array("words").alias("w"))
+    before = F.concat(F.array(F.lit(None).cast("string")), "w")
+    flagged = F.zip_with(
+        "w",
+        F.slice(before, F.lit(1), F.size("w")),
+        lambda a, b: F.struct(a.alias("term"), F.when(a.eqNullSafe(b), 0).otherwise(1).alias("first")),
     )
-    return docs.select(*groups, F.explode(both).alias("w")).groupBy(*groups, F.col("w.term").alias("term")).agg(
-        F.sum("w.c").alias("ctf"), F.sum("w.d").alias("df")
+    return sorted_words.select(*groups, F.explode(flagged).alias("e")).groupBy(*groups, F.col("e.term").alias("term")).agg(
+        F.count(F.lit(1)).alias("ctf"), F.sum("e.first").alias("df")
     )
 
 

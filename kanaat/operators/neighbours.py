@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from kanaat.functions.fixed_values import NEIGHBOURS, SEED
 from kanaat.functions.keys import shuffle_key
-from kanaat.session import fits
+from kanaat.session import durable, fits, small_side
 
 BROADCAST_ROWS = 4096
 CHUNK_ROWS = 4096
@@ -131,7 +131,7 @@ def _by_cells(queries, base, k, skip_self, chunk_rows, pivots) -> DataFrame:
     keyed = base.withColumn("_key", shuffle_key(F.col("id"), SEED))
     centres = matrix_of([r.vector for r in keyed.orderBy("_key", "id").limit(pivots).select("vector").collect()])
     typed = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in base.schema.fields)
-    placed = base.mapInPandas(partial(_assign, centres), f"{typed}, cell int, away double")
+    placed = durable(base.mapInPandas(partial(_assign, centres), f"{typed}, cell int, away double"))
     wanted = k + 1 if skip_self else k
     rank = F.row_number().over(Window.partitionBy("grp", "cell").orderBy("away"))
     sizes = placed.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("rows"), F.max("away").alias("radius"))
@@ -175,6 +175,7 @@ def knn_classify(queries: DataFrame, base: DataFrame, k: int = NEIGHBOURS, skip_
     """Share of label 1 among the k nearest base rows (base carries ``label``)."""
     found = knn_join(queries, base, k, skip_self)
     labels = base.select(F.col("id").alias("neighbour_id"), "label")
-    return found.join(labels, "neighbour_id").groupBy("query_id").agg(
+    # A point may be neighbour to very many others, so the labels are sent around if they are few.
+    return found.join(small_side(labels), "neighbour_id").groupBy("query_id").agg(
         F.avg(F.col("label").cast("double")).alias("p1")
     )

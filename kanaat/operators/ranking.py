@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from kanaat.functions.fixed_values import SEED
 from kanaat.functions.keys import shuffle_key
+from kanaat.session import small_side
 
 HASH_DIGITS = 4
 MOST_BUCKETS = 1024
@@ -120,7 +121,7 @@ def first_placed(placed: DataFrame, groups: list[str], order: list[str], limit:
     )
     within = Window.partitionBy(*groups, "_bucket").orderBy(*order)
     return (
-        placed.join(wanted, [*groups, "_bucket"])
+        placed.join(small_side(wanted), [*groups, "_bucket"])
         .withColumn("rank", F.row_number().over(within) + F.col("_before"))
         .where(F.col("rank") <= F.col("_limit"))
         .drop("_before", "_limit")
@@ -147,7 +148,7 @@ def split_by_hash(
     cut = _bucket_counts(placed, groups).where(
         (F.col("_before") <= limit) & (limit < F.col("_before") + F.col("_n"))
     ).select(*groups, F.col("_bucket").alias("_cut"), (limit - F.col("_before")).alias("_more"))
-    judged = placed.join(cut, groups, "left")
+    judged = placed.join(small_side(cut), groups, "left")
     plain = judged.where(F.col("_cut").isNull() | (F.col("_bucket") != F.col("_cut"))).select(
         *df.columns, F.coalesce(F.col("_bucket") < F.col("_cut"), F.lit(True)).alias(name)
     )

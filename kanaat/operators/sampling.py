@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kanaat.functions.fixed_values import CLASS_CAP, SEED
 from kanaat.functions.keys import shuffle_key
 from kanaat.operators import ranking
+from kanaat.session import small_side
 
 CLASS = ["category", "label"]
 
@@ -47,7 +48,7 @@ def examined_rows(
     )
     complete = (F.col("found_positive") >= target_positive) & (F.col("found_negative") >= target_negative)
     found = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("found_positive", "found_negative")]
-    walked = labelled.join(stops, "category", "left").select("category", place.alias("_place"), "_stop", *found)
+    walked = labelled.join(small_side(stops), "category", "left").select("category", place.alias("_place"), "_stop", *found)
     return walked.groupBy("category").agg(
         F.first("found_positive").alias("found_positive"),
         F.first("found_negative").alias("found_negative"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kanaat.functions.fixed_values import SILENT_SECONDS, STAGNANT_CHECKS
 from kanaat.operators import ranking
+from kanaat.session import small_side
 
 
 def until_first_failure(pages: DataFrame, topic: str, page: str, failed: Column) -> DataFrame:
@@ -14,7 +15,7 @@ def until_first_failure(pages: DataFrame, topic: str, page: str, failed: Column)
     so a topic with very many pages needs no single task."""
     marked = pages.withColumn("_failed", failed)
     ends = marked.where("_failed").groupBy(topic).agg(F.min(page).alias("_end"))
-    return marked.join(ends, topic, "left").where(
+    return marked.join(small_side(ends), topic, "left").where(
         F.col("_end").isNull() | (F.col(page) < F.col("_end"))
     ).drop("_end", "_failed")
 

@@ -17,7 +17,9 @@ from kanaat.functions import fixed_values as V
 from kanaat.functions import text as T
 from kanaat.operators import balance, features, learners, metrics, sampling, tables
 from kanaat.operators.ensemble import vote
-from kanaat.session import durable
+from kanaat.session import durable, shared_path
+from kanaat.sources.sinks import write_labels
+from kanaat.sources.tables import spread
 
 
 @dataclass(frozen=True)
@@ -90,8 +92,23 @@ class CategoryModel:
 
 def worded(rows: DataFrame, profile: Profile) -> DataFrame:
     """(comment_id, text, ..) with the profile's words; texts left blank by cleaning drop out."""
-    ready = rows.withColumn("text", T.clean_text(F.col("text"))) if profile.cleaned else rows
-    return features.with_words(tables.with_text(ready), "text", list(profile.stop_words), profile.bigrams)
+    keep = T.has_content(F.col("text")) if profile.cleaned else T.not_blank(F.col("text"))
+    return _with_profile_words(rows.where(keep), profile)
+
+
+def _with_profile_words(rows: DataFrame, profile: Profile) -> DataFrame:
+    ready = rows.withColumn("_ready", T.clean_text(F.col("text")) if profile.cleaned else F.col("text"))
+    return features.with_words(ready, "_ready", list(profile.stop_words), profile.bigrams).drop("_ready")
+
+
+def staged(labelled: DataFrame, profile: Profile) -> DataFrame:
+    """Labelled texts cut into words once and kept by category, so that training a category reads only
+    its own rows."""
+    spark = labelled.sparkSession
+    path = shared_path(spark, "words")
+    rows = worded(labelled, profile).select("comment_id", "category", "label", "words")
+    write_labels(rows, path, append=False)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 @dataclass
@@ -103,11 +120,14 @@ class Prepared:
     balanced: bool
 
 
-def prepare(labelled: DataFrame, profile: Profile) -> Prepared:
-    """Split, fit the vocabulary on the training part only, vectorise, balance. One category."""
-    parted = sampling.stratified_split(worded(labelled, profile), profile.test_fraction)
+def prepare(rows: DataFrame, profile: Profile) -> Prepared:
+    """Split, fit the vocabulary on the training part only, vectorise, balance: one category's rows,
+    as staged or as (comment_id, category, label, text)."""
+    if "words" not in rows.columns:
+        rows = staged(rows, profile)
+    parted = sampling.stratified_split(spread(rows), profile.test_fraction)
     parted = durable(parted.select("category", F.col("comment_id").alias("id"), "label", "words", "is_test"))
-    spark = labelled.sparkSession
+    spark = rows.sparkSession
     vocab = features.vocabulary(parted.where(~F.col("is_test")), ["category"], profile.terms)
     vectorizer = features.vectorizer(spark, vocab)
     vectors = vectorizer.transform(parted).drop("_counts", "_scaled")
@@ -211,11 +231,14 @@ def train_all(
     if profile.cap is not None:
         marked = sampling.capped_class_sample(labelled, profile.cap)
         labelled = marked.where("in_sample").drop("in_sample")
-    names = [r.category for r in labelled.select("category").distinct().limit(most_categories).collect()]
+    rows = staged(labelled, profile)
+    names = [r.category for r in rows.select("category").distinct().limit(most_categories + 1).collect()]
+    if len(names) > most_categories:
+        raise ValueError(f"more than {most_categories} categories")
     models, reports, failed = [], [], {}
     for name in sorted(names):
         try:
-            model, made = train_category(name, labelled.where(F.col("category") == name), profile, tune)
+            model, made = train_category(name, rows.where(F.col("category") == name), profile, tune)
             models.append(model)
             reports.append(made)
         except Exception as reason:
@@ -231,19 +254,22 @@ def predict_wide(comments: DataFrame, models: list[CategoryModel]) -> DataFrame:
     """One 0/1 column per category on every comment, in a single pass over the texts. A model that
     cannot be applied leaves zeros."""
     given, out = comments.columns, comments.withColumn("id", F.col("comment_id"))
-    names = []
+    cut, names = {}, []
+    for model in models:
+        way = (model.profile.cleaned, model.profile.bigrams, model.profile.stop_words)
+        if way not in cut:  # texts are cut into words once for all models that want them alike
+            cut[way] = f"_words{len(cut)}"
+            out = _with_profile_words(out, model.profile).withColumnRenamed("words", cut[way])
     for model in models:
+        words = cut[(model.profile.cleaned, model.profile.bigrams, model.profile.stop_words)]
         names.append(model.category)
         try:
-            ready = T.clean_text(F.col("text")) if model.profile.cleaned else F.col("text")
-            words = features.with_words(
-                out.withColumn("_ready", ready), "_ready", list(model.profile.stop_words), model.profile.bigrams
-            )
-            out = model.score(words).withColumn(model.category, F.col("predicted"))
+            judged = model.score(out.withColumn("words", F.col(words)))
+            out = judged.withColumn(model.category, F.col("predicted"))
         except Exception:
             out = out.withColumn(model.category, F.lit(0))
-        out = out.select(*given, "id", *names)
-    return out.drop("id")
+        out = out.select(*given, "id", *cut.values(), *names)
+    return out.drop("id", *cut.values())
 
 
 def predict_long(labelled: DataFrame, models: list[CategoryModel]) -> DataFrame:

@@ -14,6 +14,7 @@ from kanaat.plans.inputs import comments, labelled_comments
 from kanaat.plans.registry import query
 from kanaat.session import shared_path
 from kanaat.sources.models import load_models, save_models
+from kanaat.sources.sinks import write_report
 from kanaat.sources.tables import spread
 
 # Fewer rounds and trees than in a full training, so that all learners fit in a trial run.
@@ -86,7 +87,10 @@ def predicted_categories(spark, folder):
     place = shared_path(spark, "models")
     save_models(spark, models, place)
     loaded = load_models(spark, place)
-    wide = training.predict_wide(spread(comments(spark, folder)).select("comment_id", "text"), loaded)
+    # Predictions are a table of their own, as in any run that keeps them; sentiment starts from it.
+    path = f"{place}/predictions"
+    write_report(training.predict_wide(spread(comments(spark, folder)).select("comment_id", "text"), loaded), path)
+    wide = spark.read.parquet(path)
     names = [m.category for m in loaded]
     return score_category_hits(wide, names, _length_logits).select(
         "comment_id", *names, F.round("polarity", 6).alias("polarity"), "sentiment"

@@ -23,7 +23,7 @@ FROM labelled JOIN cleaned USING (comment_id) GROUP BY category""",
 )
 def positive_share_of_cleaned(spark, folder):
     usable = spread(comments(spark, folder)).where(
-        text.has_words(F.col("text")) & (text.clean_text(F.col("text")) != "")
+        text.has_words(F.col("text")) & text.has_content(F.col("text"))
     )
     return tables.positive_share(labelled(spark, folder).join(usable.select("comment_id"), "comment_id"))
 
@@ -34,8 +34,8 @@ def positive_share_of_cleaned(spark, folder):
 WHERE {sql_clean("coalesce(text, '')")} <> ''""",
 )
 def clean_text(spark, folder):
-    cleaned = spread(comments(spark, folder)).select("comment_id", text.clean_text(F.col("text")).alias("cleaned"))
-    return cleaned.where(F.length("cleaned") > 0)
+    rows = spread(comments(spark, folder)).where(text.has_content(F.col("text")))
+    return rows.select("comment_id", text.clean_text(F.col("text")).alias("cleaned"))
 
 
 @query(

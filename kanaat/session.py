@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings that hold on a cluster as well as on one machine. Skewed join partitions are split at run
 # time, small sides are broadcast only after their measured size is known.
@@ -64,3 +65,17 @@ def durable(df: DataFrame) -> DataFrame:
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Whether the table holds at most ``max_rows`` rows; never reads more than one row beyond."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+# Rows a derived table may have to be sent to every task.
+SIDE_ROWS = 10_000
+
+
+def small_side(df: DataFrame, most_rows: int = SIDE_ROWS) -> DataFrame:
+    """A join side known to be small once it is computed: sent to every task if it has at most
+    ``most_rows`` rows, so that the large side is neither shuffled nor gathered by its few keys. A
+    larger one is joined by shuffle, where hot partitions are split at run time."""
+    rows = df.limit(most_rows + 1).collect()
+    if len(rows) > most_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
