@@ -16,6 +16,9 @@ from kanaat.session import durable, fits
 
 # Largest vocabulary of one category; bounds what is broadcast and what a driver holds.
 MOST_TERMS = 100_000
+# Up to this rank Spark cuts each task's rows before the window's shuffle by itself.
+RANKED_IN_TASK = 1000
+SHARES = 256
 
 
 def with_words(df: DataFrame, text: str, stop_words: list[str], bigrams: bool) -> DataFrame:
@@ -48,13 +51,15 @@ def term_counts(docs: DataFrame, groups: list[str]) -> DataFrame:
 
 
 def vocabulary(docs: DataFrame, groups: list[str], size: int) -> DataFrame:
-    """The ``size`` most frequent terms per group with document frequency, index and idf. The rank
-    filter is applied within each task first, so a group's whole term list is never sorted at once."""
+    """The ``size`` most frequent terms per group with document frequency, index and idf. The best of
+    each share of the terms are taken first, so a group's whole term list is never sorted at once."""
     if size > MOST_TERMS:
         raise ValueError(f"vocabulary of {size} terms")
     totals = docs.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
-    by_count = Window.partitionBy(*groups).orderBy(F.desc("ctf"), "term")
-    top = term_counts(docs, groups).withColumn("_r", F.row_number().over(by_count)).where(F.col("_r") <= size)
+    counts = term_counts(docs, groups)
+    if size > RANKED_IN_TASK:
+        counts = _top(counts.withColumn("_share", F.pmod(F.xxhash64("term"), F.lit(SHARES))), [*groups, "_share"], size)
+    top = _top(counts, groups, size)
     by_term = Window.partitionBy(*groups).orderBy("term")
     idf = F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + 1.0
     return top.join(totals, groups).select(
@@ -62,6 +67,11 @@ def vocabulary(docs: DataFrame, groups: list[str], size: int) -> DataFrame:
     )
 
 
+def _top(counts: DataFrame, groups: list[str], size: int) -> DataFrame:
+    by_count = Window.partitionBy(*groups).orderBy(F.desc("ctf"), "term")
+    return counts.withColumn("_r", F.row_number().over(by_count)).where(F.col("_r") <= size)
+
+
 def fit_vocabulary(docs: DataFrame, groups: list[str], size: int) -> DataFrame:
     """The vocabulary as a stored table, so that scoring does not count the training texts again."""
     return durable(vocabulary(docs, groups, size))

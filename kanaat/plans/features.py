@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kanaat.functions import labels
 from kanaat.functions.fixed_values import STOP_WORDS_LONG, STOP_WORDS_SHORT
 from kanaat.operators import balance, features, neighbours
-from kanaat.plans.inputs import comments, labelled_comments
+from kanaat.plans.inputs import LABEL_COLUMNS, comments, labelled, labelled_comments
 from kanaat.plans.registry import LABELS, query, sql_clean
 from kanaat.sources.tables import spread, table
 
@@ -204,6 +204,34 @@ def sentiment_distribution(spark, folder):
     return distribution(scored.select(labels.sentiment_of_polarity(F.col("polarity")).alias("sentiment")))
 
 
+@query(
+    "prediction_report",
+    rf"""WITH lexicon(word, score) AS (VALUES {', '.join(f"('{w}', {s}::DOUBLE)" for w, s in LEXICON)}),
+words AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}')) AS word FROM documents),
+scored AS (SELECT doc_id, avg(score) AS p FROM words JOIN lexicon USING (word) GROUP BY doc_id)
+SELECT d.doc_id AS "Yorum_ID", d.lang AS "Tarih", d.text AS "Yorum", CASE WHEN coalesce(p, 0) > 0 THEN 'Pozitif'
+  WHEN coalesce(p, 0) < 0 THEN 'Negatif' ELSE 'Nötr' END AS "Duygu", round(coalesce(p, 0), 6) AS "Duygu_Polaritesi",
+  l.quality, l.toxic FROM labels l JOIN documents d USING (doc_id) LEFT JOIN scored USING (doc_id)
+WHERE l.quality = 1 OR l.toxic = 1""",
+)
+def prediction_report(spark, folder):
+    """Long predictions made wide, attached to their comments by id, with sentiment, positives only."""
+    from kanaat.operators.tables import any_category, prediction_indicators
+
+    lexicon = spark.createDataFrame(LEXICON, "word string, score double")
+    wide = prediction_indicators(labelled(spark, folder), "comment_id", LABEL_COLUMNS, value="label")
+    hits = wide.where(any_category(LABEL_COLUMNS)).join(spread(comments(spark, folder)), "comment_id")
+    scored = features.lexicon_polarity(hits, lexicon)
+    return scored.select(
+        F.col("comment_id").alias("Yorum_ID"),
+        F.col("lang").alias("Tarih"),
+        F.col("text").alias("Yorum"),
+        labels.sentiment_of_polarity(F.col("polarity")).alias("Duygu"),
+        F.round("polarity", 6).alias("Duygu_Polaritesi"),
+        *LABEL_COLUMNS,
+    )
+
+
 def _vectors(spark, folder):
     return table(spark, folder, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("label").alias("grp"), F.col("embedding").cast("array<double>").alias("vector")

@@ -10,7 +10,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from kanaat.functions.fixed_values import ACTIVE_SECONDS, DEDUP_PREFIX, SILENT_SECONDS
 from kanaat.functions.keys import prefix_key
-from kanaat.operators.sampling import remaining
 
 
 def read_feed(spark: SparkSession, path: str, schema, kind: str = "parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -73,21 +72,11 @@ def append_to(
 def label_feed(
     feed: DataFrame, label: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, keys: list[str]
 ) -> StreamingQuery:
-    """Label each batch and append it. Rows labelled before are skipped, and a batch that is repeated
-    after a failure overwrites its own folder."""
+    """Label what arrives and append it. Keys that came before are held back by the stream's own state;
+    a batch repeated after a failure overwrites its own folder, so a resumed run adds nothing twice."""
 
     def one_batch(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.dropDuplicates(keys)
-        if number > 0 and _exists(spark, path):
-            done = spark.read.parquet(path).where(F.col("batch") != number)
-            fresh = remaining(fresh, done, keys)
-        label(fresh).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        label(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    writer = feed.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(files)
+    writer = feed.dropDuplicates(keys).writeStream.foreachBatch(one_batch)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
