@@ -31,10 +31,10 @@ def weighted_metrics(scored: DataFrame, groups: list[str], truth: str = "label",
     )
     return counts.select(
         *groups,
-        F.round(accuracy, 6).alias("accuracy"),
-        F.round(precision, 6).alias("precision"),
-        F.round(accuracy, 6).alias("recall"),
-        F.round(f1, 6).alias("f1"),
+        accuracy.alias("accuracy"),
+        precision.alias("precision"),
+        accuracy.alias("recall"),
+        f1.alias("f1"),
     )
 
 
@@ -52,14 +52,14 @@ def model_summary(train: DataFrame, test: DataFrame, keys: list[str], max_gap: f
     """Train and test metrics of each model paired by key, with the overfit flag."""
     a = train.select(*keys, F.col("accuracy").alias("train_accuracy"), F.col("f1").alias("train_f1"))
     b = test.select(*keys, F.col("accuracy").alias("test_accuracy"), F.col("f1").alias("test_f1"))
-    gap = F.round(F.col("train_accuracy") - F.col("test_accuracy"), 6)
+    gap = F.col("train_accuracy") - F.col("test_accuracy")
     return a.join(b, keys).withColumns({"gap": gap, "overfit": (gap > max_gap).cast("int")})
 
 
 def overall_report(summary: DataFrame, max_gap: float = MAX_ACCURACY_GAP) -> DataFrame:
     means = summary.agg(
-        F.round(F.avg("train_accuracy"), 6).alias("mean_train"),
-        F.round(F.avg("test_accuracy"), 6).alias("mean_test"),
-        F.round(F.avg("train_accuracy") - F.avg("test_accuracy"), 6).alias("mean_gap"),
+        F.avg("train_accuracy").alias("mean_train"),
+        F.avg("test_accuracy").alias("mean_test"),
+        (F.avg("train_accuracy") - F.avg("test_accuracy")).alias("mean_gap"),
     )
     return means.withColumn("overfit", (F.col("mean_gap") > max_gap).cast("int"))

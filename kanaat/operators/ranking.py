@@ -3,7 +3,7 @@
 A window over (category, label) would put a whole class into one task. Here each group is cut into
 buckets that keep the order; only per-bucket totals are accumulated across the group, and rows are
 sorted within their own bucket. A random order is cut by the leading digits of its hash, a numeric
-one at approximate quantiles. Group columns must not be null.
+one at approximate quantiles. Group and order columns must not be null.
 """
 
 from __future__ import annotations
@@ -34,10 +34,8 @@ def with_order_bucket(df: DataFrame, order: str, rows_per_bucket: int = ROWS_PER
     shares = [i / MOST_BUCKETS for i in range(1, MOST_BUCKETS)]
     value = F.col(order).cast("double")
     rows, cuts = df.agg(F.count(F.lit(1)), F.percentile_approx(value, shares, F.lit(10_000))).first()
-    buckets = min(MOST_BUCKETS, -(-rows // rows_per_bucket))
-    if buckets < 2:
-        return df.withColumn("_bucket", F.lit(0))
-    inner = sorted({cuts[round(i * MOST_BUCKETS / buckets) - 1] for i in range(1, buckets)})
+    buckets = max(2, min(MOST_BUCKETS, -(-rows // rows_per_bucket)))
+    inner = sorted({cuts[round(i * MOST_BUCKETS / buckets) - 1] for i in range(1, buckets)}) if cuts else [0.0]
     splits = [float("-inf"), *inner, float("inf")]
     placed = Bucketizer(splits=splits, inputCol="_order", outputCol="_slot", handleInvalid="keep").transform(
         df.withColumn("_order", value)

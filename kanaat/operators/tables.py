@@ -103,7 +103,7 @@ def positive_share(labelled: DataFrame) -> DataFrame:
     return labelled.groupBy("category").agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("label") == 1).alias("positives"),
-        F.round(F.count_if(F.col("label") == 1) * 100.0 / F.count(F.lit(1)), 6).alias("share"),
+        (F.count_if(F.col("label") == 1) * F.lit(100.0) / F.count(F.lit(1))).alias("share"),
     )
 
 

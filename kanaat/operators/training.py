@@ -224,7 +224,7 @@ def report(model: CategoryModel, data: Prepared) -> DataFrame:
 def train_all(
     labelled: DataFrame, profile: Profile, tune: bool = True, most_categories: int = 1000
 ) -> tuple[list[CategoryModel], DataFrame | None, dict[str, str]]:
-    """Train every category of (comment_id, category, label, text); one that fails is left out and named.
+    """Train every category of (comment_id, category, label, text); one that fails is left out and named, one without any usable text has nothing to train and is skipped.
 
     With a cap, each class gives at most that many random rows to training; score the others with
     ``rows_to_score``."""

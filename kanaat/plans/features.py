@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kanaat.functions import labels
 from kanaat.functions.fixed_values import STOP_WORDS_LONG, STOP_WORDS_SHORT
 from kanaat.operators import balance, features, neighbours
-from kanaat.plans.inputs import LABEL_COLUMNS, comments, labelled, labelled_comments
+from kanaat.plans.inputs import LABEL_COLUMNS, comments, labelled, labelled_comments, rounded
 from kanaat.plans.registry import LABELS, query, sql_clean
 from kanaat.sources.tables import spread, table
 
@@ -201,7 +201,7 @@ def sentiment_distribution(spark, folder):
         hits.select(F.col("doc_id").alias("comment_id")), "comment_id", "left_semi"
     )
     scored = features.lexicon_polarity(rows, lexicon)
-    return distribution(scored.select(labels.sentiment_of_polarity(F.col("polarity")).alias("sentiment")))
+    return rounded(distribution(scored.select(labels.sentiment_of_polarity(F.col("polarity")).alias("sentiment"))))
 
 
 @query(

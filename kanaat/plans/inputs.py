@@ -11,6 +11,11 @@ from kanaat.sources.tables import spread, table
 LABEL_COLUMNS = ["quality", "toxic"]
 
 
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Results as they are compared: every double to the same number of digits."""
+    return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
 def comments(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select(F.col("doc_id").alias("comment_id"), "source", "lang", "text")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kanaat.functions.fixed_values import TEST, TRAIN
 from kanaat.operators import learners, metrics, training
 from kanaat.operators.sentiment import score_category_hits
-from kanaat.plans.inputs import comments, labelled_comments
+from kanaat.plans.inputs import comments, labelled_comments, rounded
 from kanaat.plans.registry import query
 from kanaat.session import shared_path
 from kanaat.sources.models import load_models, save_models
@@ -36,7 +36,7 @@ def _learner(name):
         data = training.prepare(_category(spark, folder, "quality"), ELEVEN)
         fitted = learners.fit(name, ELEVEN.members[name], data.train, data.rows)
         model = training.CategoryModel("quality", ELEVEN, data.vectorizer, [fitted])
-        return training.report(model, data).withColumn("model", F.lit(name))
+        return rounded(training.report(model, data).withColumn("model", F.lit(name)))
 
     return run
 
@@ -48,7 +48,7 @@ for _name in ELEVEN.members:
 @query("voted_ensemble")
 def voted_ensemble(spark, folder):
     model, made = training.train_category("quality", _category(spark, folder, "quality"), ELEVEN, tune=False)
-    return made.withColumn("path", F.lit(model.path))
+    return rounded(made.withColumn("path", F.lit(model.path)))
 
 
 @query("searched_parameters")
@@ -70,9 +70,9 @@ FAST = replace(SEVEN, members={n: SEVEN.members[n] for n in ("lr", "mnb", "rf")}
 @query("trained_categories")
 def trained_categories(spark, folder):
     _, made, _ = training.train_all(labelled_comments(spark, folder), FAST, tune=True)
-    return metrics.model_summary(
+    return rounded(metrics.model_summary(
         made.where(F.col("split") == TRAIN), made.where(F.col("split") == TEST), ["category", "model"]
-    )
+    ))
 
 
 def _length_logits():

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kanaat.functions import labels
 from kanaat.functions.fixed_values import ACTIVE_SECONDS, SILENT_SECONDS, STAGNANT_CHECKS, TEST, TRAIN
 from kanaat.operators import labelling, metrics, sequences, tables
-from kanaat.plans.inputs import comments, labelled
+from kanaat.plans.inputs import comments, labelled, rounded
 from kanaat.plans.registry import LABELS, query
 from kanaat.plans.samples import NATURE
 from kanaat.sources import checkpoints
@@ -88,11 +88,11 @@ scored AS (SELECT category, 'long' AS model, is_test, label, long_text AS predic
 c AS (SELECT category, model, CASE WHEN is_test THEN '{TEST}' ELSE '{TRAIN}' END AS split,
   sum(label * predicted)::DOUBLE AS tp, sum((1 - label) * predicted)::DOUBLE AS fp,
   sum(label * (1 - predicted))::DOUBLE AS fn, sum((1 - label) * (1 - predicted))::DOUBLE AS tn FROM scored GROUP BY ALL),
-m AS (SELECT category, model, split, round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy,
-  round((tp + fn) / (tp + fp + fn + tn) * CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END
-    + (tn + fp) / (tp + fp + fn + tn) * CASE WHEN tn + fn > 0 THEN tn / (tn + fn) ELSE 0 END, 6) AS precision,
-  round((tp + fn) / (tp + fp + fn + tn) * CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END
-    + (tn + fp) / (tp + fp + fn + tn) * CASE WHEN 2 * tn + fp + fn > 0 THEN 2 * tn / (2 * tn + fp + fn) ELSE 0 END, 6) AS f1 FROM c)"""
+m AS (SELECT category, model, split, (tp + tn) / (tp + fp + fn + tn) AS accuracy,
+  ((tp + fn) / (tp + fp + fn + tn) * CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END
+    + (tn + fp) / (tp + fp + fn + tn) * CASE WHEN tn + fn > 0 THEN tn / (tn + fn) ELSE 0 END) AS precision,
+  ((tp + fn) / (tp + fp + fn + tn) * CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END
+    + (tn + fp) / (tp + fp + fn + tn) * CASE WHEN 2 * tn + fp + fn > 0 THEN 2 * tn / (2 * tn + fp + fn) ELSE 0 END) AS f1 FROM c)"""
 
 
 def _rule_metrics(spark, folder):
@@ -109,25 +109,26 @@ def _rule_metrics(spark, folder):
 
 @query(
     "metric_pivot",
-    f"""WITH {RULES_SQL} SELECT a.category, a.accuracy AS train_accuracy, a.precision AS train_precision, a.accuracy AS train_recall,
-  a.f1 AS train_f1, b.accuracy AS test_accuracy, b.precision AS test_precision, b.accuracy AS test_recall, b.f1 AS test_f1
+    f"""WITH {RULES_SQL} SELECT a.category, round(a.accuracy, 6) AS train_accuracy, round(a.precision, 6) AS train_precision,
+  round(a.accuracy, 6) AS train_recall, round(a.f1, 6) AS train_f1, round(b.accuracy, 6) AS test_accuracy,
+  round(b.precision, 6) AS test_precision, round(b.accuracy, 6) AS test_recall, round(b.f1, 6) AS test_f1
 FROM m a JOIN m b ON a.category = b.category AND a.model = 'long' AND b.model = 'long' AND a.split = '{TRAIN}' AND b.split = '{TEST}'""",
 )
 def metric_pivot(spark, folder):
-    return metrics.metric_pivot(_rule_metrics(spark, folder).where(F.col("model") == "long"))
+    return rounded(metrics.metric_pivot(_rule_metrics(spark, folder).where(F.col("model") == "long")))
 
 
 @query(
     "all_metrics",
-    f"""WITH {RULES_SQL} SELECT category, model, split, accuracy, precision, accuracy AS recall, f1 FROM m""",
+    f"""WITH {RULES_SQL} SELECT category, model, split, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(accuracy, 6) AS recall, round(f1, 6) AS f1 FROM m""",
 )
 def all_metrics(spark, folder):
     every = _rule_metrics(spark, folder)
-    return tables.union_all([every.where(F.col("split") == TRAIN), every.where(F.col("split") == TEST)])
+    return rounded(tables.union_all([every.where(F.col("split") == TRAIN), every.where(F.col("split") == TEST)]))
 
 
 SUMMARY_SQL = f"""s AS (SELECT a.category, a.model, a.accuracy AS train_accuracy, a.f1 AS train_f1, b.accuracy AS test_accuracy,
-  b.f1 AS test_f1, round(a.accuracy - b.accuracy, 6) AS gap FROM m a JOIN m b USING (category, model)
+  b.f1 AS test_f1, a.accuracy - b.accuracy AS gap FROM m a JOIN m b USING (category, model)
   WHERE a.split = '{TRAIN}' AND b.split = '{TEST}')"""
 
 
@@ -138,19 +139,19 @@ def _summary(spark, folder):
     )
 
 
-@query("model_summary", f"WITH {RULES_SQL}, {SUMMARY_SQL} SELECT *, (gap > 0.15)::INTEGER AS overfit FROM s")
+@query("model_summary", f"WITH {RULES_SQL}, {SUMMARY_SQL} SELECT category, model, round(train_accuracy, 6) AS train_accuracy, round(train_f1, 6) AS train_f1, round(test_accuracy, 6) AS test_accuracy, round(test_f1, 6) AS test_f1, round(gap, 6) AS gap, (gap > 0.15)::INTEGER AS overfit FROM s")
 def model_summary(spark, folder):
-    return _summary(spark, folder)
+    return rounded(_summary(spark, folder))
 
 
 @query(
     "overall_report",
     f"""WITH {RULES_SQL}, {SUMMARY_SQL} SELECT round(avg(train_accuracy), 6) AS mean_train, round(avg(test_accuracy), 6) AS mean_test,
   round(avg(train_accuracy) - avg(test_accuracy), 6) AS mean_gap,
-  (round(avg(train_accuracy) - avg(test_accuracy), 6) > 0.15)::INTEGER AS overfit FROM s""",
+  (avg(train_accuracy) - avg(test_accuracy) > 0.15)::INTEGER AS overfit FROM s""",
 )
 def overall_report(spark, folder):
-    return metrics.overall_report(_summary(spark, folder))
+    return rounded(metrics.overall_report(_summary(spark, folder)))
 
 
 @query(

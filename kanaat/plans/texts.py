@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kanaat.functions import keys, labels, text
 from kanaat.functions.fixed_values import DEDUP_PREFIX, MIN_WORDS, STORED_LENGTH
 from kanaat.operators import metrics, tables
-from kanaat.plans.inputs import LABEL_COLUMNS, comments, labelled
+from kanaat.plans.inputs import LABEL_COLUMNS, comments, labelled, rounded
 from kanaat.plans.registry import LABELS, SPACE, query, sql_clean, sql_words
 from kanaat.sources.tables import spread, table
 
@@ -25,7 +25,7 @@ def positive_share_of_cleaned(spark, folder):
     usable = spread(comments(spark, folder)).where(
         text.has_words(F.col("text")) & text.has_content(F.col("text"))
     )
-    return tables.positive_share(labelled(spark, folder).join(usable.select("comment_id"), "comment_id"))
+    return rounded(tables.positive_share(labelled(spark, folder).join(usable.select("comment_id"), "comment_id")))
 
 
 @query(
@@ -125,7 +125,7 @@ def label_value_counts(spark, folder):
   round(sum(label) * 100.0 / count(*), 6) AS share FROM labelled GROUP BY category""",
 )
 def positive_share(spark, folder):
-    return tables.positive_share(labelled(spark, folder))
+    return rounded(tables.positive_share(labelled(spark, folder)))
 
 
 @query(
@@ -243,7 +243,7 @@ def weighted_metrics(spark, folder):
     scored = labelled(spark, folder).join(comments(spark, folder), "comment_id").select(
         "category", "label", F.when(long_text | has_the, 1).otherwise(0).alias("predicted")
     )
-    return metrics.weighted_metrics(scored, ["category"])
+    return rounded(metrics.weighted_metrics(scored, ["category"]))
 
 
 @query(
