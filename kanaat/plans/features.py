@@ -247,7 +247,7 @@ nearest AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, neigh
 @query(
     "nearest_neighbours",
     f"""WITH {NEIGHBOUR_SQL.format(on='a.label = b.label AND a.vec_id <> b.vec_id')}
-SELECT query_id, neighbour_id, round(d, 5) AS distance2, rank FROM nearest""",
+SELECT query_id, neighbour_id, round(d, 5) AS distance2, rank::INTEGER AS rank FROM nearest""",
 )
 def nearest_neighbours(spark, folder):
     rows = _vectors(spark, folder)
@@ -258,7 +258,7 @@ def nearest_neighbours(spark, folder):
 @query(
     "nearest_neighbours_by_cells",
     f"""WITH {NEIGHBOUR_SQL.format(on='a.label = b.label AND a.vec_id <> b.vec_id')}
-SELECT query_id, neighbour_id, round(d, 5) AS distance2, rank FROM nearest""",
+SELECT query_id, neighbour_id, round(d, 5) AS distance2, rank::INTEGER AS rank FROM nearest""",
 )
 def nearest_neighbours_by_cells(spark, folder):
     rows = _vectors(spark, folder)
