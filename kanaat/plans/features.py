@@ -156,6 +156,7 @@ def multinomial_term_weights(spark, folder):
     )
 
 
+# Scores in eighths: their mean is one exact division, the same in every engine without rounding.
 LEXICON = [("the", 0.25), ("and", 0.5), ("of", -0.5), ("la", -0.25), ("que", 0.75), ("der", -1.0), ("und", 1.0),
            ("los", -0.75), ("en", 0.125)]
 
@@ -165,7 +166,7 @@ LEXICON = [("the", 0.25), ("and", 0.5), ("of", -0.5), ("la", -0.25), ("que", 0.7
     rf"""WITH lexicon(word, score) AS (VALUES {', '.join(f"('{w}', {s}::DOUBLE)" for w, s in LEXICON)}),
 words AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}')) AS word FROM documents),
 scored AS (SELECT doc_id, avg(score) AS p FROM words JOIN lexicon USING (word) GROUP BY doc_id)
-SELECT doc_id AS comment_id, round(coalesce(p, 0), 6) AS polarity,
+SELECT doc_id AS comment_id, coalesce(p, 0) AS polarity,
   CASE WHEN coalesce(p, 0) > 0 THEN 'Pozitif' WHEN coalesce(p, 0) < 0 THEN 'Negatif' ELSE 'Nötr' END AS sentiment
 FROM documents LEFT JOIN scored USING (doc_id)""",
 )
@@ -174,7 +175,7 @@ def lexicon_sentiment(spark, folder):
     rows = spread(comments(spark, folder)).select("comment_id", "text")
     return features.lexicon_polarity(rows, lexicon).select(
         "comment_id",
-        F.round("polarity", 6).alias("polarity"),
+        "polarity",
         labels.sentiment_of_polarity(F.col("polarity")).alias("sentiment"),
     )
 
@@ -210,7 +211,7 @@ def sentiment_distribution(spark, folder):
 words AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}')) AS word FROM documents),
 scored AS (SELECT doc_id, avg(score) AS p FROM words JOIN lexicon USING (word) GROUP BY doc_id)
 SELECT d.doc_id AS "Yorum_ID", d.lang AS "Tarih", d.text AS "Yorum", CASE WHEN coalesce(p, 0) > 0 THEN 'Pozitif'
-  WHEN coalesce(p, 0) < 0 THEN 'Negatif' ELSE 'Nötr' END AS "Duygu", round(coalesce(p, 0), 6) AS "Duygu_Polaritesi",
+  WHEN coalesce(p, 0) < 0 THEN 'Negatif' ELSE 'Nötr' END AS "Duygu", coalesce(p, 0) AS "Duygu_Polaritesi",
   l.quality, l.toxic FROM labels l JOIN documents d USING (doc_id) LEFT JOIN scored USING (doc_id)
 WHERE l.quality = 1 OR l.toxic = 1""",
 )
@@ -227,7 +228,7 @@ def prediction_report(spark, folder):
         F.col("lang").alias("Tarih"),
         F.col("text").alias("Yorum"),
         labels.sentiment_of_polarity(F.col("polarity")).alias("Duygu"),
-        F.round("polarity", 6).alias("Duygu_Polaritesi"),
+        F.col("polarity").alias("Duygu_Polaritesi"),
         *LABEL_COLUMNS,
     )
 

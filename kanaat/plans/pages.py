@@ -41,8 +41,8 @@ def selected_links(spark, folder):
 
 ARTICLE = rf"""articles AS (SELECT page_id, regexp_replace(regexp_replace(regexp_extract(html, '<article>(.*?)</article>', 1, 's'),
   '<[^>]*>', '', 'g'), '[{SPACE}]+', ' ', 'g') AS raw FROM pages WHERE contains(html, '<article>')),
-texts AS (SELECT page_id, trim(replace(replace(replace(replace(replace(replace(raw, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
-  '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&')) AS text FROM articles)"""
+texts AS (SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(raw, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+  '&#39;', ''''), '&nbsp;', ' '), '&amp;?', '&', 'g')) AS text FROM articles)"""
 
 
 @query(
