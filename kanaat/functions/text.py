@@ -95,17 +95,34 @@ def site_root(url: Column) -> Column:
     return F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
 
 
+def _without_dots(link: Column) -> Column:
+    """Resolve . and .. in the path of an absolute link."""
+    root = site_root(link)
+    rest = F.substring(link, F.length(root) + 1, F.length(link))
+    path, tail = F.regexp_extract(rest, r"^[^?#]*", 0), F.regexp_extract(rest, r"[?#].*$", 0)
+    kept = F.aggregate(
+        F.split(path, "/"),
+        F.array().cast("array<string>"),
+        lambda done, part: F.when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1))))
+        .when(part == ".", done)
+        .otherwise(F.concat(done, F.array(part))),
+    )
+    end = F.when(path.rlike(r"/\.\.?$"), F.lit("/")).otherwise(F.lit(""))
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(root, F.array_join(kept, "/"), end, tail)).otherwise(link)
+
+
 def absolute_link(base: Column, href: Column) -> Column:
-    """Resolve the forms links take on list pages: absolute, scheme-relative, root-relative, query
-    only, fragment only and plain relative without dot segments."""
+    """Resolve a link against its page: absolute, scheme-relative, root-relative, query only, fragment
+    only and relative to the page's folder."""
+    root = site_root(base)
     bare = F.regexp_replace(base, r"[?#].*$", "")
-    folder = F.concat(site_root(base), F.regexp_replace(F.substring(bare, F.length(site_root(base)) + 1, 1 << 20), r"[^/]*$", ""))
+    folder = F.concat(root, F.regexp_replace(F.substring(bare, F.length(root) + 1, F.length(bare)), r"[^/]*$", ""))
     folder = F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))
     return (
         F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(F.regexp_extract(base, r"^([^:]+:)", 1), href))
-        .when(href.startswith("/"), F.concat(site_root(base), href))
+        .when(href.startswith("/"), _without_dots(F.concat(root, href)))
         .when(href.startswith("?"), F.concat(bare, href))
         .when(href.startswith("#"), F.concat(F.regexp_replace(base, r"#.*$", ""), href))
-        .otherwise(F.concat(folder, href))
+        .otherwise(_without_dots(F.concat(folder, href)))
     )

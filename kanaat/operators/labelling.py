@@ -36,7 +36,7 @@ def _ask(load: Callable[[], Labeller], attempts: int, pause: float, frames):
             answers.append(answer)
             used.append(attempt)
             failed.append(broken)
-        yield pdf[["question"]].assign(answer=answers, attempts=used, failed=failed)
+        yield pdf[["question", "text"]].assign(answer=answers, attempts=used, failed=failed)
 
 
 def label_comments(
@@ -48,19 +48,22 @@ def label_comments(
 ) -> DataFrame:
     """comments (comment_id, category, text) get ``label``, ``attempts`` and ``failed``.
 
-    Equal (category, text) questions are asked once. Questions are keyed by a digest, so the join back
-    moves ids and digests, not texts, and a text copied into a third of all rows is one question."""
+    Equal (category, text) questions are asked once. Questions are keyed by a digest and carry their
+    text along, so the join back moves only ids and digests of the comments, and a text copied into a
+    third of all rows is one question."""
     asked = comments.where(not_blank(F.col("text"))).withColumn(
         "question", F.sha2(F.concat_ws("\u0000", "category", "text"), 256)
     )
     distinct = asked.select("question", "category", "text").dropDuplicates(["question"])
     prompts = described(distinct, pairs).select(
-        "question", render_prompt(F.col("text"), F.col("category"), F.col("description")).alias("prompt")
+        "question", "text", render_prompt(F.col("text"), F.col("category"), F.col("description")).alias("prompt")
     )
     answers = prompts.mapInPandas(
-        partial(_ask, load, attempts, pause), "question string, answer string, attempts int, failed int"
+        partial(_ask, load, attempts, pause), "question string, text string, answer string, attempts int, failed int"
     ).withColumn("label", F.coalesce(parse_answer(F.col("answer")), F.lit(0)))
-    return asked.join(answers.drop("answer"), "question").drop("question")
+    return asked.drop("text").join(answers.drop("answer"), "question").select(
+        *comments.columns, "label", "attempts", "failed"
+    )
 
 
 def label_until_quota(

@@ -117,7 +117,8 @@ def test_clock_and_percent(spark):
 
 
 @pytest.mark.parametrize("base", ["https://a.com/migros", "https://a.com/x/y?page=2", "https://a.com", "http://m.b.org/en/25#top"])
-@pytest.mark.parametrize("href", ["/migros/1", "https://c.com/z", "//d.com/q", "?page=3", "#t", "rel", "rel/two?x=1", "mailto:a@b.c"])
+@pytest.mark.parametrize("href", ["/migros/1", "https://c.com/z", "//d.com/q", "?page=3", "#t", "rel", "rel/two?x=1", "mailto:a@b.c",
+                                  "../up", "../../up?a=../b", "./here", "a/../b", "..", ".", "/r/./s/../t", "a.b/..c"])
 def test_absolute_link(spark, base, href):
     rows = spark.createDataFrame([(base, href)], "b string, h string")
     assert rows.select(text.absolute_link(F.col("b"), F.col("h"))).first()[0] == urljoin(base, href)
