@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 CHUNK_BYTES = 4 << 20
 # Fixed values of the word hash: an odd multiplier for positions and the constants of a 64-bit finaliser.
@@ -135,3 +137,24 @@ def spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
 def gather_lists(flat: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
     """The pieces flat[start : start + count] one after another."""
     return flat[spread(start, count)]
+
+
+def with_text_columns(docs: DataFrame, text_col: str, make: Callable[[Texts], dict[str, np.ndarray]], fields: str,
+                      keep: list[str] | None = None) -> DataFrame:
+    """``keep`` (all columns by default) and the columns that ``make`` computes from each piece of texts; ``fields``
+    is their DDL. A column of ``docs`` with the name of a computed one is replaced."""
+    added = T.StructType.fromDDL(fields)
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in added.names]
+    source = docs.select(*kept, *([] if text_col in kept else [text_col]))
+    place = source.columns.index(text_col)
+    schema = T.StructType([source.schema[c] for c in kept] + added.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in chunks(batch.column(place)):
+                columns = make(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(i).slice(texts.first, texts.rows) for i in range(len(kept))]
+                    + [pa.array(columns[name]) for name in added.names], kept + added.names)
+
+    return source.mapInArrow(run, schema)

@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
-MODULES = ["sharding"]
+MODULES = ["sharding", "secrets", "byte_pair", "quality_rules"]
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
