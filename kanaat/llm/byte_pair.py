@@ -160,7 +160,11 @@ def token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def encode_texts(texts: Texts, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows one after another, and how many each row has."""
-    return encoded(texts, path, vocabulary(path).walk, "trie")
+    def walk(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids = vocabulary(path).walk(words)
+        return np.fromiter((i for word in ids for i in word), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    return encoded(texts, path, walk, "trie")
 
 
 def decode_ids(ids: np.ndarray, counts: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:

@@ -10,39 +10,42 @@ from kanaat.llm.batches import Texts, gather_lists, per_worker, span_hashes, spr
 from kanaat.llm.pretokens import loaded, pieces
 
 # Distinct pieces a worker keeps between batches; beyond, it starts afresh. Only speed depends on it.
-MOST_KEPT = 400_000
+MOST_KEPT = 1_500_000
+
+# Ids of all words one after another, and how many each word has.
+Encode = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
 
 class Kept:
-    """Encodings of pieces seen so far, found by the hash of their bytes."""
+    """Encodings of pieces seen so far, found by the hash of their bytes; hashes are kept in order."""
 
     def __init__(self) -> None:
-        self.place: dict[int, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.used = 0
-        self.start = np.zeros(1 << 14, np.int64)
-        self.count = np.zeros(1 << 14, np.int64)
-
-    def add(self, hashes: list[int], encoded: list[list[int]]) -> None:
-        n, total = len(self.place), sum(map(len, encoded))
-        while n + len(hashes) > len(self.start):
-            self.start, self.count = np.resize(self.start, 2 * len(self.start)), np.resize(self.count, 2 * len(self.count))
-        while self.used + total > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * len(self.ids))
-        counts = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        self.count[n:n + len(hashes)] = counts
-        self.start[n:n + len(hashes)] = self.used + np.cumsum(counts) - counts
-        self.ids[self.used:self.used + total] = np.fromiter((i for e in encoded for i in e), np.uint32, total)
-        self.used += total
-        self.place.update(zip(hashes, range(n, n + len(hashes)), strict=True))
-
-
-Encode = Callable[[list[bytes]], list[list[int]]]
+        self.key = np.zeros(0, np.uint64)
+        self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def missing(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.key):
+            return np.arange(len(hashes))
+        at = np.minimum(np.searchsorted(self.key, hashes), len(self.key) - 1)
+        return np.flatnonzero(self.key[at] != hashes)
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used:self.used + len(ids)] = ids
+        key = np.concatenate([self.key, hashes])
+        order = np.argsort(key, kind="stable")
+        self.key = key[order]
+        self.start = np.concatenate([self.start, self.used + np.cumsum(counts) - counts])[order]
+        self.count = np.concatenate([self.count, counts])[order]
+        self.used += len(ids)
 
 
 def library_encode(path: str) -> Encode:
-    def encode(words: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in loaded(path).encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+    def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        done = loaded(path).encode([w.decode("utf-8", "replace") for w in words], is_pretokenized=True, add_special_tokens=False)
+        return np.array(done.ids, np.uint32), np.bincount(np.array(done.word_ids, np.int64), minlength=len(words))
 
     return encode
 
@@ -55,20 +58,19 @@ def encoded(texts: Texts, path: str, encode: Encode | None = None, name: str = "
     raw = texts.data.tobytes()
     if any(a in raw for a in added):
         return around_added(texts, path, encode, name, added)
-    kept = per_worker(f"kept {name} {path}", dict)
-    if "all" not in kept or len(kept["all"].place) > MOST_KEPT:
-        kept["all"] = Kept()
-    kept = kept["all"]
+    held = per_worker(f"kept {name} {path}", dict)
+    if "all" not in held or len(held["all"].key) > MOST_KEPT:
+        held["all"] = Kept()
+    kept = held["all"]
     start, end, row = pieces(texts, path)
     if not len(start):
         return np.zeros(0, np.uint32), np.zeros(texts.rows, np.int64)
-    distinct, first, which = np.unique(span_hashes(texts.data, start, end), return_index=True, return_inverse=True)
-    hashes = distinct.tolist()
-    new = [(h, i) for h, i in zip(hashes, first.tolist(), strict=True) if h not in kept.place]
-    if new:
-        words = [raw[start[i]:end[i]] for _, i in new]
-        kept.add([h for h, _ in new], (encode or library_encode(path))(words))
-    place = np.fromiter(map(kept.place.__getitem__, hashes), np.int64, len(hashes))[which]
+    hashes, first, which = np.unique(span_hashes(texts.data, start, end), return_index=True, return_inverse=True)
+    new = kept.missing(hashes)
+    if len(new):
+        words = [raw[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)]
+        kept.add(hashes[new], *(encode or library_encode(path))(words))
+    place = np.searchsorted(kept.key, hashes)[which]
     count = kept.count[place]
     return gather_lists(kept.ids, kept.start[place], count), np.bincount(row, weights=count, minlength=texts.rows).astype(np.int64)
 
