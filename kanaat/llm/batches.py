@@ -91,11 +91,13 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
 
 
-def words(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every word ``[^\\x20\\x09-\\x0D]+``."""
+def words(texts: Texts, also_between: bytes = b"") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word ``[^\\x20\\x09-\\x0D]+``; the bytes ``also_between`` part words too."""
     if not len(texts.data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    blank = (texts.data == 32) | ((texts.data >= 9) & (texts.data <= 13))
+    parts = np.zeros(256, bool)
+    parts[[32, *range(9, 14), *also_between]] = True
+    blank = parts[texts.data]
     opens = ~blank
     opens[1:] &= blank[:-1]
     begin = texts.at[:-1][np.diff(texts.at) > 0]

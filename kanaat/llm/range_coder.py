@@ -1,6 +1,6 @@
 """Adaptive context-mixing range coder for token ids, many blocks in step.
 
-A frame holds blocks of `BLOCK` ids. Each block starts from the same fresh state, has its own bytes and checksum, and
+A frame holds blocks of up to `BLOCK` ids. Each block starts from the same fresh state, has its own bytes and checksum, and
 can be decoded alone. Numpy works on the same position of all blocks of a frame at once, so the cost of an id is a
 share of some vector operations.
 
@@ -19,7 +19,9 @@ import zlib
 import numpy as np
 
 MAGIC, VERSION = b"KCMR", 1
-BLOCK, LANES = 4096, 2048
+BLOCK, LANES = 4096, 1024
+# A short frame has shorter blocks, so that enough of them are worked on together.
+FEWEST_LANES, LEAST_BLOCK = 256, 512
 TABLE_BITS = 10
 COMMON = 640
 # Ids are 32-bit; groups of ranks: 128 of one, 64 of 8, 32 of 64 and 32 that share the rest evenly.
@@ -56,7 +58,7 @@ class Coder:
                 self.code = (self.code << U(16)) | self.words[self.at]
                 self.at += 1
         else:
-            self.out = np.zeros((lanes, BLOCK), np.uint16)
+            self.out = np.zeros((lanes, BLOCK // 2), np.uint16)
             self.n = np.zeros(lanes, np.int64)
 
     def narrow(self, lane: np.ndarray | slice, cum: np.ndarray, freq: np.ndarray, unit: np.ndarray) -> None:
@@ -225,16 +227,17 @@ def run(coder: Coder, ranks: int, lengths: np.ndarray, given: np.ndarray | None)
 def encode_frame(ids: np.ndarray, extra: bytes = b"") -> bytes:
     """A frame of any number of ids (up to `LANES` blocks keep memory small); ``extra`` travels in its head."""
     ids = np.ascontiguousarray(ids, dtype=np.uint32)
-    blocks = -(-len(ids) // BLOCK)
+    block = int(np.clip(len(ids) // FEWEST_LANES, LEAST_BLOCK, BLOCK))
+    blocks = -(-len(ids) // block)
     highest = int(ids.max(initial=0)) + 1
     seen = np.bincount(ids.astype(np.int64), minlength=1)
     common = np.argsort(-seen, kind="stable")[:COMMON]
     common = common[seen[common] > 0].astype(np.uint32)
     rank = ranked(common, highest)
-    lengths = np.full(blocks, BLOCK, np.int64)
+    lengths = np.full(blocks, block, np.int64)
     if blocks:
-        lengths[-1] = len(ids) - BLOCK * (blocks - 1)
-    lanes = np.zeros((blocks, BLOCK), np.int32)
+        lengths[-1] = len(ids) - block * (blocks - 1)
+    lanes = np.zeros((blocks, block), np.int32)
     lanes.reshape(-1)[:len(ids)] = rank[ids]
     coded = []
     for a in range(0, blocks, LANES):
@@ -244,8 +247,8 @@ def encode_frame(ids: np.ndarray, extra: bytes = b"") -> bytes:
     words = np.concatenate([w for w, _ in coded]) if coded else np.zeros(0, np.uint16)
     n = np.concatenate([c for _, c in coded]) if coded else np.zeros(0, np.int64)
     raw = memoryview(ids.astype("<u4").tobytes())
-    checks = np.array([zlib.crc32(raw[4 * BLOCK * b:4 * BLOCK * (b + 1)]) for b in range(blocks)], "<u4")
-    head = struct.pack("<4sHHIIQII", MAGIC, VERSION, BLOCK, blocks, highest, len(ids), len(common), len(extra))
+    checks = np.array([zlib.crc32(raw[4 * block * b:4 * block * (b + 1)]) for b in range(blocks)], "<u4")
+    head = struct.pack("<4sHHIIQII", MAGIC, VERSION, block, blocks, highest, len(ids), len(common), len(extra))
     body = head + extra + common.astype("<u4").tobytes() + n.astype("<u4").tobytes() + checks.tobytes()
     return body + struct.pack("<I", zlib.crc32(body)) + words.astype("<u2").tobytes()
 
