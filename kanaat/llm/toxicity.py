@@ -137,8 +137,8 @@ def sketches(texts: Texts) -> dict[str, list]:
             np.minimum.at(least, row[begin], mix(keys ^ np.uint64(977 * j + 1)))
             long = per_row(row[begin], texts.rows) > 0
             out[j, long] = least[long]
-    raw = data.tobytes()
-    text_words = [sorted({raw[a:b] for a, b in zip(start[row == r].tolist(), end[row == r].tolist(), strict=True)}) for r in range(texts.rows)]
+    raw, first = data.tobytes(), np.searchsorted(row, np.arange(texts.rows + 1))
+    text_words = [sorted({raw[a:b] for a, b in zip(start[i:j].tolist(), end[i:j].tolist(), strict=True)}) for i, j in zip(first[:-1], first[1:], strict=True)]
     return {"sketch": list(out.T.view(np.int64)), "words": [[w.decode("utf-8", "replace") for w in ws] for ws in text_words]}
 
 
