@@ -126,7 +126,7 @@ def evidence(texts: Texts, model: Model) -> np.ndarray:
 
 
 def sketches(texts: Texts) -> dict[str, list]:
-    """Four smallest-hash values of each text's 5-word windows, and its distinct words."""
+    """Four smallest-hash values of each text's 5-word windows, its distinct words, and stretches of its words."""
     data, start, end, row = spans(texts)
     hashes = span_hashes(data, start, end)
     keys, begin = windows(hashes, row)
@@ -138,8 +138,10 @@ def sketches(texts: Texts) -> dict[str, list]:
             long = per_row(row[begin], texts.rows) > 0
             out[j, long] = least[long]
     raw, first = data.tobytes(), np.searchsorted(row, np.arange(texts.rows + 1))
-    text_words = [sorted({raw[a:b] for a, b in zip(start[i:j].tolist(), end[i:j].tolist(), strict=True)}) for i, j in zip(first[:-1], first[1:], strict=True)]
-    return {"sketch": list(out.T.view(np.int64)), "words": [[w.decode("utf-8", "replace") for w in ws] for ws in text_words]}
+    in_order = [[raw[a:b].decode("utf-8", "replace") for a, b in zip(start[i:j].tolist(), end[i:j].tolist(), strict=True)]
+                for i, j in zip(first[:-1], first[1:], strict=True)]
+    stretches = [[" ".join(ws[i:i + TRAINER_WORDS]) for i in range(0, len(ws), TRAINER_WORDS)] for ws in in_order]
+    return {"sketch": list(out.T.view(np.int64)), "words": [sorted(set(ws)) for ws in in_order], "stretches": stretches}
 
 
 def first_of_copies(rows: list) -> list[int]:
@@ -163,7 +165,7 @@ def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     known = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).orderBy(
         F.xxhash64("doc_id", "text")).limit(sample_rows).select("text", "label", F.monotonically_increasing_id().alias("_row")), "toxic-sample")
     learn, check = (known.where(F.col("_row") % 2 == half) for half in (0, 1))
-    seen = stored(with_text_columns(learn, "text", sketches, "sketch array<long>, words array<string>", ["_row", "label"]), "toxic-words")
+    seen = stored(with_text_columns(learn, "text", sketches, "sketch array<long>, words array<string>, stretches array<string>", ["_row", "label"]), "toxic-words")
     kept = first_of_copies(seen.select("_row", "sketch").orderBy("_row").collect())
     ids = spark.createDataFrame([(i,) for i in kept], "_kept long")
     once = seen.join(F.broadcast(ids), F.col("_row") == F.col("_kept"))
@@ -171,18 +173,16 @@ def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     toxic, ordinary = texts.get(1, 0), texts.get(0, 0)
     stems = F.array_distinct(F.flatten(F.transform("words", lambda w: F.concat(F.array(w), *[
         F.when(F.length(w) > n, F.array(F.substring(w, 1, n))).otherwise(F.array().cast("array<string>")) for n in STEMS]))))
-    counts = once.select("label", F.explode(stems).alias("word")).groupBy("word").agg(
-        F.sum(F.col("label")).alias("toxic"), F.sum(1 - F.col("label")).alias("ordinary"))
+    counts = stored(once.select("label", stems.alias("stems")).select("label", F.explode("stems").alias("word")).groupBy("word").agg(
+        F.sum(F.col("label")).alias("toxic"), F.sum(1 - F.col("label")).alias("ordinary")), "toxic-counts")
     ratio = (F.col("toxic") / max(1, toxic)) / ((F.col("ordinary") + 1) / max(1, ordinary))
     marking = counts.where((F.col("toxic") >= max(LEAST_TEXTS, LEAST_SHARE * toxic)) & (ratio >= LEAST_RATIO))
     top = [r["word"] for r in marking.orderBy(F.desc("toxic"), "word").limit(MOST_WORDS).collect()]
     marks = joined(sorted(top))
     common = counts.where(F.col("ordinary") > 0).orderBy(F.desc("ordinary"), "word").limit(2 * MOST_WORDS).collect()
     plain = (joined(r["word"] for r in common) + bytes(len(marks)))[:len(marks)]
-    split = F.split(F.lower("text"), r"[\x20\x09-\x0D]+")
-    windows_ = learn.where("label = 0").select(F.explode(F.sequence(F.lit(1), F.greatest(F.size(split), F.lit(1)), F.lit(TRAINER_WORDS))).alias("_at"), split.alias("_w"))
-    samples = [joined(r[0].split(" ")) for r in windows_.select(F.array_join(F.slice("_w", F.col("_at"), TRAINER_WORDS), " ").alias("w")).orderBy(
-        F.xxhash64("w"), "w").limit(TRAINER_WINDOWS).collect()]
+    stretches = seen.where("label = 0").select(F.explode("stretches").alias("w"))
+    samples = [joined(r["w"].split(" ")) for r in stretches.orderBy(F.xxhash64("w"), "w").limit(TRAINER_WINDOWS).collect()]
     try:
         shared = zstandard.train_dictionary(SHARED_BYTES, samples, k=32, d=6, level=3).as_bytes()
     except zstandard.ZstdError:  # too little text for the trainer: the text itself
