@@ -9,13 +9,13 @@ from kanaat.functions.fixed_values import NEIGHBOURS, SEED
 from kanaat.operators.neighbours import knn_join
 from kanaat.operators.ranking import hash_rank
 
-SPAN = 1 << 28
+SPAN = 1 << 60
 
 
 def _draw(name: str, seed: int) -> Column:
-    """A repeatable number in [0, 2^28) for each synthetic row and purpose."""
+    """A repeatable number in [0, 2^60), wide enough for any class for each synthetic row and purpose."""
     digest = F.md5(F.concat(F.lit(f"{seed}|{name}|"), F.col("n").cast("string")))
-    return F.conv(F.substring(digest, 1, 7), 16, 10).cast("long")
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
 def oversample(rows: DataFrame, k: int = NEIGHBOURS, seed: int = SEED) -> tuple[DataFrame, bool]:

@@ -5,6 +5,7 @@ Pages are read inside tasks by ``mapInPandas``, one page at a time; what follows
 from __future__ import annotations
 
 from functools import partial
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -91,7 +92,7 @@ def page_links(
 
 def _first_text(read: Page, selectors: list[str], within=None) -> str | None:
     for selector in selectors:
-        for element in read.select(selector, within)[:1]:
+        for element in islice(read.matches(selector, within), 1):
             text = read.text(element)
             if text:
                 return text

@@ -7,6 +7,7 @@ whole pages cheap to read inside a task."""
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from html import unescape
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -21,11 +22,12 @@ CONDITION = re.compile(r"\.([\w-]+)|\[([\w-]+)(?:([*^$]?=)[\"']?([^\"'\]]*)[\"']
 
 
 class Element:
-    __slots__ = ("name", "attributes", "parent", "first_piece", "last_piece", "order")
+    __slots__ = ("name", "attributes", "parent", "first_piece", "last_piece", "order", "after")
 
     def __init__(self, name, attributes, parent, first_piece, order):
         self.name, self.parent, self.first_piece, self.order = name, parent, first_piece, order
         self.attributes, self.last_piece = attributes, None
+        self.after = order + 1  # the element and what it holds are elements[order:after]
 
     def get(self, name: str) -> str | None:
         if isinstance(self.attributes, str):
@@ -61,7 +63,7 @@ class Page:
             self.pieces.append(html[end:])
         for element in self.elements:
             if element.last_piece is None:
-                element.last_piece = len(self.pieces)
+                element.last_piece, element.after = len(self.pieces), len(self.elements)
 
     def _close(self, parent, name):
         target = parent
@@ -70,7 +72,7 @@ class Page:
         if target is None:
             return parent
         while parent is not target.parent:
-            parent.last_piece = len(self.pieces)
+            parent.last_piece, parent.after = len(self.pieces), len(self.elements)
             parent = parent.parent
         return parent
 
@@ -80,8 +82,13 @@ class Page:
     def select(self, selector: str, within: Element | None = None) -> list[Element]:
         """Elements matching a selector of names, .class, [attr], [attr=v], [attr*=v], [attr^=v], [attr$=v],
         with blanks for descendants, in page order."""
+        return list(self.matches(selector, within))
+
+    def matches(self, selector: str, within: Element | None = None) -> Iterator[Element]:
+        """The same one by one. What an element holds follows it in page order, so only that is looked at."""
         steps = [_step(part) for part in selector.split()]
-        return [e for e in self.elements if _matches(e, steps[-1]) and _led_by(e, steps[:-1]) and _inside(e, within)]
+        held = self.elements if within is None else self.elements[within.order : within.after]
+        return (e for e in held if _matches(e, steps[-1]) and _led_by(e, steps[:-1]))
 
 
 def _step(part: str):
@@ -121,8 +128,3 @@ def _led_by(element: Element, steps) -> bool:
         above = above.parent
     return True
 
-
-def _inside(element: Element, within: Element | None) -> bool:
-    while within is not None and element is not None and element is not within:
-        element = element.parent
-    return element is not None

@@ -13,7 +13,7 @@ from kanaat.functions.fixed_values import LABEL_ATTEMPTS, SEED
 from kanaat.functions.labels import parse_answer, render_prompt
 from kanaat.functions.text import not_blank
 from kanaat.operators import sampling
-from kanaat.operators.categories import described
+from kanaat.operators.categories import MOST_CATEGORIES, dimension
 from kanaat.operators.ranking import HASH_DIGITS, with_hash_order
 from kanaat.session import durable
 
@@ -50,20 +50,26 @@ def label_comments(
 
     Equal (category, text) questions are asked once. Questions are keyed by a digest and carry their
     text along, so the join back moves only ids and digests of the comments, and a text copied into a
-    third of all rows is one question."""
+    third of all rows is one question. A category without a description can't be asked about: its
+    comments stay, with label 0, no attempt and ``failed`` set."""
     asked = comments.where(not_blank(F.col("text"))).withColumn(
         "question", F.sha2(F.concat_ws("\u0000", "category", "text"), 256)
     )
     distinct = asked.select("question", "category", "text").dropDuplicates(["question"])
-    prompts = described(distinct, pairs).select(
+    known = F.broadcast(dimension(comments.sparkSession, pairs))
+    prompts = distinct.join(known, "category").select(
         "question", "text", render_prompt(F.col("text"), F.col("category"), F.col("description")).alias("prompt")
     )
     answers = prompts.mapInPandas(
         partial(_ask, load, attempts, pause), "question string, text string, answer string, attempts int, failed int"
     ).withColumn("label", F.coalesce(parse_answer(F.col("answer")), F.lit(0)))
-    return asked.drop("text").join(answers.drop("answer"), "question").select(
+    found = asked.drop("text").join(answers.drop("answer"), "question").select(
         *comments.columns, "label", "attempts", "failed"
     )
+    unknown = asked.join(known.select("category"), "category", "left_anti").select(
+        *comments.columns, F.lit(0).alias("label"), F.lit(0).alias("attempts"), F.lit(1).alias("failed")
+    )
+    return found.unionByName(unknown)
 
 
 def label_until_quota(
@@ -80,18 +86,21 @@ def label_until_quota(
     order, each twice the one before, until every category is full. The sample is the same as over all."""
     placed = with_hash_order(comments, "comment_id", seed)
     size, done, share = 16**HASH_DIGITS, 0, first_share
-    labelled = None
+    labelled, done_with = None, []
     categories = comments.select("category").distinct().count()
     while done < size:
         until = min(size, max(done + 1, int(size * share)))
         part = placed.where((F.col("_bucket") >= done) & (F.col("_bucket") < until)).drop("_key", "_bucket")
+        if done_with:  # what is full needs no more labels
+            part = part.where(~F.col("category").isin(done_with))
         fresh = durable(label_comments(part, load, pairs, pause=pause))
         labelled = fresh if labelled is None else labelled.unionByName(fresh)
         done, share = until, share * 2
         full = labelled.groupBy("category").agg(
             F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n")
-        ).where((F.col("p") >= target_positive) & (F.col("n") >= target_negative)).count()
-        if full == categories:
+        ).where((F.col("p") >= target_positive) & (F.col("n") >= target_negative)).select("category").limit(MOST_CATEGORIES).collect()
+        done_with = [r.category for r in full]
+        if len(full) == categories:
             break
     return sampling.quota_sample(labelled, target_positive, target_negative, seed=seed)
 

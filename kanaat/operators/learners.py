@@ -99,7 +99,7 @@ class Neighbours:
             queries = df.select(
                 F.col("id"), F.lit(0).alias("grp"), vector_to_array("features").alias("vector")
             )
-            votes = knn_classify(queries, self.base.withColumn("grp", F.lit(0)), self.k)
+            votes = knn_classify(queries.dropDuplicates(["id"]), self.base.withColumn("grp", F.lit(0)), self.k)
             return df.join(
                 votes.select(F.col("query_id").alias("id"), F.col("p1").alias(f"p_{self.name}")), "id", "left"
             )

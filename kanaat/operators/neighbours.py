@@ -7,6 +7,7 @@ bounded size on both sides; every visit emits k rows, and the best k over all vi
 
 from __future__ import annotations
 
+import math
 from functools import partial
 
 import numpy as np
@@ -20,9 +21,8 @@ from kanaat.session import durable, fits, small_side
 
 BROADCAST_ROWS = 4096
 CHUNK_ROWS = 4096
-PIVOTS = 128
+LEAST_PIVOTS = 128
 MOST_GROUPS = 1000
-FOUND = "query_id long, neighbour_id long, distance2 double"
 
 
 def matrix_of(vectors) -> np.ndarray:
@@ -76,14 +76,14 @@ def knn_join(
     skip_self: bool = False,
     broadcast_rows: int = BROADCAST_ROWS,
     chunk_rows: int = CHUNK_ROWS,
-    pivots: int = PIVOTS,
+    pivots: int | None = None,
 ) -> DataFrame:
-    """Both sides: (id long, grp, vector array<double>); neighbours share the ``grp`` value. Gives
+    """Both sides: (id, grp, vector array<double>), ids of any type; neighbours share the ``grp`` value. Gives
     (query_id, neighbour_id, distance2, rank). Query ids are unique."""
     queries, base = queries.select("id", "grp", "vector"), base.select("id", "grp", "vector")
     if fits(base, broadcast_rows):
         held = {g: (p["id"].to_numpy(), matrix_of(p["vector"])) for g, p in base.toPandas().groupby("grp")}
-        found = queries.mapInPandas(partial(_against, held, k, skip_self), FOUND)
+        found = queries.mapInPandas(partial(_against, held, k, skip_self), _found(queries, base))
         return found.withColumn(
             "rank", F.row_number().over(Window.partitionBy("query_id").orderBy("distance2", "neighbour_id"))
         )
@@ -127,7 +127,14 @@ def _chunk(k: int, skip_self: bool, key, queries: pd.DataFrame, base: pd.DataFra
     )
 
 
+def _found(queries: DataFrame, base: DataFrame) -> str:
+    kinds = [df.schema["id"].dataType.simpleString() for df in (queries, base)]
+    return f"query_id {kinds[0]}, neighbour_id {kinds[1]}, distance2 double"
+
+
 def _by_cells(queries, base, k, skip_self, chunk_rows, pivots) -> DataFrame:
+    if pivots is None:  # so many that a cell's rows grow as the root of the base
+        pivots = max(LEAST_PIVOTS, math.isqrt(base.count()))
     keyed = base.withColumn("_key", shuffle_key(F.col("id"), SEED))
     centres = matrix_of([r.vector for r in keyed.orderBy("_key", "id").limit(pivots).select("vector").collect()])
     typed = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in base.schema.fields)
@@ -167,7 +174,7 @@ def _by_cells(queries, base, k, skip_self, chunk_rows, pivots) -> DataFrame:
     )
     keys = ["grp", "cell", "bp", "qp"]
     return query_side.groupBy(*keys).cogroup(base_side.groupBy(*keys)).applyInPandas(
-        partial(_chunk, k, skip_self), FOUND
+        partial(_chunk, k, skip_self), _found(queries, base)
     )
 
 

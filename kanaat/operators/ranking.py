@@ -17,7 +17,6 @@ from kanaat.functions.keys import shuffle_key
 from kanaat.session import small_side
 
 HASH_DIGITS = 4
-MOST_BUCKETS = 1024
 ROWS_PER_BUCKET = 1_000_000
 
 
@@ -30,12 +29,13 @@ def with_hash_order(df: DataFrame, identity: str, seed: int = SEED) -> DataFrame
 
 
 def with_order_bucket(df: DataFrame, order: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Add ``_bucket``, rising with the numeric column ``order``. Reads the column once for its quantiles."""
-    shares = [i / MOST_BUCKETS for i in range(1, MOST_BUCKETS)]
+    """Add ``_bucket``, rising with the numeric column ``order``. As many buckets as the rows need, so that none
+    grows with the table; the column is read for its count and for its quantiles."""
     value = F.col(order).cast("double")
-    rows, cuts = df.agg(F.count(F.lit(1)), F.percentile_approx(value, shares, F.lit(10_000))).first()
-    buckets = max(2, min(MOST_BUCKETS, -(-rows // rows_per_bucket)))
-    inner = sorted({cuts[round(i * MOST_BUCKETS / buckets) - 1] for i in range(1, buckets)}) if cuts else [0.0]
+    buckets = max(2, -(-df.count() // rows_per_bucket))
+    shares = [i / buckets for i in range(1, buckets)]
+    cuts = df.agg(F.percentile_approx(value, shares, F.lit(max(10_000, 10 * buckets)))).first()[0]
+    inner = sorted(set(cuts)) if cuts else [0.0]
     splits = [float("-inf"), *inner, float("inf")]
     placed = Bucketizer(splits=splits, inputCol="_order", outputCol="_slot", handleInvalid="keep").transform(
         df.withColumn("_order", value)

@@ -54,9 +54,9 @@ def any_category(columns: list[str]) -> Column:
 
 def keep_first(df: DataFrame, keys: list[Column], identity: str) -> DataFrame:
     """Of rows with equal keys keep the one with the smallest id. Ids are combined before the shuffle,
-    so a key that repeats in a third of all rows costs one row per task."""
-    named = [k.alias(f"_k{i}") for i, k in enumerate(keys)]
-    first = df.select(identity, *named).groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(
+    so a key that repeats in a third of all rows costs one row per task; keys move as digests, never as texts."""
+    named = F.struct(*[k.alias(f"_k{i}") for i, k in enumerate(keys)])
+    first = df.select(identity, F.sha2(F.to_json(named), 256).alias("_digest")).groupBy("_digest").agg(
         F.min(identity).alias(identity)
     )
     return df.join(first.select(identity), identity, "left_semi")

@@ -17,6 +17,7 @@ from kanaat.functions import fixed_values as V
 from kanaat.functions import text as T
 from kanaat.operators import balance, features, learners, metrics, sampling, tables
 from kanaat.operators.ensemble import vote
+from kanaat.operators.ranking import hash_rank
 from kanaat.session import durable, shared_path
 from kanaat.sources.sinks import write_labels
 from kanaat.sources.tables import spread
@@ -126,7 +127,9 @@ def prepare(rows: DataFrame, profile: Profile) -> Prepared:
     if "words" not in rows.columns:
         rows = staged(rows, profile)
     parted = sampling.stratified_split(spread(rows), profile.test_fraction)
-    parted = durable(parted.select("category", F.col("comment_id").alias("id"), "label", "words", "is_test"))
+    # Comment ids may be of any type and may repeat; inside a training a row's place in random order names it.
+    ranked = hash_rank(parted, [], "comment_id")
+    parted = durable(ranked.select("category", F.col("rank").cast("long").alias("id"), "label", "words", "is_test"))
     spark = rows.sparkSession
     vocab = features.vocabulary(parted.where(~F.col("is_test")), ["category"], profile.terms)
     vectorizer = features.vectorizer(spark, vocab)
@@ -250,11 +253,17 @@ def rows_to_score(labelled: DataFrame, profile: Profile) -> DataFrame:
     return sampling.capped_class_sample(labelled, profile.cap).where(~F.col("in_sample")).drop("in_sample")
 
 
-def predict_wide(comments: DataFrame, models: list[CategoryModel]) -> DataFrame:
+def row_name():
+    """Names a row to score by what it holds: ids may be of any type, and only equal rows share a name."""
+    return F.sha2(F.concat_ws("\u0000", F.col("comment_id").cast("string"), "text"), 256)
+
+
+def predict_wide(comments: DataFrame, models: list[CategoryModel], missing: list[str] | None = None) -> DataFrame:
     """One 0/1 column per category on every comment, in a single pass over the texts. A model that
-    cannot be applied leaves zeros."""
-    given, out = comments.columns, comments.withColumn("id", F.col("comment_id"))
-    cut, names = {}, []
+    cannot be applied, or is ``missing`` as it could not be loaded, leaves zeros; with ``missing`` given,
+    ``failed_categories`` lists both kinds."""
+    given, out = comments.columns, comments.withColumn("id", row_name())
+    cut, names, broken = {}, [], list(missing or [])
     for model in models:
         way = (model.profile.cleaned, model.profile.bigrams, model.profile.stop_words)
         if way not in cut:  # texts are cut into words once for all models that want them alike
@@ -268,8 +277,13 @@ def predict_wide(comments: DataFrame, models: list[CategoryModel]) -> DataFrame:
             out = judged.withColumn(model.category, F.col("predicted"))
         except Exception:
             out = out.withColumn(model.category, F.lit(0))
+            broken.append(model.category)
         out = out.select(*given, "id", *cut.values(), *names)
-    return out.drop("id", *cut.values())
+    out = out.drop("id", *cut.values())
+    if missing is None:
+        return out
+    zeros = {name: F.lit(0) for name in missing}
+    return out.withColumns({**zeros, "failed_categories": F.array(*map(F.lit, broken)).cast("array<string>")})
 
 
 def predict_long(labelled: DataFrame, models: list[CategoryModel]) -> DataFrame:
@@ -277,7 +291,7 @@ def predict_long(labelled: DataFrame, models: list[CategoryModel]) -> DataFrame:
     parts = []
     for model in models:
         rows = worded(labelled.where(F.col("category") == model.category), model.profile)
-        scored = model.score(rows.withColumn("id", F.col("comment_id")))
+        scored = model.score(rows.withColumn("id", row_name()))
         parts.append(scored.select("comment_id", "category", "text", "label", "p1", "predicted"))
     return tables.union_all(parts)
 

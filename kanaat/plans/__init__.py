@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["texts", "samples", "features", "pages", "progress", "models", "feeds"]
+MODULES = ["texts", "samples", "features", "pages", "progress", "models", "feeds", "sources"]
 
 
 def load() -> None:

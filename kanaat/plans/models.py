@@ -67,9 +67,16 @@ def searched_parameters(spark, folder):
 FAST = replace(SEVEN, members={n: SEVEN.members[n] for n in ("lr", "mnb", "rf")}, grids={"mnb": [{"smoothing": 1.0}, {"smoothing": 2.0}]}, folds=3)
 
 
+def none_failed(failed: dict[str, str]) -> None:
+    """A category that could not be trained must not pass as fewer rows."""
+    if failed:
+        raise RuntimeError(f"not trained: {failed}")
+
+
 @query("trained_categories")
 def trained_categories(spark, folder):
-    _, made, _ = training.train_all(labelled_comments(spark, folder), FAST, tune=True)
+    _, made, failed = training.train_all(labelled_comments(spark, folder), FAST, tune=True)
+    none_failed(failed)
     return rounded(metrics.model_summary(
         made.where(F.col("split") == TRAIN), made.where(F.col("split") == TEST), ["category", "model"]
     ))
@@ -83,7 +90,8 @@ def _length_logits():
 @query("predicted_categories")
 def predicted_categories(spark, folder):
     """Train, save, load, predict every category for every comment, score the hits' sentiment."""
-    models, _, _ = training.train_all(labelled_comments(spark, folder), replace(FAST, members={"lr": {"C": 0.2}, "mnb": {}}), tune=False)
+    models, _, failed = training.train_all(labelled_comments(spark, folder), replace(FAST, members={"lr": {"C": 0.2}, "mnb": {}}), tune=False)
+    none_failed(failed)
     place = shared_path(spark, "models")
     save_models(spark, models, place)
     loaded = load_models(spark, place)
@@ -102,6 +110,7 @@ def predicted_rest(spark, folder):
     """Train on a capped sample of each class, predict the rows left over, beside their truth."""
     profile = replace(FAST, members={"lr": {"C": 0.2}, "mnb": {}}, cap=50)
     rows = labelled_comments(spark, folder)
-    models, _, _ = training.train_all(rows, profile, tune=False)
+    models, _, failed = training.train_all(rows, profile, tune=False)
+    none_failed(failed)
     rest = training.predict_long(training.rows_to_score(rows, profile), models)
     return rest.select("comment_id", "category", "label", F.round("p1", 6).alias("p1"), "predicted")

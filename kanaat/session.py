@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.metricsEnabled": "false",
+    # State of feeds lives on disk: what is remembered may outgrow memory, its bound is a feed's watermark.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

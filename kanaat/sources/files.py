@@ -59,7 +59,13 @@ def read_labelled_csv(spark: SparkSession, folder: str, pattern: str = "*.csv")
     frames = [
         normalise_headers(read_csv(spark, f.path)).withColumn("category", F.lit(f.stem)) for f in files
     ]
-    return union_all(usable(frames, ["Yorum", "Sonuç"]))
+    return _joined(spark, usable(frames, ["Yorum", "Sonuç"]), ["Yorum", "Sonuç", "category"])
+
+
+def _joined(spark: SparkSession, frames: list[DataFrame], columns: list[str]) -> DataFrame:
+    """The union, or no rows where no file is usable."""
+    none = ", ".join(f"`{c}` string" for c in columns)
+    return union_all(frames) if frames else spark.createDataFrame([], none)
 
 
 def merge_labelled_csv(spark: SparkSession, folder: str, prefixes: list[str] | None = None) -> tuple[DataFrame, list[str]]:
@@ -70,7 +76,7 @@ def merge_labelled_csv(spark: SparkSession, folder: str, prefixes: list[str] | N
     known = prefixes or LABELLED_FILE_PREFIXES
     found = {r.category: r.path for r in one_file_per_category(list_files(spark, folder, "*.csv"), known).collect()}
     frames = [read_csv(spark, found[c]).withColumn("Kaynak", F.lit(c)) for c in known if c in found]
-    merged = union_all(usable(frames, ["Tarih", "Yorum"]))
+    merged = _joined(spark, usable(frames, ["Tarih", "Yorum"]), ["Tarih", "Yorum", "Kaynak"])
     return source_indicators(merged, "Kaynak", known), [c for c in known if c not in found]
 
 

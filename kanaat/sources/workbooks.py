@@ -62,17 +62,13 @@ def sheet_rows(content: bytes):
 def _read(frames):
     for pdf in frames:
         for path, content in zip(pdf["path"], pdf["content"]):
-            name, batch = path.rsplit("/", 1)[-1], []
+            name = path.rsplit("/", 1)[-1]
             try:
-                for i, cells in enumerate(sheet_rows(content), 1):
-                    batch.append((path, name, i, cells, None))
-                    if len(batch) == BATCH:
-                        yield pd.DataFrame(batch, columns=["path", "name", "row", "cells", "error"])
-                        batch = []
-            except Exception as reason:  # a bad file is reported, the others go on
-                batch.append((path, name, 0, None, f"{type(reason).__name__}: {reason}"))
-            if batch:
-                yield pd.DataFrame(batch, columns=["path", "name", "row", "cells", "error"])
+                rows = [(path, name, i, cells, None) for i, cells in enumerate(sheet_rows(content), 1)]
+            except Exception as reason:  # a bad file is reported and not used at all, the others go on
+                rows = [(path, name, 0, None, f"{type(reason).__name__}: {reason}")]
+            for at in range(0, len(rows), BATCH):
+                yield pd.DataFrame(rows[at : at + BATCH], columns=["path", "name", "row", "cells", "error"])
 
 
 def read_workbooks(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -80,9 +76,7 @@ def read_workbooks(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFra
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xls*").load(folder).select("path", "content")
     rows = files.mapInPandas(_read, ROWS)
     broken = rows.where(F.col("error").isNotNull()).select("path", "name", "error")
-    # A file that failed half way is not used at all.
-    good = rows.where(F.col("error").isNull()).join(broken.select("path"), "path", "left_anti")
-    return good.select("path", "name", "row", "cells"), broken
+    return rows.where(F.col("error").isNull()).select("path", "name", "row", "cells"), broken
 
 
 def labelled_workbooks(rows: DataFrame) -> DataFrame:

@@ -166,6 +166,34 @@ def test_wide_prediction_and_failed_model(spark):
     assert wide.agg(F.sum("Bozuk")).first()[0] == 0 and wide.agg(F.sum("Teslimat")).first()[0] > 20
 
 
+def test_files_to_predictions_with_text_ids(spark, tmp_path):
+    """The README example: labelled files, training, a changed profile that survives reload, a model that can't be read."""
+    from kanaat.sources import files
+
+    rows = corpus(spark).collect()
+    (tmp_path / "labels").mkdir()
+    lines = "".join(f'2024-01-01,"{r.text}",{r.label}\n' for r in rows)
+    for name in ("Teslimat", "Kargo"):
+        (tmp_path / "labels" / f"{name}.csv").write_text("Tarih,Yorum,Sonuç\n" + lines)
+    labelled = files.canonical_labels(files.read_labelled_csv(spark, str(tmp_path / "labels")))
+    assert dict(labelled.dtypes)["comment_id"] == "string"
+    changed = training.replace(training.SEVEN, members={"lr": {"C": 1.0}, "knn": {}}, bigrams=False, stop_words=("paket",))
+    models, report, failed = training.train_all(labelled, changed, tune=False)
+    assert failed == {} and [m.category for m in models] == ["Kargo", "Teslimat"]
+    save_models(spark, models, str(tmp_path / "store"))
+    loaded = load_models(spark, str(tmp_path / "store"))
+    assert [m.profile for m in loaded] == [m.profile for m in models]
+    comments = labelled.select("comment_id", "text")
+    key = lambda df: sorted(map(tuple, df.collect()))
+    assert key(training.predict_wide(comments, loaded)) == key(training.predict_wide(comments, models))
+    (next((tmp_path / "store" / "models").glob("*Kargo")) / "vectorizer").rename(tmp_path / "elsewhere")
+    broken = {}
+    left = load_models(spark, str(tmp_path / "store"), failed=broken)
+    wide = training.predict_wide(comments, left, missing=list(broken))
+    assert list(broken) == ["Kargo"] and wide.agg(F.sum("Kargo"), F.sum("Teslimat")).first()[0] == 0
+    assert {tuple(r.failed_categories) for r in wide.collect()} == {("Kargo",)}
+
+
 def test_a_failing_category_is_left_out(spark):
     one_class = corpus(spark).withColumn("category", F.lit("Tek")).where("label = 0")
     one_class = one_class.withColumn("text", F.lit("x y"))  # no word of two letters

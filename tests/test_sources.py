@@ -125,6 +125,12 @@ def steady():
     return lambda prompt: "1" if "iyi" in prompt.split("YORUM")[1].split("kategorisi")[0] else "hayır"
 
 
+def test_unknown_category_stays_and_is_flagged(spark):
+    rows = spark.createDataFrame([(1, "articles", "the text"), (2, "nowhere", "the text")], "comment_id long, category string, text string")
+    out = {r.comment_id: r for r in labelling.label_comments(rows, lambda: lambda prompt: "1", [("articles", "about articles")], pause=0.0).collect()}
+    assert (out[1].label, out[1].failed) == (1, 0) and (out[2].label, out[2].attempts, out[2].failed) == (0, 0, 1)
+
+
 def test_labelling_in_slices_gives_the_same_sample(spark):
     rows = [(i, c, "iyi" if i % 5 == 0 else "yok") for i in range(200) for c in ("a", "b")]
     df = spark.createDataFrame(rows, "comment_id long, category string, text string")
