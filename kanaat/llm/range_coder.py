@@ -28,7 +28,8 @@ COMMON = 640
 NARROW, MIDDLE = 128, 64
 LEARN, STEP_COUNT, MOST_COUNT = 5, 24, 1 << 15
 U = np.uint64
-TOP, LOW32 = U(48), U(0xFFFFFFFF)
+# Ranges stay above 2 ** 40, enough for the three divisions of an id before the next bits go out.
+TOP, SMALL = U(48), U((1 << 40) - 1)
 
 
 class Checksum(ValueError):
@@ -61,24 +62,25 @@ class Coder:
             self.out = np.zeros((lanes, BLOCK // 2), np.uint16)
             self.n = np.zeros(lanes, np.int64)
 
-    def narrow(self, lane: np.ndarray | slice, cum: np.ndarray, freq: np.ndarray, unit: np.ndarray) -> None:
-        self.take(lane, unit * cum, unit * freq)
-
     def take(self, lane: np.ndarray | slice, above: np.ndarray, wide: np.ndarray) -> None:
         """The part of the range that begins ``above`` its low end and is ``wide``."""
-        low = self.low[lane] + above
-        self.low[lane], self.range[lane] = low, wide
-        todo = np.flatnonzero((((low ^ (low + wide)) >> TOP) == 0) | (wide <= LOW32))
+        self.low[lane] += above
+        self.range[lane] = wide
+
+    def settle(self, k: int) -> None:
+        """Moves bits of the first k lanes where they are settled."""
+        low, wide = self.low[:k], self.range[:k]
+        todo = np.flatnonzero((((low ^ (low + wide)) >> TOP) == 0) | (wide <= SMALL))
         if len(todo):
-            self.shift(todo if isinstance(lane, slice) else lane[todo])
+            self.shift(todo)
 
     def shift(self, lane: np.ndarray) -> None:
         """Sends out, or takes in, the highest 16 bits where they are settled or the range has become small."""
         while len(lane):
             low, wide = self.low[lane], self.range[lane]
             same = ((low ^ (low + wide)) >> TOP) == 0
-            small = ~same & (wide <= LOW32)
-            wide = np.where(small, (~low + U(1)) & LOW32, wide)
+            small = ~same & (wide <= SMALL)
+            wide = np.where(small, (~low + U(1)) & SMALL, wide)
             go = np.flatnonzero(same | small)
             lane, low, wide = lane[go], low[go], wide[go]
             if not len(lane):
@@ -171,7 +173,7 @@ def run(coder: Coder, ranks: int, lengths: np.ndarray, given: np.ndarray | None)
         hit = hit1 | hit2
         cum = np.where(hit, f2 * hit1, both)
         freq = np.where(hit, np.where(hit2, f2, f1), 65536 - both)
-        coder.narrow(here, cum.astype(np.uint64), freq.astype(np.uint64), unit)
+        coder.take(here, unit * cum.astype(np.uint64), unit * freq.astype(np.uint64))
         rest = np.flatnonzero(~hit)
         if len(rest):
             tot = outer[:, 15].take(rest)
@@ -208,18 +210,18 @@ def run(coder: Coder, ranks: int, lengths: np.ndarray, given: np.ndarray | None)
             outer[:k] += ABOVE.take(step, axis=0)
             if t % 256 == 255:
                 halve(outer, inner, np.flatnonzero(outer[:, 15] > MOST_COUNT))
+        coder.settle(k)
         if given is None:
             x = np.where(hit, np.where(hit2, p2, p1), x)
             out[t, :k] = x
-        # Learn: the chances, then the tables. A wrong prediction is kept at half its sureness while it has any.
+        # Learn: the chances, then the tables.
         # The targets they move to keep them away from 0 and 1.
         chance[1][c2] = q2 + ((64 + hit2 * 63424 - q2) >> LEARN)
         asked = ~hit2 & (f1 > 0)
         chance[0][c1] = q1 + ((64 + hit1 * 63424 - q1) >> LEARN) * asked
         fresh = (x + 1) << 3
         for table, slot, entry, p in ((told[0], slot1, e1, p1), (told[1], slot2, e2, p2)):
-            s = entry & 7
-            table[slot] = np.where(p == x, entry + (s < 7), np.where(s > 0, entry - s + (s >> 1), fresh))
+            table[slot] = np.where(p == x, entry + ((entry & 7) < 7), fresh)
         before[:k], last[:k] = last[:k], x
     return out
 
