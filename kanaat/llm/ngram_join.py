@@ -11,7 +11,7 @@ these prefixes are joined. Then, for each pair of texts:
 * the sets themselves, once for each pair.
 
 Texts with equal words are one node. A group of thousands of near copies shares its prefixes with itself; so first each
-text meets one text per shingle (the smallest set of about its size), links found are made components, and only
+text meets one text per shingle (the most central one of about its size), links found are made components, and only
 texts of different components meet each other after that. Every link between components is still found, so the
 components are those of all links.
 
@@ -39,7 +39,7 @@ from kanaat.session import fits
 SIMILAR, OF = 80, 100
 WINDOW = 5
 # How many shingles the order knows by count. Only speed depends on it.
-FREQUENT = 200_000
+FREQUENT = 1_000_000
 # Shingles a task holds while it counts, and node ids that may be sent to every task.
 HELD, SENT = 8_000_000, 1_000_000
 BITS = np.uint64((1 << 48) - 1)
@@ -194,10 +194,13 @@ def linked(sets: DataFrame) -> DataFrame:
     everywhere = Window.partitionBy("token")
     shared = stored(prefixes(sets).withColumns({"_low": F.min("node").over(everywhere), "_high": F.max("node").over(everywhere)}).where(
         F.col("_low") != F.col("_high")).select("token", "node", "n").distinct(), "join-shared")
-    # First each text meets, for each shingle, the smallest of the texts of about its size.
+    # First each text meets, for each shingle, the most central of the texts of about its size: the one whose prefix is
+    # shared to the largest part. Of a family it is the text that the others derive from.
     size = F.floor(F.log(F.col("n").cast("double")) / float(np.log(OF / SIMILAR))).cast("int")
-    sizes = shared.withColumn("size", size)
-    hubs = sizes.groupBy("token", "size").agg(F.min(F.struct("n", "node")).alias("hub"), F.count(F.lit(1)).alias("_many")).where("_many > 1")
+    central = shared.groupBy(F.col("node").alias("_node")).agg(F.count(F.lit(1)).alias("_d"))
+    sizes = shared.join(central, F.col("node") == F.col("_node")).select(
+        "token", "node", "n", size.alias("size"), F.floor(F.col("_d") * -1000.0 / prefix_of(F.col("n"))).alias("off"))
+    hubs = sizes.groupBy("token", "size").agg(F.min(F.struct("off", "n", "node")).alias("hub"), F.count(F.lit(1)).alias("_many")).where("_many > 1")
     met = sizes.join(hubs, ["token", "size"]).where(F.col("node") != F.col("hub.node")).select(
         F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("hub.node").alias("y"), F.col("hub.n").alias("n_y")).distinct()
     overlap = (met.join(shared.select(F.col("node").alias("x"), "token"), "x").join(shared.select(F.col("node").alias("y"), "token"), ["y", "token"])
