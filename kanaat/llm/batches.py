@@ -1,6 +1,6 @@
 """Whole-text work on Arrow batches: words, spans and their hashes as numpy arrays, no loop per word.
 
-A batch is cut into chunks of a few megabytes, so the memory a task needs is set by ``CHUNK_BYTES`` and by its
+A batch is cut into chunks of about a megabyte, so the memory a task needs is set by ``CHUNK_BYTES`` and by its
 longest text, never by the number of rows Arrow sends at once. Null texts count as empty.
 """
 
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 # Fixed values of the word hash: an odd multiplier for positions and the constants of a 64-bit finaliser.
 STEP = np.uint64(0x9E3779B97F4A7C15)
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

@@ -41,7 +41,7 @@ WINDOW = 5
 # How many shingles the order knows by count. Only speed depends on it.
 FREQUENT = 1_000_000
 # Shingles a task holds while it counts, and node ids that may be sent to every task.
-HELD, SENT = 8_000_000, 1_000_000
+HELD, SENT = 4_000_000, 1_000_000
 BITS = np.uint64((1 << 48) - 1)
 
 
