@@ -28,3 +28,11 @@ def test_odd_rows(spark, labels):
     rows = toxicity.scored(docs, toxicity.fitted(docs, known)).collect()
     assert len(rows) == 5 and all(0 <= r.score <= 1 for r in rows)
     assert toxicity.scored(docs.limit(0), toxicity.fitted(docs.limit(0), known)).count() == 0
+
+
+def test_marks_of_a_rare_kind(spark):
+    """A word in 2 % of the toxic texts marks, and so does a phrase of ordinary words; a word spread by chance does not."""
+    rows = [("common", 900, 0), ("rare", 20, 0), ("go back home", 20, 0), ("the common", 50, 0), ("chance", 100, 900), ("few", 3, 20)]
+    counts = spark.createDataFrame(rows + [(f"w{i}", 3, 30) for i in range(200)], "word string, toxic long, ordinary long")
+    assert toxicity.marking(counts, 1000, 9000) == ["common", "rare", "go back home"]
+    assert toxicity.marking(counts, 0, 9000) == []
