@@ -36,3 +36,24 @@ def test_marks_of_a_rare_kind(spark):
     counts = spark.createDataFrame(rows + [(f"w{i}", 3, 30) for i in range(200)], "word string, toxic long, ordinary long")
     assert toxicity.marking(counts, 1000, 9000) == ["common", "rare", "go back home"]
     assert toxicity.marking(counts, 0, 9000) == []
+
+
+def test_phrase_of_ordinary_words(spark):
+    """Each word of the phrase is as common in ordinary texts, so only windows of several words can tell."""
+    import random
+
+    draw = random.Random(3)
+    vocabulary = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(400)]
+    made = []
+    for i in range(1600):
+        text = [draw.choice(vocabulary) for _ in range(60)]
+        for word in ("never", "come", "again"):
+            text.insert(draw.randrange(len(text)), word)
+        if i % 8 == 0:
+            text[30:30] = ["never", "come", "again"]
+        made.append((i, " ".join(text), int(i % 8 == 0)))
+    docs = spark.createDataFrame(made, "doc_id long, text string, toxic int")
+    model = toxicity.fitted(docs, docs.select("doc_id", "toxic"))
+    scores = {r.doc_id: r.score for r in toxicity.scored(docs.where(toxicity.held_out(docs.doc_id)), model).collect()}
+    toxic, ordinary = ([s for i, s in scores.items() if (i % 8 == 0) == y] for y in (True, False))
+    assert sum(s >= 0.3 for s in toxic) / len(toxic) > 0.8 and sum(s >= 0.3 for s in ordinary) / len(ordinary) < 0.1
