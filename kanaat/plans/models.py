@@ -3,13 +3,12 @@ the queries report them, and the tests check what must hold for any training."""
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from kanaat.functions.fixed_values import TEST, TRAIN
-from kanaat.operators import learners, metrics, training
+from kanaat.operators import learners, metrics, sampling, tables, training
 from kanaat.operators.sentiment import score_category_hits
+from kanaat.operators.training import ELEVEN, SEVEN
 from kanaat.plans.inputs import comments, labelled_comments, rounded
 from kanaat.plans.registry import query
 from kanaat.session import shared_path
@@ -17,26 +16,29 @@ from kanaat.sources.models import load_models, save_models
 from kanaat.sources.sinks import write_report
 from kanaat.sources.tables import spread
 
-# Fewer rounds and trees than in a full training, so that all learners fit in a trial run.
-TRIAL = {"gb": {"maxIter": 10, "maxDepth": 3}, "ada": {"rounds": 8}, "rf": {"numTrees": 20, "maxDepth": 8},
-         "et": {"numTrees": 20, "maxDepth": 8}, "bagging": {"numTrees": 10, "maxDepth": 8}, "dt": {"maxDepth": 8}, "svm": {"C": 1.0, "maxIter": 20}}
-ELEVEN = replace(training.ELEVEN, members={**training.ELEVEN.members, **TRIAL}, terms=300)
-SEVEN = replace(
-    training.SEVEN,
-    members={n: {**p, **TRIAL.get(n, {})} for n, p in training.SEVEN.members.items() if n != "gb"},
-)
+def none_failed(failed: dict[str, str]) -> None:
+    """A category that could not be trained must not pass as fewer rows."""
+    if failed:
+        raise RuntimeError(f"not trained: {failed}")
 
 
-def _category(spark, folder, name):
-    return labelled_comments(spark, folder).where(F.col("category") == name)
+def _by_category(rows, profile):
+    """Each category and its rows, as training takes them."""
+    if profile.cap is not None:
+        rows = sampling.capped_class_sample(rows, profile.cap).where("in_sample").drop("in_sample")
+    words = training.staged(rows, profile)
+    names = sorted(r.category for r in words.select("category").distinct().collect())
+    return [(name, words.where(F.col("category") == name)) for name in names]
 
 
 def _learner(name):
     def run(spark, folder):
-        data = training.prepare(_category(spark, folder, "quality"), ELEVEN)
-        fitted = learners.fit(name, ELEVEN.members[name], data.train, data.rows)
-        model = training.CategoryModel("quality", ELEVEN, data.vectorizer, [fitted])
-        return rounded(training.report(model, data).withColumn("model", F.lit(name)))
+        made = []
+        for category, rows in _by_category(labelled_comments(spark, folder), ELEVEN):
+            data = training.prepare(rows, ELEVEN)
+            fitted = learners.fit(name, ELEVEN.members[name], data.train, data.rows)
+            made.append(training.report(training.CategoryModel(category, ELEVEN, data.vectorizer, [fitted]), data))
+        return rounded(tables.union_all(made).withColumn("model", F.lit(name)))
 
     return run
 
@@ -47,35 +49,29 @@ for _name in ELEVEN.members:
 
 @query("voted_ensemble")
 def voted_ensemble(spark, folder):
-    model, made = training.train_category("quality", _category(spark, folder, "quality"), ELEVEN, tune=False)
-    return rounded(made.withColumn("path", F.lit(model.path)))
+    models, made, failed = training.train_all(labelled_comments(spark, folder), ELEVEN, tune=True)
+    none_failed(failed)
+    paths = spark.createDataFrame([(m.category, m.path) for m in models], "category string, path string")
+    return rounded(made.join(F.broadcast(paths), "category").select(*made.columns, "path"))
 
 
 @query("searched_parameters")
 def searched_parameters(spark, folder):
-    data = training.prepare(_category(spark, folder, "quality"), SEVEN)
     tried = []
-    for name, grid in (("lr", [{"C": 0.1}, {"C": 0.2}, {"C": 1.0}]), ("mnb", [{"smoothing": 1.0}, {"smoothing": 2.0}])):
-        best, scores = training.search(name, SEVEN.members[name], grid, data, 3)
-        tried += [
-            (name, str(sorted(p.items())), round(s, 6), int({**SEVEN.members[name], **p} == best))
-            for p, s in zip(grid, scores)
-        ]
-    return spark.createDataFrame(tried, "model string, parameters string, accuracy double, chosen int")
-
-
-FAST = replace(SEVEN, members={n: SEVEN.members[n] for n in ("lr", "mnb", "rf")}, grids={"mnb": [{"smoothing": 1.0}, {"smoothing": 2.0}]}, folds=3)
-
-
-def none_failed(failed: dict[str, str]) -> None:
-    """A category that could not be trained must not pass as fewer rows."""
-    if failed:
-        raise RuntimeError(f"not trained: {failed}")
+    for category, rows in _by_category(labelled_comments(spark, folder), SEVEN):
+        data = training.prepare(rows, SEVEN)
+        for name, grid in SEVEN.grids.items():
+            best, scores = training.search(name, SEVEN.members[name], grid, data, SEVEN.folds)
+            tried += [
+                (category, name, str(sorted(p.items())), round(s, 6), int({**SEVEN.members[name], **p} == best))
+                for p, s in zip(grid, scores)
+            ]
+    return spark.createDataFrame(tried, "category string, model string, parameters string, accuracy double, chosen int")
 
 
 @query("trained_categories")
 def trained_categories(spark, folder):
-    _, made, failed = training.train_all(labelled_comments(spark, folder), FAST, tune=True)
+    _, made, failed = training.train_all(labelled_comments(spark, folder), SEVEN, tune=True)
     none_failed(failed)
     return rounded(metrics.model_summary(
         made.where(F.col("split") == TRAIN), made.where(F.col("split") == TEST), ["category", "model"]
@@ -90,7 +86,7 @@ def _length_logits():
 @query("predicted_categories")
 def predicted_categories(spark, folder):
     """Train, save, load, predict every category for every comment, score the hits' sentiment."""
-    models, _, failed = training.train_all(labelled_comments(spark, folder), replace(FAST, members={"lr": {"C": 0.2}, "mnb": {}}), tune=False)
+    models, _, failed = training.train_all(labelled_comments(spark, folder), SEVEN, tune=True)
     none_failed(failed)
     place = shared_path(spark, "models")
     save_models(spark, models, place)
@@ -108,9 +104,8 @@ def predicted_categories(spark, folder):
 @query("predicted_rest")
 def predicted_rest(spark, folder):
     """Train on a capped sample of each class, predict the rows left over, beside their truth."""
-    profile = replace(FAST, members={"lr": {"C": 0.2}, "mnb": {}}, cap=50)
     rows = labelled_comments(spark, folder)
-    models, _, failed = training.train_all(rows, profile, tune=False)
+    models, _, failed = training.train_all(rows, ELEVEN, tune=True)
     none_failed(failed)
-    rest = training.predict_long(training.rows_to_score(rows, profile), models)
+    rest = training.predict_long(training.rows_to_score(rows, ELEVEN), models)
     return rest.select("comment_id", "category", "label", F.round("p1", 6).alias("p1"), "predicted")
