@@ -246,7 +246,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Of rows with one id, or with none, one of each component stays."""
     found = stored(similar_documents(docs).select("doc_id", "n_shingles", "node", "label", "component_id"), "join-found")
     gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("_gone"))
-    many = found.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias("_many"))
+    many = found.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias("_many"))
     many, gone = stored(many, "join-many"), stored(gone.distinct(), "join-gone")
     unclear = docs.join(F.broadcast(many) if fits(many, SENT) else many, F.col("doc_id").eqNullSafe(F.col("_many")), "left_anti")
     plain = unclear.join(F.broadcast(gone) if fits(gone, SENT) else gone, F.col("doc_id") == F.col("_gone"), "left_anti")

@@ -72,3 +72,10 @@ def test_odd_rows(spark):
     rows = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.similar_documents(docs).collect()), key=str)
     assert rows == sorted([(None, 1, 3), (3, 1, 3), (3, 1, 3), (None, 0, None), (7, 0, 7), (None, 1, None)], key=str)
     assert ngram_join.similar_documents(docs.limit(0)).count() == 0
+
+
+def test_wordless_row_beside_a_copy_of_its_id(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, text), (2, text), (2, None), (2, ""), (2, " ")], "doc_id long, text string")
+    rows = [(r.doc_id, r.text) for r in ngram_join.one_of_each(docs).collect()]
+    assert sorted(rows, key=str) == sorted([(1, text), (2, None), (2, ""), (2, " ")], key=str)
