@@ -10,6 +10,8 @@ from kanaat.session import shared_path
 from kanaat.sources import files, sinks
 from kanaat.sources.tables import table
 
+MOST_CATEGORIES = 1000
+
 
 @query("csv_read_back", "SELECT doc_id::VARCHAR AS doc_id, lang AS category, text FROM documents WHERE text <> ''")
 def csv_read_back(spark, folder):
@@ -30,7 +32,9 @@ def first_file_per_category(spark, folder):
     """The file a category is read from, by the beginnings of file names."""
     docs = table(spark, folder, "documents")
     names = docs.select(F.concat(F.lit("/in/"), "doc_id").alias("path"), F.concat("lang", F.lit("_"), "source", F.lit("_"), "doc_id", F.lit(".csv")).alias("name"))
-    known = [r.lang for r in docs.select("lang").distinct().limit(1000).collect()]
+    known = [r.lang for r in docs.select("lang").distinct().limit(MOST_CATEGORIES + 1).collect()]
+    if len(known) > MOST_CATEGORIES:
+        raise ValueError(f"more than {MOST_CATEGORIES} categories")
     return files.one_file_per_category(names, known)
 
 
