@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
-MODULES = ["sharding", "secrets", "byte_pair", "quality_rules", "neighbour_forest", "packing", "token_files", "toxicity", "ngram_join", "site_quality", "phrase_fingerprint", "collocations"]
+MODULES = ["sharding", "secrets", "byte_pair", "quality_rules", "neighbour_forest", "packing", "token_files", "toxicity", "ngram_join", "site_quality", "phrase_fingerprint", "collocations", "token_alignment"]
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
