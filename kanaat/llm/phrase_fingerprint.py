@@ -14,7 +14,7 @@ meet in a second step. Texts travel once.
 Null texts count as empty; two empty texts are alike (1), an empty one and another are not (0). Ids are of any type
 with an order, may be null (last) and repeat (then ordered by a hash of the text); equal rows follow one another.
 Other columns are left out of the query; `fingerprints` keeps them and replaces one called ``fingerprint``. A text
-is parsed in one piece, so a task's memory follows its longest text: about 100 bytes for each phrase.
+is parsed in one piece, so a task's memory follows its longest text: about 150 bytes for each phrase.
 """
 
 from __future__ import annotations
@@ -32,59 +32,64 @@ from kanaat.llm.registry import query, table
 from kanaat.llm.storage import stored
 
 # Hashes a signature keeps.
-SIZE = 128
+SIZE = 64
 # Bytes of text in a range of neighbouring rows, by which the number of ranges is chosen.
 RANGE_BYTES = 8 << 20
 
 
+def parse(text: bytes, at: int, known: dict[int, int], node: int, ends: list[int]) -> int:
+    """Parses on from byte ``at``: adds phrases to ``known`` (number of a phrase and a byte behind it: number of the
+    longer phrase, numbers in steps of 256) and their ends to ``ends``. ``node``: the known phrase that the text runs
+    along so far; returns the one it ends in, 0 after a phrase's end."""
+    get, push, size = known.get, ends.append, (len(known) + 1) << 8
+    for at, byte in enumerate(text, at + 1):
+        longer = get(node | byte)
+        if longer is None:
+            known[node | byte] = size
+            size += 256
+            node = 0
+            push(at)
+        else:
+            node = longer
+    return node
+
+
 def phrase_ends(text: bytes) -> list[int]:
-    """Where the phrases of a text end. Every prefix of a phrase is a phrase, so how far the text runs along known
-    ones is found by halving between a length that is known and one that is not."""
+    """Where the phrases of a text end; what is left at the end is a phrase that was seen."""
     ends: list[int] = []
-    seen: set[bytes] = set()
-    add, push = seen.add, ends.append
-    at, n, guess = 0, len(text), 1
-    while at < n:
-        known, step = 0, guess
-        left = n - at
-        while True:  # a length that is not known, or the end of the text
-            if step > left:
-                step = left
-            if text[at:at + step] in seen:
-                known = step
-                if step == left:
-                    break
-                step += 3
-            else:
-                break
-        if known == left:  # the rest is a phrase that was seen
-            push(n)
-            break
-        unknown = step
-        while unknown - known > 1:
-            middle = (known + unknown) >> 1
-            if text[at:at + middle] in seen:
-                known = middle
-            else:
-                unknown = middle
-        add(text[at:at + unknown])
-        at += unknown
-        push(at)
-        guess = unknown
+    if parse(text, 0, {}, 0, ends):
+        ends.append(len(text))
     return ends
 
 
+def forked_ends(head: bytes, tails: list[bytes]) -> list[list[int]]:
+    """The phrase ends of the head with each of the tails; the head is parsed once."""
+    known: dict[int, int] = {}
+    first: list[int] = []
+    node = parse(head, 0, known, 0, first)
+    size, out = len(known), []
+    for tail in tails:
+        ends = list(first)
+        if parse(tail, len(head), known, node, ends):
+            ends.append(len(head) + len(tail))
+        while len(known) > size:
+            known.popitem()
+        out.append(ends)
+    return out
+
+
 def signatures(texts: Texts, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all rows' signatures, row by row and ascending, and how many each row has."""
     raw = texts.data.tobytes()
-    ends, counts = [], np.zeros(texts.rows, np.int64)
-    for r, (a, b) in enumerate(zip(texts.at[:-1].tolist(), texts.at[1:].tolist(), strict=True)):
-        found = np.array(phrase_ends(raw[a:b]), np.int64) + a
-        ends.append(found)
-        counts[r] = len(found)
+    return signed(texts, [phrase_ends(raw[a:b]) for a, b in zip(texts.at[:-1].tolist(), texts.at[1:].tolist(), strict=True)], size)
+
+
+def signed(texts: Texts, phrases: list[list[int]], size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of rows whose phrases end at the given places."""
+    counts = np.array([len(p) for p in phrases], np.int64)
     if not counts.sum():
         return np.zeros(0, np.uint32), counts
-    end = np.concatenate(ends)
+    end = np.concatenate([np.array(p, np.int64) + a for p, a in zip(phrases, texts.at[:-1].tolist(), strict=True)])
     start = np.concatenate([[0], end[:-1]])
     row = np.repeat(np.arange(texts.rows), counts)
     first = np.cumsum(counts) - counts
@@ -108,11 +113,6 @@ def as_text(hashes: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.StringArray.from_buffers(len(counts), pa.py_buffer(at.astype(np.int32)), pa.py_buffer(letters.encode()))
 
 
-def from_text(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    texts = [s or "" for s in strings.to_pylist()]
-    return np.frombuffer(bytes.fromhex("".join(texts)), ">u4").astype(np.uint32), np.array([len(t) // 8 for t in texts], np.int64)
-
-
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], size: int = SIZE) -> np.ndarray:
     """Estimated share of common phrases of each row of ``a`` and the same row of ``b``."""
     rows = len(a[1])
@@ -137,94 +137,104 @@ def fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return with_text_columns(docs, text_col, make, "fingerprint string")
 
 
-PAIR = ("n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, "
-        "near_next double")
+PAIR = "n_chars bigint, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+NAMES = [part.split()[0] for part in PAIR.split(", ")]
+Signatures = tuple[np.ndarray, np.ndarray]
+
+
+def as_bytes(hashes: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Each row's hashes, big-endian."""
+    at = (np.concatenate([[0], np.cumsum(counts)]) * 4).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(at), pa.py_buffer(hashes.astype(">u4").tobytes())])
+
+
+def from_bytes(column: pa.Array) -> Signatures:
+    held = [b or b"" for b in column.to_pylist()]
+    return np.frombuffer(b"".join(held), ">u4").astype(np.uint32), np.array([len(b) // 4 for b in held], np.int64)
 
 
-def edited(text: str, following: str) -> str:
-    half = len(text) // 2
-    return text[:len(text) - half] + following[:half]
+def as_piece(texts: list[bytes]) -> Texts:
+    return Texts(np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)]), 0)
 
 
-def pair_columns(texts: list[str], following: list[str], own: tuple[np.ndarray, np.ndarray],
-                 after: tuple[np.ndarray, np.ndarray]) -> list[pa.Array]:
-    """The columns of PAIR for texts, the texts behind them and the signatures of both."""
-    changed = [edited(t, n).encode() for t, n in zip(texts, following, strict=True)]
-    parts = [signatures(piece) for piece in chunks(pa.array(changed, pa.large_binary()))]
-    new = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+def pair_columns(texts: list[str], following: list[str], after: Signatures | None = None) -> list[pa.Array]:
+    """The columns of PAIR for texts and the texts behind them. ``after``: signatures
+    of the texts behind; without them each text is followed by the next one, and only the last one's is made anew."""
+    whole, changed, own, new = [], [], [], []
+    for text, next_text in zip(texts, following, strict=True):
+        half = len(text) // 2
+        head, tail, other = text[:len(text) - half].encode(), text[len(text) - half:].encode(), next_text[:half].encode()
+        ends = forked_ends(head, [tail, other])
+        whole.append(head + tail)
+        changed.append(head + other)
+        own.append(ends[0])
+        new.append(ends[1])
+    mine, edited = signed(as_piece(whole), own), signed(as_piece(changed), new)
+    if after is None:
+        last = signatures(as_piece([following[-1].encode()]))
+        after = np.concatenate([mine[0][mine[1][0]:], last[0]]), np.concatenate([mine[1][1:], last[1]])
     return [
-        pa.array([len(t) for t in texts], pa.int64()),
-        pa.array([hashlib.sha256(c).hexdigest() for c in changed], pa.string()),
-        as_text(*own), as_text(*new), pa.array(likeness(own, new)), pa.array(likeness(own, after)),
+        pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(c).digest() for c in changed], pa.binary()),
+        as_bytes(*mine), as_bytes(*edited), pa.array(likeness(mine, edited)), pa.array(likeness(mine, after)),
     ]
 
 
 def along_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None) -> DataFrame:
-    """(id, *PAIR): each row beside its edited text and the row behind it, by descending id; the first row follows
-    the last one. ``ranges``: how many ranges of ids (by default from the bytes of all texts)."""
+    """Each row's id (``doc_id``), code points, and signature beside those of its edited text and the row behind it by
+    descending id; the first row follows the last one. In the edited text the second half of the code points gives
+    way to the first as many of the row behind. ``ranges``: how many ranges of ids (by default from the bytes of all texts)."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     if ranges is None:
         ranges = max(1, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // RANGE_BYTES))
     order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
     dealt = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    fields = f"doc_id {kind}, {PAIR}, place int, text string, fingerprint_own string"
+    names = ["doc_id", *NAMES, "place", "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         place, held = TaskContext.get().partitionId(), None
 
-        def edge(id_: pa.Array, text: str, own: tuple[np.ndarray, np.ndarray], which: int) -> pa.RecordBatch:
-            empty = [pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())]
-            return pa.RecordBatch.from_arrays(
-                [id_, *empty, pa.array([2 * place + which], pa.int32()), pa.array([text]), as_text(*own)], names)
+        def edge(row: tuple[pa.Array, str], which: int) -> pa.RecordBatch:
+            empty = [pa.nulls(1, t) for t in (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64())]
+            return pa.RecordBatch.from_arrays([row[0], *empty, pa.array([2 * place + which], pa.int32()), pa.array([row[1]])], names)
 
-        names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
-                 "place", "text", "fingerprint_own"]
         for batch in batches:
             for piece in chunks(batch.column(1)):
                 ids = batch.column(0).slice(piece.first, piece.rows)
-                raw = piece.data.tobytes()
-                texts = [raw[a:b].decode() for a, b in zip(piece.at[:-1].tolist(), piece.at[1:].tolist(), strict=True)]
-                hashes, counts = signatures(piece)
+                texts = [t.decode() for t in np.split(piece.data, piece.at[1:-1]) for t in [t.tobytes()]]
                 if held is None:
-                    yield edge(ids.slice(0, 1), texts[0], (hashes[:counts[0]], counts[:1]), 0)
+                    yield edge((ids.slice(0, 1), texts[0]), 0)
                 else:
                     ids, texts = pa.concat_arrays([held[0], ids]), [held[1], *texts]
-                    hashes, counts = np.concatenate([held[2][0], hashes]), np.concatenate([held[2][1], counts])
-                last = counts[-1]
-                own, after = (hashes[:len(hashes) - last], counts[:-1]), (hashes[counts[0]:], counts[1:])
-                held = ids.slice(len(ids) - 1, 1), texts[-1], (hashes[len(hashes) - last:], counts[-1:])
-                if len(texts) > 1:
-                    n = len(texts) - 1
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.slice(0, n), *pair_columns(texts[:-1], texts[1:], own, after), pa.nulls(n, pa.int32()),
-                         pa.nulls(n, pa.string()), pa.nulls(n, pa.string())], names)
+                n = len(texts) - 1
+                held = ids.slice(n, 1), texts[-1]
+                if n:
+                    columns = pair_columns(texts[:-1], texts[1:])
+                    yield pa.RecordBatch.from_arrays([ids.slice(0, n), *columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.string())], names)
         if held is not None:
-            yield edge(*held, 1)
+            yield edge(held, 1)
 
-    walked = stored(dealt.mapInArrow(run, fields), "fingerprints")
+    walked = stored(dealt.mapInArrow(run, f"doc_id {kind}, {PAIR}, place int, text string"), "fingerprints")
     # The first (even place) and last (odd) row of every range, as many as there are ranges: a last row is followed
     # by the first row of the next range that has any. Only their places are gathered, to number them.
-    edges = walked.where(F.col("place").isNotNull())
-    places = [r.place for r in edges.select("place").orderBy("place").collect()]
-    firsts = places[::2]
-    link = [(2 * (p // 2) + 1, firsts[(i + 1) % len(firsts)]) for i, p in enumerate(firsts)]
-    links = docs.sparkSession.createDataFrame(link, "place int, following int")
-    after = edges.select(F.col("place").alias("following"), F.col("text").alias("next_text"), F.col("fingerprint_own").alias("next_own"))
-    met = edges.select("doc_id", "place", "text", "fingerprint_own").join(links, "place").join(after, "following")
+    edges = walked.where(F.col("place").isNotNull()).select("doc_id", "place", "text")
+    firsts = sorted(r.place for r in edges.where(F.col("place") % 2 == 0).select("place").collect())
+    links = docs.sparkSession.createDataFrame([(p + 1, firsts[(i + 1) % len(firsts)]) for i, p in enumerate(firsts)], "place int, following int")
+    after = edges.select(F.col("place").alias("following"), F.col("text").alias("next_text"))
+    met = edges.join(links, "place").join(after, "following").select("doc_id", "text", "next_text")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                texts, own, following, after = (batch.column(i) for i in range(1, 5))
-                columns = pair_columns(texts.to_pylist(), following.to_pylist(), from_text(own), from_text(after))
-                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *names])
+                texts, following = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+                columns = pair_columns(texts, following, signatures(as_piece([t.encode() for t in following])))
+                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *NAMES])
 
-    names = [part.split()[0] for part in PAIR.split(", ")]
-    last = met.select("doc_id", "text", "fingerprint_own", "next_text", "next_own").mapInArrow(meet, f"doc_id {kind}, {PAIR}")
-    return walked.where(F.col("place").isNull()).select("doc_id", *names).unionByName(last)
+    last = met.mapInArrow(meet, f"doc_id {kind}, {PAIR}")
+    found = walked.where(F.col("place").isNull()).select("doc_id", *NAMES).unionByName(last)
+    return found.select("doc_id", "n_chars", *(F.lower(F.hex(c)).alias(c) for c in NAMES[1:4]), "near_edited", "near_next")
 
 
 @query("op11_phrase_fingerprints")

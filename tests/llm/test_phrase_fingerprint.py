@@ -63,14 +63,21 @@ def test_signatures_do_not_depend_on_pieces(most):
     assert got == [plain_signature(t or "") for t in texts]
 
 
-def test_text_form_goes_both_ways():
+def test_stored_form_goes_both_ways():
     hashes, counts = np.array([1, 2**32 - 1, 5], np.uint32), np.array([2, 0, 1])
-    strings = P.as_text(hashes, counts)
-    assert strings.to_pylist() == ["00000001ffffffff", "", "00000005"]
-    back = P.from_text(strings)
+    assert P.as_text(hashes, counts).to_pylist() == ["00000001ffffffff", "", "00000005"]
+    held = P.as_bytes(hashes, counts)
+    assert [b.hex() for b in held.to_pylist()] == P.as_text(hashes, counts).to_pylist()
+    back = P.from_bytes(held)
     assert back[0].tolist() == hashes.tolist() and back[1].tolist() == counts.tolist()
 
 
+def test_a_shared_head_is_parsed_once():
+    for a, b, c in zip(random_texts(50), random_texts(50, 8), random_texts(50, 9)):
+        a, b, c = a.encode(), b.encode(), c.encode()
+        assert P.forked_ends(a, [b, c, b""]) == [P.phrase_ends(a + b), P.phrase_ends(a + c), P.phrase_ends(a)]
+
+
 def expected(rows):
     def key(r):
         return (r[0] is None, -(r[0] or 0))
