@@ -39,9 +39,9 @@ NO_LANG = "und"
 # Bits of the filter of frequent words, and of one of its numbers.
 FILTER_BITS, WORD_BITS = 1 << 25, 32
 # Records of a range of the sorted order, ranges at most, and sampled records at most.
-RANGE_RECORDS, MOST_RANGES, SAMPLE = 1_000_000, 65_536, 100_000
-# Bytes of text that are sorted together, distinct words a task adds up before it passes them on.
-CHUNK, HELD = 4 << 20, 400_000
+RANGE_RECORDS, MOST_RANGES, SAMPLE = 3_000_000, 65_536, 100_000
+# Bytes of text that are cut into words together, distinct words and sorted records a task holds before it passes them on.
+CHUNK, HELD, RECORDS = 4 << 20, 400_000, 2_000_000
 # floor(1000 a n / (l r)) in whole decimals of 38 digits.
 SCORE = "(cast(1000 as decimal(38,0)) * cast(f as decimal(38,0)) * cast(n as decimal(38,0))) div (cast(l as decimal(38,0)) * cast(r as decimal(38,0)))"
 # Parts a language's phrases are dealt to before the best of all are taken.
@@ -85,7 +85,7 @@ class Words:
         """One row for each word that starts a phrase of two frequent words or more: 1 + its place in ``names`` and
         those of the words behind it, 0 behind the last one."""
         good = frequent[self.ids]
-        out = np.zeros((self.n, LONGEST), np.int64)
+        out = np.zeros((self.n, LONGEST), np.int32)
         alive = good.copy()
         out[alive, 0] = self.ids[alive] + 1
         for k in range(1, LONGEST):
@@ -188,9 +188,10 @@ def passed(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def packed(records: np.ndarray, top: int) -> list[np.ndarray]:
     """A few numbers that order records as their words do; places are at most ``top``."""
+    w = [records[:, k].astype(np.int64) for k in range(LONGEST)]
     if top < 1 << 21:
-        return [(records[:, 0] << 42) | (records[:, 1] << 21) | records[:, 2], (records[:, 3] << 21) | records[:, 4]]
-    return [(records[:, 0] << 31) | records[:, 1], (records[:, 2] << 31) | records[:, 3], records[:, 4]]
+        return [(w[0] << 42) | (w[1] << 21) | w[2], (w[3] << 21) | w[4]]
+    return [(w[0] << 31) | w[1], (w[2] << 31) | w[3], w[4]]
 
 
 def combined(records: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -209,27 +210,54 @@ def combined(records: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
     return records[order[begin]], np.add.reduceat(counts[order], begin)
 
 
-def run_bytes(records: np.ndarray, counts: np.ndarray, names: pa.Table) -> bytes:
-    """A sorted run on its own: the words it uses, its columns and its counts, compressed."""
-    used, local = np.unique(records, return_inverse=True)
-    local, used = local.reshape(records.shape), used[used > 0] - 1
-    if not (records == 0).any():
-        local = local + 1
-    sink = pa.BufferOutputStream()
-    own = names.take(pa.array(used))
-    columns = {f"w{k}": pa.array(np.diff(local[:, k], prepend=0).astype(np.int32)) for k in range(LONGEST)}
-    for part in (own.combine_chunks(), pa.table({**columns, "n": pa.array(counts)})):
-        with pa.ipc.new_stream(sink, part.schema) as writer:
-            writer.write_table(part)
-    return zstandard.ZstdCompressor(level=1).compress(sink.getvalue().to_pybytes())
+Run = tuple[pa.Table, np.ndarray, np.ndarray]
 
 
-def run_of(blob: bytes) -> tuple[pa.Table, np.ndarray, np.ndarray]:
-    buffer = pa.BufferReader(zstandard.ZstdDecompressor().decompress(blob))
-    names = pa.ipc.open_stream(buffer).read_all()
-    columns = pa.ipc.open_stream(buffer).read_all()
-    records = np.stack([np.cumsum(columns.column(f"w{k}").to_numpy().astype(np.int64)) for k in range(LONGEST)], axis=1)
-    return names, records, columns.column("n").to_numpy()
+def planes(values: np.ndarray) -> bytes:
+    """The lowest bytes of all numbers, then the next ones, and so on: they compress better side by side."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def run_bytes(records: np.ndarray, counts: np.ndarray, names: pa.Table) -> bytes:
+    """A sorted run on its own, compressed: the words it uses, the first two columns as steps, the others as ranks by
+    how often a word stands there."""
+    flags = np.zeros(len(names) + 1, np.int64)
+    for k in range(LONGEST):
+        flags[records[:, k]] = 1
+    flags[0] = 0
+    local = np.cumsum(flags)[records]
+    own = names.take(pa.array(np.flatnonzero(flags) - 1)).combine_chunks()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, own.schema) as writer:
+        writer.write_table(own)
+    spelled = sink.getvalue().to_pybytes()
+    order = np.argsort(-np.bincount(local[:, 2:].ravel(), minlength=len(own) + 1), kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    first = np.diff(local[:, 0], prepend=0)
+    second = np.where(first > 0, local[:, 1], np.diff(local[:, 1], prepend=0))
+    head = np.array([len(records), len(order), len(spelled)], "<i8").tobytes()
+    columns = [planes(c) for c in (first, second, *(rank[local[:, k]] for k in range(2, LONGEST)), counts & 0xFFFFFFFF, counts >> 32, order)]
+    return zstandard.ZstdCompressor(level=1).compress(head + spelled + b"".join(columns))
+
+
+def run_of(blob: bytes) -> Run:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n, m, spelled = np.frombuffer(raw, "<i8", 3).tolist()
+    names = pa.ipc.open_stream(pa.BufferReader(raw[24:24 + spelled])).read_all()
+    at = 24 + spelled
+
+    def column(size: int) -> np.ndarray:
+        nonlocal at
+        at += 4 * size
+        return np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * size, at - 4 * size).reshape(4, size).T).view("<u4").reshape(-1).astype(np.int64)
+
+    first, second, *ranks, low, high = [column(n) for _ in range(LONGEST + 2)]
+    order = column(m)
+    upto, begin = np.cumsum(second), np.flatnonzero(first > 0)
+    base = np.repeat((upto - second)[begin], np.diff(np.append(begin, n)))
+    records = np.stack([np.cumsum(first), upto - base, *(order[r] for r in ranks)], axis=1).astype(np.int32)
+    return names, records, low | high << 32
 
 
 def bounds_in(names: pa.Table, bounds: list[tuple]) -> np.ndarray:
@@ -250,7 +278,7 @@ def bounds_in(names: pa.Table, bounds: list[tuple]) -> np.ndarray:
 def cut_places(records: np.ndarray, names: pa.Table, bounds: list[tuple]) -> np.ndarray:
     """How many of the sorted records stand before each bound."""
     top = 2 * len(names) + 3
-    keys = packed(np.where(records > 0, 2 * records + 1, 0), top)
+    keys = packed(np.where(records > 0, 2 * records.astype(np.int64) + 1, 0), top)
     out = np.zeros(len(bounds), np.int64)
     for i, bound in enumerate(zip(*(k.tolist() for k in packed(bounds_in(names, bounds), top)), strict=True)):
         low, high = 0, len(records)
@@ -306,25 +334,23 @@ def prefix_counts(records: np.ndarray, counts: np.ndarray, names: pa.Table, leas
                                       ["lang", "phrase", "size", "f"])
 
 
-def merged(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.Table]:
+def merged(parts: list[Run]) -> Run:
     """Sorted runs as one, over the words of all of them."""
-    parts = [run_of(b) for b in blobs]
     every = pa.concat_tables([p[0] for p in parts])
     distinct = every.group_by(["lang", "word"]).aggregate([])
     names = distinct.take(pc.sort_indices(distinct, [("lang", "ascending"), ("word", "ascending")])).select(["lang", "word"]).combine_chunks()
-    # Places of the runs' words among all: both are joined as one key of two lengths and bytes.
-    def keys(t: pa.Table) -> pa.Array:
+
+    def keys(t: pa.Table) -> pa.Array:  # a language's length, the language and the word as one value
         lengths = pc.binary_length(t.column("lang")).cast(pa.string()).cast(pa.binary())
         return pc.binary_join_element_wise(lengths, t.column("lang"), t.column("word"), b"\t").combine_chunks()
 
-    place = pc.index_in(keys(every), keys(names)).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    place = pc.index_in(keys(every), keys(names)).to_numpy(zero_copy_only=False).astype(np.int32) + 1
     out, at = [], 0
     for own, records, _ in parts:
-        to = np.concatenate([[0], place[at:at + len(own)]])
+        to = np.concatenate([np.zeros(1, np.int32), place[at:at + len(own)]])
         out.append(to[records])
         at += len(own)
-    records, counts = combined(np.concatenate(out), np.concatenate([p[2] for p in parts]))
-    return records, counts, names
+    return names, *combined(np.concatenate(out), np.concatenate([p[2] for p in parts]))
 
 
 def phrase_counts(rows: DataFrame, frequent: DataFrame, total: int, least: int, range_records: int = RANGE_RECORDS) -> DataFrame:
@@ -335,29 +361,40 @@ def phrase_counts(rows: DataFrame, frequent: DataFrame, total: int, least: int,
     ends = spark.sparkContext.broadcast(bounds)
 
     def deal(batches: Batches) -> Batches:
-        for piece in word_pieces(batches):
-            if not piece.n:
-                continue
-            records = piece.records(passed(keep.value, piece.hashes))
-            if not len(records):
-                continue
-            records, counts = combined(records, np.ones(len(records), np.int64))
-            cuts = np.concatenate([[0], cut_places(records, piece.names, ends.value), [len(records)]])
+        def out() -> pa.RecordBatch:
+            names, records, counts = merged(held)
+            cuts = np.concatenate([[0], cut_places(records, names, ends.value), [len(records)]])
             full = np.flatnonzero(np.diff(cuts))
-            blobs = [run_bytes(records[cuts[i]:cuts[i + 1]], counts[cuts[i]:cuts[i + 1]], piece.names) for i in full]
-            yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "run"])
+            blobs = [run_bytes(records[a:b], counts[a:b], names) for a, b in zip(cuts[full].tolist(), cuts[full + 1].tolist(), strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "run"])
+
+        held, size = [], 0
+        for piece in word_pieces(batches):
+            records = piece.records(passed(keep.value, piece.hashes)) if piece.n else np.zeros((0, LONGEST), np.int32)
+            if len(records):
+                held.append((piece.names, *combined(records, np.ones(len(records), np.int64))))
+                size += len(held[-1][1])
+                if size >= RECORDS:
+                    yield out()
+                    held, size = [], 0
+        if held:
+            yield out()
 
     def count(batches: Batches) -> Batches:
+        def out() -> pa.RecordBatch:
+            names, records, counts = merged([run_of(b) for b in held])
+            return prefix_counts(records, counts, names, least)
+
         part, held = None, []
         for batch in batches:
             for p, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if p != part and held:
-                    yield prefix_counts(*merged(held), least)
+                    yield out()
                     held = []
                 part = p
                 held.append(blob)
         if held:
-            yield prefix_counts(*merged(held), least)
+            yield out()
 
     runs = rows.mapInArrow(deal, "part int, run binary").repartition(len(bounds) + 1, "part").sortWithinPartitions("part")
     found = runs.mapInArrow(count, "lang string, phrase string, size int, f bigint")

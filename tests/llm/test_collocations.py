@@ -89,8 +89,10 @@ def test_runs_go_both_ways():
     piece = C.Words(texts, pa.array(["en", "de"]))
     records = piece.records(np.ones(len(piece.names), bool))
     records, counts = C.combined(records, np.ones(len(records), np.int64))
-    back = C.merged([C.run_bytes(records, counts, piece.names)] * 2)
-    assert back[0].tolist() == records.tolist() and back[1].tolist() == (2 * counts).tolist()
+    counts = counts + (1 << 33)
+    back = C.merged([C.run_of(C.run_bytes(records, counts, piece.names))] * 2)
+    assert back[0].to_pylist() == piece.names.to_pylist()
+    assert back[1].tolist() == records.tolist() and back[2].tolist() == (2 * counts).tolist()
     large = C.packed(records, 1 << 22)
     assert np.lexsort(large[::-1]).tolist() == list(range(len(records)))
 
