@@ -1,20 +1,20 @@
 """The base learners behind one interface: fit on (id, features, label), add a column with the
 probability of class 1, save and load.
 
-Declared substitutes, where MLlib has no equal: extra trees are unbagged random trees over few
-candidate thresholds; bagging draws features per node, not per tree; the support vector machine is
-linear with calibrated probabilities; a forest has no minimum split size."""
+Forests, extra trees, bagged trees and single trees are grown by `forests`, all of a call together. The support
+vector machine is linear with calibrated probabilities."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
-    DecisionTreeClassificationModel,
     DecisionTreeClassifier,
     GBTClassificationModel,
     GBTClassifier,
@@ -24,14 +24,13 @@ from pyspark.ml.classification import (
     LogisticRegressionModel,
     NaiveBayes,
     NaiveBayesModel,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
 )
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kanaat.functions.fixed_values import NEIGHBOURS, SEED
+from kanaat.operators import forests
 from kanaat.operators.neighbours import BROADCAST_ROWS, knn_classify, matrix_of, nearest
 from kanaat.operators.ranking import hash_rank
 from kanaat.session import durable, fits
@@ -148,21 +147,66 @@ class Boosted:
         PipelineModel(self.stumps).write().overwrite().save(path)
 
 
-def forest(name, params):
-    given = {"numTrees": 100, "maxDepth": 30, "seed": SEED, **params}
-    return RandomForestClassifier(featuresCol="features", labelCol="label", **_columns(name), **given)
+@dataclass
+class Grown:
+    """A forest as flat arrays."""
+
+    name: str
+    trees: forests.Trees
+    terms: int
+
+    def score(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(f"p_{self.name}", forests.scorer(df.sparkSession, self.trees, self.terms)(F.col("features")))
+
+    def save(self, path: str) -> None:
+        spark = SparkSession.active()
+        row = [(self.terms, bytearray(self.trees.bytes()))]
+        spark.createDataFrame(row, "terms int, trees binary").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+TREES = ("rf", "et", "bagging", "dt")
+
+
+def forest(name: str, params: dict, unseen: int | None = None) -> forests.Forest:
+    """How a learner's trees grow."""
+    shape = {"depth": params.get("maxDepth", 30), "min_leaf": params.get("minInstancesPerNode", 1), "min_split": params.get("minRowsToSplit", 2),
+             "unseen": unseen}
+    trees = params.get("numTrees", {"bagging": 10, "dt": 1}.get(name, 100))
+    if name == "rf":
+        return forests.Forest(trees=trees, seed=SEED, **shape)
+    if name == "et":
+        return forests.Forest(trees=trees, rows=None, drawn=True, seed=SEED + 1, **shape)
+    if name == "bagging":
+        return forests.Forest(trees=trees, rows=params.get("rows", 1.0), per_node=1.0, per_tree=params.get("terms", 1.0), seed=SEED + 2, **shape)
+    if name == "dt":
+        return forests.Forest(trees=1, rows=None, per_node=1.0, seed=SEED, **shape)
+    raise ValueError(name)
+
+
+def number_of_terms(train: DataFrame) -> int:
+    return train.first().features.size
+
+
+def fit_trees(settings: dict[str, dict], train: DataFrame) -> dict[str, Grown]:
+    """All tree learners of ``settings``, grown together."""
+    names = [n for n in settings if n in TREES]
+    if not names:
+        return {}
+    terms = number_of_terms(train)
+    grown = forests.grow(train, [forest(n, settings[n]) for n in names], terms)
+    return {n: Grown(n, trees, terms) for n, trees in zip(names, grown, strict=True)}
+
+
+def at_once(spark: SparkSession, calls: list) -> list:
+    """Results of calls that each run Spark jobs, a few at a time: a small table's jobs leave most cores idle."""
+    with ThreadPoolExecutor(min(16, max(2, spark.sparkContext.defaultParallelism), max(1, len(calls)))) as pool:
+        return [done.result() for done in [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]]
 
 
 def estimator(name: str, params: dict, rows: int):
     """The MLlib estimator of a learner. ``C`` is the inverse penalty per training row."""
     given = {k: v for k, v in params.items() if k != "C"}
     shared = {"featuresCol": "features", "labelCol": "label", **_columns(name)}
-    if name == "rf":
-        return forest(name, given)
-    if name == "et":
-        return forest(name, {"bootstrap": False, "maxBins": 4, "seed": SEED + 1, **given})
-    if name == "bagging":
-        return forest(name, {"numTrees": 10, "featureSubsetStrategy": "all", "seed": SEED + 2, **given})
     if name == "lr":
         penalty = 1.0 / (params.get("C", 1.0) * rows)
         return LogisticRegression(maxIter=1000, regParam=penalty, elasticNetParam=0.0, standardization=False,
@@ -171,8 +215,6 @@ def estimator(name: str, params: dict, rows: int):
         penalty = 1.0 / (params.get("C", 1.0) * rows)
         shared.pop("probabilityCol")
         return LinearSVC(regParam=penalty, standardization=False, **shared, **given)
-    if name == "dt":
-        return DecisionTreeClassifier(**{"maxDepth": 30, "seed": SEED, **given}, **shared)
     if name == "gnb":
         return NaiveBayes(modelType="gaussian", **shared, **given)
     if name == "mnb":
@@ -186,6 +228,8 @@ def estimator(name: str, params: dict, rows: int):
 
 def fit(name: str, params: dict, train: DataFrame, rows: int):
     """Fit one learner on (id, features, label double)."""
+    if name in TREES:
+        return fit_trees({name: params}, train)[name]
     if name == "knn":
         base = train.select("id", F.col("label"), vector_to_array("features").alias("vector"))
         return Neighbours(name, base, params.get("k", NEIGHBOURS))
@@ -215,30 +259,39 @@ def _boost(name: str, train: DataFrame, rounds: int, store_every: int = 10) -> B
     return Boosted(name, stumps)
 
 
+def curve_of(margins: DataFrame) -> LogisticRegressionModel:
+    """The logistic curve from (label, margin) of rows that their model has not seen to the chance of class 1."""
+    return LogisticRegression().fit(margins.select("label", array_to_vector(F.array("margin")).alias("features")))
+
+
+def margins(name: str, model: LinearSVCModel, rows: DataFrame) -> DataFrame:
+    scored = model.transform(rows)
+    return scored.select("id", "label", vector_to_array(f"_{name}_raw")[1].alias("margin"))
+
+
 def _calibrated(name: str, params: dict, train: DataFrame, rows: int, folds: int = 3) -> Calibrated:
     """The curve is fitted to margins of rows their model has not seen."""
-    parts = durable(hash_rank(train, ["label"], "id").withColumn("_fold", (F.col("rank") - 1) % folds).drop("rank"))
-    unseen = []
-    for i in range(folds):
-        model = estimator(name, params, rows).fit(parts.where(F.col("_fold") != i))
-        scored = model.transform(parts.where(F.col("_fold") == i))
-        unseen.append(scored.select("label", F.col(f"_{name}_raw")))
-    margins = reduce(lambda a, b: a.unionByName(b), unseen)
-    from pyspark.ml.functions import array_to_vector
+    parts = hash_rank(train, ["label"], "id").withColumn("_fold", (F.col("rank") - 1) % folds).drop("rank").persist()
+
+    def held_out(i: int) -> DataFrame:
+        return margins(name, estimator(name, params, rows).fit(parts.where(F.col("_fold") != i)), parts.where(F.col("_fold") == i))
 
-    lines = margins.select("label", array_to_vector(F.slice(vector_to_array(f"_{name}_raw"), 2, 1)).alias("features"))
-    return Calibrated(name, estimator(name, params, rows).fit(train), LogisticRegression().fit(lines))
+    calls = [lambda i=i: held_out(i) for i in range(folds)] + [lambda: estimator(name, params, rows).fit(train)]
+    *unseen, model = at_once(train.sparkSession, calls)
+    made = Calibrated(name, model, curve_of(reduce(lambda a, b: a.unionByName(b), unseen)))
+    parts.unpersist()
+    return made
 
 
 LOADERS = {
-    "rf": RandomForestClassificationModel, "et": RandomForestClassificationModel,
-    "bagging": RandomForestClassificationModel, "lr": LogisticRegressionModel,
-    "dt": DecisionTreeClassificationModel, "gnb": NaiveBayesModel, "mnb": NaiveBayesModel,
-    "gb": GBTClassificationModel,
+    "lr": LogisticRegressionModel, "gnb": NaiveBayesModel, "mnb": NaiveBayesModel, "gb": GBTClassificationModel,
 }
 
 
 def load(spark: SparkSession, name: str, path: str):
+    if name in TREES:
+        held = spark.read.parquet(path).first()
+        return Grown(name, forests.Trees.of(bytes(held.trees)), held.terms)
     if name == "knn":
         return Neighbours(name, spark.read.parquet(path))
     if name == "ada":

@@ -5,17 +5,17 @@ The driver loops over the (few) categories and learners; every fit, score and co
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
+from itertools import product
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kanaat.functions import fixed_values as V
 from kanaat.functions import text as T
-from kanaat.operators import balance, features, learners, metrics, sampling, tables
+from kanaat.operators import balance, features, forests, learners, metrics, sampling, tables
 from kanaat.operators.ensemble import vote
 from kanaat.operators.ranking import hash_rank
 from kanaat.session import durable, shared_path
@@ -45,18 +45,19 @@ SEVEN = Profile(
     name="seven", terms=300, bigrams=True, stop_words=tuple(V.STOP_WORDS_LONG), cleaned=True,
     test_fraction=0.30, cap=None, folds=10,
     members={
-        "rf": {"numTrees": 100, "maxDepth": 8, "minInstancesPerNode": 5},
-        "et": {"numTrees": 100, "maxDepth": 8, "minInstancesPerNode": 5},
-        "bagging": {"numTrees": 100, "subsamplingRate": 0.7, "featureSubsetStrategy": "0.7"},
+        "rf": {"numTrees": 100, "maxDepth": 8, "minInstancesPerNode": 5, "minRowsToSplit": 10},
+        "et": {"numTrees": 100, "maxDepth": 8, "minInstancesPerNode": 5, "minRowsToSplit": 10},
+        "bagging": {"numTrees": 100, "rows": 0.7, "terms": 0.7},
         "lr": {"C": 0.2},
         "svm": {"C": 0.2},
         "mnb": {"smoothing": 2.0},
         "gb": {"maxIter": 100, "maxDepth": 3, "stepSize": 0.03, "subsamplingRate": 0.7, "early_stop": True},
     },
     grids={
-        "rf": [{"numTrees": n, "maxDepth": d, "minInstancesPerNode": m} for n in (100, 150) for d in (5, 6) for m in (5, 8)],
-        "svm": [{"C": 0.1}, {"C": 0.2}],
         "gb": [{"subsamplingRate": 0.6}, {"subsamplingRate": 0.7}],
+        "rf": [{"maxDepth": d, "minInstancesPerNode": m, "minRowsToSplit": s, "numTrees": n}
+               for d in (5, 6) for m in (5, 8) for s in (10, 15) for n in (100, 150)],
+        "svm": [{"C": 0.1}, {"C": 0.2}],
     },
     wider_grids={},
 )
@@ -68,7 +69,7 @@ ELEVEN = Profile(
         "gb": {}, "ada": {"rounds": 50},
     },
     grids={"rf": [{"numTrees": 100, "maxDepth": 30}], "svm": [{"C": 1.0}]},
-    wider_grids={"rf": [{"numTrees": n, "maxDepth": d} for n in (100, 200) for d in (30, 20)]},
+    wider_grids={"rf": [{"maxDepth": d, "numTrees": n} for d in (30, 20) for n in (100, 200)]},
 )
 
 
@@ -151,26 +152,101 @@ def _in_pieces(df: DataFrame, rows: int, rows_per_piece: int = 20_000) -> DataFr
     return df.coalesce(max(1, -(-rows // rows_per_piece)))
 
 
-def search(name: str, base: dict, grid: list[dict], data: Prepared, folds: int) -> tuple[dict, list[float]]:
-    """Cross-validated accuracy of each parameter set; the first best wins."""
-    ranked = sampling.stratified_folds(data.train.withColumn("category", F.lit("")), folds, identity="id")
-    folded = durable(ranked.select("id", "label", "features", F.col("fold").alias("_fold")))
-    plain = {k: v for k, v in base.items() if k != "early_stop"}
-    made = learners.estimator(name, plain, data.rows)
-    maps = []
-    for params in grid:
-        values = dict(params)
-        if "C" in values:
-            values["regParam"] = 1.0 / (values.pop("C") * data.rows)
-        maps.append({made.getParam(k): v for k, v in values.items()})
-    evaluator = MulticlassClassificationEvaluator(
-        labelCol="label", predictionCol=f"_{name}_class", metricName="accuracy"
-    )
-    fitted = CrossValidator(
-        estimator=made, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, foldCol="_fold", parallelism=2
-    ).fit(folded)
-    best = max(range(len(grid)), key=lambda i: (fitted.avgMetrics[i], -i))
-    return {**base, **grid[best]}, [float(a) for a in fitted.avgMetrics]
+@dataclass
+class Search:
+    """What a joint search found. ``chosen``: whole settings, ``chosen_of``: what the grids gave of them. ``scores``: the stored table (id, label, fold, a column for each learner's setting)
+    of probabilities of rows that their model has not seen; ``tried``: for each joint set its columns and accuracy."""
+
+    chosen: dict
+    chosen_of: dict
+    tried: list[tuple[dict, list[str], float]]
+    scores: DataFrame
+    curves: dict
+
+
+def joint_sets(profile: Profile, grids: dict) -> list[dict]:
+    """Every joint choice of one setting for each learner with a grid, the last learner's changing fastest."""
+    names = list(grids)
+    return [dict(zip(names, picked, strict=True)) for picked in product(*(range(len(grids[n])) for n in names))]
+
+
+def search(profile: Profile, data: Prepared, grids: dict | None = None) -> Search:
+    """Cross-validated accuracy of the whole ensemble for every joint choice of settings; the first best wins.
+
+    A vote is a mean of its learners' probabilities, so each learner's setting is fitted once for each fold, whatever
+    the others are set to, and a joint choice is a mean of stored columns: the sum of the settings is fitted, not
+    their product. Trees of all folds and settings grow together; settings that differ in depth or number share them."""
+    grids = profile.grids if grids is None else grids
+    spark = data.train.sparkSession
+    ranked = sampling.stratified_folds(data.train.withColumn("category", F.lit("")), profile.folds, identity="id")
+    folded = _in_pieces(ranked.select("id", "label", "features", "fold"), data.rows).persist()
+    settings = {n: [{**base, **g} for g in grids.get(n, [{}])] for n, base in profile.members.items()}
+    column = {(n, i): f"p_{n}_{i}" for n, own in settings.items() for i in range(len(own))}
+    parts, curves = [], {}
+    trees = _tree_scores(folded, {n: own for n, own in settings.items() if n in learners.TREES}, profile.folds)
+
+    def fitted(name: str, i: int, fold: int) -> DataFrame:
+        seen, left = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+        params = settings[name][i]
+        if name == "svm":
+            return learners.margins(name, learners.estimator(name, params, data.rows).fit(seen), left)
+        scored = learners.fit(name, params, seen, data.rows).score(left)
+        return scored.select("id", F.lit(column[name, i]).alias("name"), F.col(f"p_{name}").alias("p"))
+
+    wanted = [(n, i, k) for n, i in column if n not in learners.TREES for k in range(profile.folds)]
+    made = dict(zip(wanted, learners.at_once(spark, [lambda w=w: fitted(*w) for w in wanted]), strict=True))
+    for name, i in column:
+        own = [made[name, i, k] for k in range(profile.folds) if (name, i, k) in made]
+        if name == "svm":
+            seen_by_none = durable(tables.union_all(own))
+            curves[i] = curve = learners.curve_of(seen_by_none)
+            odds = F.col("margin") * float(curve.coefficients[0]) + float(curve.intercept)
+            own = [seen_by_none.select("id", F.lit(column[name, i]).alias("name"), (1.0 / (1.0 + F.exp(-odds))).alias("p"))]
+        parts += own
+    wide = folded.select("id", "label", "fold")
+    if trees is not None:
+        wide = wide.join(trees, "id")
+    if parts:
+        plain = [c for (n, _), c in column.items() if n not in learners.TREES]
+        wide = wide.join(tables.union_all(parts).groupBy("id").agg(*[F.max(F.when(F.col("name") == c, F.col("p"))).alias(c) for c in plain]), "id")
+    path = shared_path(spark, "searched")
+    wide.write.parquet(path)
+    folded.unpersist()
+    scores = spark.read.parquet(path)
+    sets = joint_sets(profile, grids)
+    voters = [[column[n, own.get(n, 0)] for n in profile.members] for own in sets]
+    right = [F.avg(((sum_of(cols) / len(cols) > 0.5).cast("int") == F.col("label")).cast("double")).alias(f"a{j}") for j, cols in enumerate(voters)]
+    by_fold = scores.groupBy("fold").agg(*right).collect()
+    accuracy = [sum(r[f"a{j}"] for r in by_fold) / len(by_fold) for j in range(len(sets))]
+    best = max(range(len(sets)), key=lambda j: (accuracy[j], -j))
+    tried = [({n: grids[n][i] for n, i in own.items()}, cols, a) for own, cols, a in zip(sets, voters, accuracy, strict=True)]
+    chosen = {n: settings[n][i] for n, i in sets[best].items()}
+    return Search(chosen, tried[best][0], tried, scores, {"svm": curves.get(sets[best].get("svm", 0))})
+
+
+def sum_of(columns: list[str]):
+    return reduce(lambda a, b: a + b, [F.col(c) for c in columns])
+
+
+def _tree_scores(folded: DataFrame, settings: dict, folds: int) -> DataFrame | None:
+    """(id, p_<learner>_<setting>, ..): settings alike but for depth and number are one growth, the deepest and largest."""
+    if not settings:
+        return None
+    growths: dict = {}
+    for name, own in settings.items():
+        for i, params in enumerate(own):
+            shape = learners.forest(name, params)
+            growths.setdefault((name, replace(shape, trees=0, depth=0)), []).append((i, shape))
+    forests_, use = [], []
+    for (name, _), alike in growths.items():
+        for fold in range(folds):
+            grown = replace(alike[0][1], trees=max(s.trees for _, s in alike), depth=max(s.depth for _, s in alike), unseen=fold)
+            forests_.append(grown)
+            use.append((name, fold, [(i, s.depth, s.trees) for i, s in alike]))
+    terms = learners.number_of_terms(folded)
+    grown = forests.grow(folded, forests_, terms)
+    return forests.unseen_scores(folded, [(f"p_{name}_{i}", fold, trees, depth, many) for (name, fold, own), trees in zip(use, grown, strict=True)
+                                          for i, depth, many in own], terms)
 
 
 def _accuracy(model: CategoryModel, vectors: DataFrame) -> float:
@@ -178,26 +254,44 @@ def _accuracy(model: CategoryModel, vectors: DataFrame) -> float:
     return model.judge(vectors).agg(F.avg(right)).first()[0] or 0.0
 
 
-def fit_members(profile: Profile, data: Prepared, chosen: dict | None = None) -> list:
+def fit_members(profile: Profile, data: Prepared, chosen: dict | None = None, curve=None) -> list:
+    """The members with their settings. ``curve``: of margins that a search has already made on unseen rows."""
     settings = {**profile.members, **(chosen or {})}
-    return [learners.fit(name, settings[name], data.train, data.rows) for name in profile.members]
+    grown = learners.fit_trees(settings, data.train) if sum(n in learners.TREES for n in settings) > 1 else {}
+
+    def one(name: str):
+        if name in grown:
+            return grown[name]
+        if name == "svm" and curve is not None:
+            return learners.Calibrated(name, learners.estimator(name, settings[name], data.rows).fit(data.train), curve)
+        return learners.fit(name, settings[name], data.train, data.rows)
+
+    return learners.at_once(data.train.sparkSession, [lambda n=n: one(n) for n in profile.members])
 
 
-def train_category(category: str, labelled: DataFrame, profile: Profile, tune: bool = True) -> tuple[CategoryModel, DataFrame]:
+def train_category(
+    category: str, labelled: DataFrame, profile: Profile, tune: bool = True, searches: dict | None = None
+) -> tuple[CategoryModel, DataFrame]:
     """One category's ensemble and its train / test metrics.
 
     Search, then the default ensemble if the search fails, then the forest alone if that fails too;
-    ``path`` tells which. Low training accuracy starts the wider search where the profile has one."""
+    ``path`` tells which. A search over a single joint set is settled without fits. Low training accuracy starts the
+    wider search where the profile has one. ``searches`` gets what the search of the category found."""
     data = prepare(labelled, profile)
+    data.train.persist()
     path, members = "tuned", None
     try:
-        chosen = {}
-        if tune:
-            for name, grid in profile.grids.items():
-                chosen[name] = search(name, profile.members[name], grid, data, profile.folds)[0]
-        else:
+        chosen, curve = {}, None
+        if not tune:
             path = "default"
-        members = fit_members(profile, data, chosen)
+        elif all(len(g) == 1 for g in profile.grids.values()):
+            chosen = {n: {**profile.members[n], **g[0]} for n, g in profile.grids.items()}
+        else:
+            found = search(profile, data)
+            chosen, curve = found.chosen, found.curves["svm"]
+            if searches is not None:
+                searches[category] = found
+        members = fit_members(profile, data, chosen, curve)
     except Exception as reason:
         path = f"default after {type(reason).__name__}"
         try:
@@ -207,12 +301,11 @@ def train_category(category: str, labelled: DataFrame, profile: Profile, tune: b
             members = [learners.fit("rf", profile.members.get("rf", {}), data.train, data.rows)]
     model = CategoryModel(category, profile, data.vectorizer, members, path)
     if tune and profile.wider_grids and path == "tuned" and _accuracy(model, data.train) < V.RETRY_ACCURACY:
-        chosen = {
-            name: search(name, profile.members[name], grid, data, profile.folds)[0]
-            for name, grid in profile.wider_grids.items()
-        }
-        model = CategoryModel(category, profile, data.vectorizer, fit_members(profile, data, chosen), "wider")
-    return model, report(model, data)
+        found = search(profile, data, profile.wider_grids)
+        model = CategoryModel(category, profile, data.vectorizer, fit_members(profile, data, found.chosen, found.curves["svm"]), "wider")
+    made = durable(report(model, data))
+    data.train.unpersist()
+    return model, made
 
 
 def report(model: CategoryModel, data: Prepared) -> DataFrame:
@@ -225,7 +318,7 @@ def report(model: CategoryModel, data: Prepared) -> DataFrame:
 
 
 def train_all(
-    labelled: DataFrame, profile: Profile, tune: bool = True, most_categories: int = 1000
+    labelled: DataFrame, profile: Profile, tune: bool = True, most_categories: int = 1000, searches: dict | None = None
 ) -> tuple[list[CategoryModel], DataFrame | None, dict[str, str]]:
     """Train every category of (comment_id, category, label, text); one that fails is left out and named, one without any usable text has nothing to train and is skipped.
 
@@ -239,13 +332,19 @@ def train_all(
     if len(names) > most_categories:
         raise ValueError(f"more than {most_categories} categories")
     models, reports, failed = [], [], {}
-    for name in sorted(names):
+
+    def one(name: str):
         try:
-            model, made = train_category(name, rows.where(F.col("category") == name), profile, tune)
-            models.append(model)
-            reports.append(made)
+            return train_category(name, rows.where(F.col("category") == name), profile, tune, searches)
         except Exception as reason:
-            failed[name] = f"{type(reason).__name__}: {reason}"
+            return f"{type(reason).__name__}: {reason}"
+
+    for name, made in zip(sorted(names), learners.at_once(rows.sparkSession, [lambda n=n: one(n) for n in sorted(names)]), strict=True):
+        if isinstance(made, str):
+            failed[name] = made
+        else:
+            models.append(made[0])
+            reports.append(made[1])
     return models, (tables.union_all(reports) if reports else None), failed
 
 

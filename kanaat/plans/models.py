@@ -12,15 +12,10 @@ from kanaat.operators.training import ELEVEN, SEVEN
 from kanaat.plans.inputs import comments, labelled_comments, rounded
 from kanaat.plans.registry import query
 from kanaat.session import shared_path
-from kanaat.sources.models import load_models, save_models
+from kanaat.sources.models import trained
 from kanaat.sources.sinks import write_report
 from kanaat.sources.tables import spread
 
-def none_failed(failed: dict[str, str]) -> None:
-    """A category that could not be trained must not pass as fewer rows."""
-    if failed:
-        raise RuntimeError(f"not trained: {failed}")
-
 
 def _by_category(rows, profile):
     """Each category and its rows, as training takes them."""
@@ -49,30 +44,20 @@ for _name in ELEVEN.members:
 
 @query("voted_ensemble")
 def voted_ensemble(spark, folder):
-    models, made, failed = training.train_all(labelled_comments(spark, folder), ELEVEN, tune=True)
-    none_failed(failed)
-    paths = spark.createDataFrame([(m.category, m.path) for m in models], "category string, path string")
-    return rounded(made.join(F.broadcast(paths), "category").select(*made.columns, "path"))
+    made = trained(labelled_comments(spark, folder), ELEVEN)
+    paths = spark.createDataFrame([(m.category, m.path) for m in made.models], "category string, path string")
+    return rounded(made.report.join(F.broadcast(paths), "category").select(*made.report.columns, "path"))
 
 
 @query("searched_parameters")
 def searched_parameters(spark, folder):
-    tried = []
-    for category, rows in _by_category(labelled_comments(spark, folder), SEVEN):
-        data = training.prepare(rows, SEVEN)
-        for name, grid in SEVEN.grids.items():
-            best, scores = training.search(name, SEVEN.members[name], grid, data, SEVEN.folds)
-            tried += [
-                (category, name, str(sorted(p.items())), round(s, 6), int({**SEVEN.members[name], **p} == best))
-                for p, s in zip(grid, scores)
-            ]
-    return spark.createDataFrame(tried, "category string, model string, parameters string, accuracy double, chosen int")
+    """Every joint choice of settings and its accuracy on unseen rows."""
+    return rounded(trained(labelled_comments(spark, folder), SEVEN).tried.drop("columns"))
 
 
 @query("trained_categories")
 def trained_categories(spark, folder):
-    _, made, failed = training.train_all(labelled_comments(spark, folder), SEVEN, tune=True)
-    none_failed(failed)
+    made = trained(labelled_comments(spark, folder), SEVEN).report
     return rounded(metrics.model_summary(
         made.where(F.col("split") == TRAIN), made.where(F.col("split") == TEST), ["category", "model"]
     ))
@@ -85,14 +70,10 @@ def _length_logits():
 
 @query("predicted_categories")
 def predicted_categories(spark, folder):
-    """Train, save, load, predict every category for every comment, score the hits' sentiment."""
-    models, _, failed = training.train_all(labelled_comments(spark, folder), SEVEN, tune=True)
-    none_failed(failed)
-    place = shared_path(spark, "models")
-    save_models(spark, models, place)
-    loaded = load_models(spark, place)
+    """Predict every category for every comment by the stored models, score the hits' sentiment."""
+    loaded = trained(labelled_comments(spark, folder), SEVEN).models
+    path = shared_path(spark, "predictions")
     # Predictions are a table of their own, as in any run that keeps them; sentiment starts from it.
-    path = f"{place}/predictions"
     write_report(training.predict_wide(spread(comments(spark, folder)).select("comment_id", "text"), loaded), path)
     wide = spark.read.parquet(path)
     names = [m.category for m in loaded]
@@ -105,7 +86,6 @@ def predicted_categories(spark, folder):
 def predicted_rest(spark, folder):
     """Train on a capped sample of each class, predict the rows left over, beside their truth."""
     rows = labelled_comments(spark, folder)
-    models, _, failed = training.train_all(rows, ELEVEN, tune=True)
-    none_failed(failed)
+    models = trained(rows, ELEVEN).models
     rest = training.predict_long(training.rows_to_score(rows, ELEVEN), models)
     return rest.select("comment_id", "category", "label", F.round("p1", 6).alias("p1"), "predicted")
