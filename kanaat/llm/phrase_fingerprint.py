@@ -14,13 +14,15 @@ meet in a second step. Texts travel once.
 Null texts count as empty; two empty texts are alike (1), an empty one and another are not (0). Ids are of any type
 with an order, may be null (last) and repeat (then ordered by a hash of the text); equal rows follow one another.
 Other columns are left out of the query; `fingerprints` keeps them and replaces one called ``fingerprint``. A text
-is parsed in one piece, so a task's memory follows its longest text: about 150 bytes for each phrase.
+is parsed in one piece, so a task's memory follows its longest text: about 300 bytes for each phrase.
 """
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,43 +39,44 @@ SIZE = 64
 RANGE_BYTES = 8 << 20
 
 
-def parse(text: bytes, at: int, known: dict[int, int], node: int, ends: list[int]) -> int:
-    """Parses on from byte ``at``: adds phrases to ``known`` (number of a phrase and a byte behind it: number of the
-    longer phrase, numbers in steps of 256) and their ends to ``ends``. ``node``: the known phrase that the text runs
-    along so far; returns the one it ends in, 0 after a phrase's end."""
-    get, push, size = known.get, ends.append, (len(known) + 1) << 8
+def parse(text: bytes, at: int, root: dict, node: dict, ends: list[int], added: list | None = None) -> dict:
+    """Parses on from byte ``at``: adds phrases to the tree of known ones below ``root`` and their ends to ``ends``.
+    ``node``: the known phrase that the text runs along so far; returns the one it ends in, the root after a phrase's
+    end. ``added`` gets what was added where."""
+    push = ends.append
     for at, byte in enumerate(text, at + 1):
-        longer = get(node | byte)
-        if longer is None:
-            known[node | byte] = size
-            size += 256
-            node = 0
-            push(at)
+        if byte in node:
+            node = node[byte]
         else:
-            node = longer
+            node[byte] = {}
+            if added is not None:
+                added.append((node, byte))
+            node = root
+            push(at)
     return node
 
 
 def phrase_ends(text: bytes) -> list[int]:
     """Where the phrases of a text end; what is left at the end is a phrase that was seen."""
     ends: list[int] = []
-    if parse(text, 0, {}, 0, ends):
+    root: dict = {}
+    if parse(text, 0, root, root, ends) is not root:
         ends.append(len(text))
     return ends
 
 
 def forked_ends(head: bytes, tails: list[bytes]) -> list[list[int]]:
     """The phrase ends of the head with each of the tails; the head is parsed once."""
-    known: dict[int, int] = {}
+    root: dict = {}
     first: list[int] = []
-    node = parse(head, 0, known, 0, first)
-    size, out = len(known), []
+    node = parse(head, 0, root, root, first)
+    out = []
     for tail in tails:
-        ends = list(first)
-        if parse(tail, len(head), known, node, ends):
+        ends, added = list(first), []
+        if parse(tail, len(head), root, node, ends, added) is not root:
             ends.append(len(head) + len(tail))
-        while len(known) > size:
-            known.popitem()
+        for below, byte in added:
+            del below[byte]
         out.append(ends)
     return out
 
@@ -89,7 +92,7 @@ def signed(texts: Texts, phrases: list[list[int]], size: int = SIZE) -> tuple[np
     counts = np.array([len(p) for p in phrases], np.int64)
     if not counts.sum():
         return np.zeros(0, np.uint32), counts
-    end = np.concatenate([np.array(p, np.int64) + a for p, a in zip(phrases, texts.at[:-1].tolist(), strict=True)])
+    end = np.fromiter(chain.from_iterable(phrases), np.int64, int(counts.sum())) + np.repeat(texts.at[:-1], counts)
     start = np.concatenate([[0], end[:-1]])
     row = np.repeat(np.arange(texts.rows), counts)
     first = np.cumsum(counts) - counts
@@ -98,12 +101,25 @@ def signed(texts: Texts, phrases: list[list[int]], size: int = SIZE) -> tuple[np
 
 
 def smallest(row: np.ndarray, hashes: np.ndarray, rows: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``size`` smallest distinct hashes of each row, ascending, and how many there are."""
-    keys = np.unique((row.astype(np.uint64) << np.uint64(32)) | hashes.astype(np.uint64))
-    row = (keys >> np.uint64(32)).astype(np.int64)
-    begin, count = runs(row)
+    """The ``size`` smallest distinct hashes of each row, ascending, and how many there are. Of long rows first only
+    the hashes below a bound are sorted that should leave about twice as many; rows it leaves too few are sorted whole."""
+    bound = np.minimum((2 * size + 32) * 2.0**32 / np.maximum(per_row(row, rows), 1), 2.0**32)
+    low = hashes < bound[row]
+    few = (per_row(row[low], rows) < size) & (bound < 2.0**32)
+    while True:
+        low |= few[row]
+        keys = np.sort((row[low].astype(np.uint64) << np.uint64(32)) | hashes[low].astype(np.uint64))
+        keys = keys[runs(keys)[0]]
+        of = (keys >> np.uint64(32)).astype(np.int64)
+        begin, count = runs(of)
+        short = np.zeros(rows, bool)
+        short[of[begin]] = count < size
+        short &= (bound < 2.0**32) & ~few
+        if not short.any():
+            break
+        few |= short  # equal hashes took places among those below the bound
     keep = np.arange(len(keys)) - np.repeat(begin, count) < size
-    return (keys[keep] & np.uint64(0xFFFFFFFF)).astype(np.uint32), per_row(row[keep], rows)
+    return (keys[keep] & np.uint64(0xFFFFFFFF)).astype(np.uint32), per_row(of[keep], rows)
 
 
 def as_text(hashes: np.ndarray, counts: np.ndarray) -> pa.Array:
@@ -192,6 +208,13 @@ def along_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     names = ["doc_id", *NAMES, "place", "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # a tree holds many dictionaries and no cycles
+        try:
+            yield from walk(batches)
+        finally:
+            gc.enable()
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         place, held = TaskContext.get().partitionId(), None
