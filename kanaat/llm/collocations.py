@@ -39,9 +39,9 @@ NO_LANG = "und"
 # Bits of the filter of frequent words, and of one of its numbers.
 FILTER_BITS, WORD_BITS = 1 << 25, 32
 # Records of a range of the sorted order, ranges at most, and sampled records at most.
-RANGE_RECORDS, MOST_RANGES, SAMPLE = 3_000_000, 65_536, 100_000
+RANGE_RECORDS, MOST_RANGES, SAMPLE = 2_000_000, 65_536, 100_000
 # Bytes of text that are cut into words together, distinct words and sorted records a task holds before it passes them on.
-CHUNK, HELD, RECORDS = 4 << 20, 400_000, 2_000_000
+CHUNK, HELD, RECORDS = 2 << 20, 400_000, 1_000_000
 # floor(1000 a n / (l r)) in whole decimals of 38 digits.
 SCORE = "(cast(1000 as decimal(38,0)) * cast(f as decimal(38,0)) * cast(n as decimal(38,0))) div (cast(l as decimal(38,0)) * cast(r as decimal(38,0)))"
 # Parts a language's phrases are dealt to before the best of all are taken.
@@ -188,10 +188,15 @@ def passed(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def packed(records: np.ndarray, top: int) -> list[np.ndarray]:
     """A few numbers that order records as their words do; places are at most ``top``."""
-    w = [records[:, k].astype(np.int64) for k in range(LONGEST)]
-    if top < 1 << 21:
-        return [(w[0] << 42) | (w[1] << 21) | w[2], (w[3] << 21) | w[4]]
-    return [(w[0] << 31) | w[1], (w[2] << 31) | w[3], w[4]]
+    bits, columns = (21, 3) if top < 1 << 21 else (31, 2)
+    keys = []
+    for first in range(0, LONGEST, columns):
+        key = records[:, first].astype(np.int64)
+        for k in range(first + 1, min(LONGEST, first + columns)):
+            key <<= bits
+            key |= records[:, k]
+        keys.append(key)
+    return keys
 
 
 def combined(records: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -278,7 +283,7 @@ def bounds_in(names: pa.Table, bounds: list[tuple]) -> np.ndarray:
 def cut_places(records: np.ndarray, names: pa.Table, bounds: list[tuple]) -> np.ndarray:
     """How many of the sorted records stand before each bound."""
     top = 2 * len(names) + 3
-    keys = packed(np.where(records > 0, 2 * records.astype(np.int64) + 1, 0), top)
+    keys = packed(np.where(records > 0, 2 * records + 1, 0), top)
     out = np.zeros(len(bounds), np.int64)
     for i, bound in enumerate(zip(*(k.tolist() for k in packed(bounds_in(names, bounds), top)), strict=True)):
         low, high = 0, len(records)
