@@ -148,8 +148,9 @@ def prepare(rows: DataFrame, profile: Profile) -> Prepared:
 
 
 def _in_pieces(df: DataFrame, rows: int, rows_per_piece: int = 20_000) -> DataFrame:
-    """Iterative fits run one job per step; a small table should not cost many tasks each time."""
-    return df.coalesce(max(1, -(-rows // rows_per_piece)))
+    """Iterative fits run one job per step; a small table should not cost many tasks each time. Rows are put in
+    order: learners that draw rows by their place then draw the same ones in every run."""
+    return df.coalesce(max(1, -(-rows // rows_per_piece))).sortWithinPartitions("id")
 
 
 @dataclass
@@ -183,7 +184,9 @@ def search(profile: Profile, data: Prepared, grids: dict | None = None) -> Searc
     settings = {n: [{**base, **g} for g in grids.get(n, [{}])] for n, base in profile.members.items()}
     column = {(n, i): f"p_{n}_{i}" for n, own in settings.items() for i in range(len(own))}
     parts, curves = [], {}
-    trees = _tree_scores(folded, {n: own for n, own in settings.items() if n in learners.TREES}, profile.folds)
+
+    def grown() -> DataFrame | None:
+        return _tree_scores(folded, {n: own for n, own in settings.items() if n in learners.TREES}, profile.folds)
 
     def fitted(name: str, i: int, fold: int) -> DataFrame:
         seen, left = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
@@ -194,7 +197,8 @@ def search(profile: Profile, data: Prepared, grids: dict | None = None) -> Searc
         return scored.select("id", F.lit(column[name, i]).alias("name"), F.col(f"p_{name}").alias("p"))
 
     wanted = [(n, i, k) for n, i in column if n not in learners.TREES for k in range(profile.folds)]
-    made = dict(zip(wanted, learners.at_once(spark, [lambda w=w: fitted(*w) for w in wanted]), strict=True))
+    trees, *others = learners.at_once(spark, [grown, *(lambda w=w: fitted(*w) for w in wanted)])
+    made = dict(zip(wanted, others, strict=True))
     for name, i in column:
         own = [made[name, i, k] for k in range(profile.folds) if (name, i, k) in made]
         if name == "svm":

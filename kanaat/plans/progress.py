@@ -200,6 +200,22 @@ def labels_of_distinct_questions(spark, folder):
     )
 
 
+@query(
+    "labels_until_quota",
+    """WITH asked AS (SELECT doc_id AS comment_id, category, CASE category WHEN 'articles' THEN regexp_matches(lower(text), 'the|des|und|los')
+    WHEN 'endings' THEN regexp_matches(lower(text), 'tion|ment|ung|ción') ELSE false END::INTEGER AS label
+  FROM documents, (VALUES ('articles'), ('endings'), ('plain')) c(category) WHERE trim(text, ' \t\n\r') <> '')
+SELECT category, comment_id, label FROM asked QUALIFY row_number() OVER (
+  PARTITION BY category, label ORDER BY md5('42|' || comment_id::VARCHAR), comment_id) <= CASE label WHEN 1 THEN 60 ELSE 40 END""",
+)
+def labels_until_quota(spark, folder):
+    """The quota sample of a labeller that is asked no more than it takes."""
+    from kanaat.operators.categories import per_category
+
+    asked = per_category(spread(comments(spark, folder)).select("comment_id", "text"), NATURE)
+    return labelling.label_until_quota(asked, _keyword_answer, 60, 40, NATURE, pause=0.0).select("category", "comment_id", "label")
+
+
 @query(
     "parsed_checkpoints",
     """SELECT category, (sum(label))::BIGINT AS positives, count(*)::BIGINT AS results, min(text_length)::BIGINT AS shortest FROM (
