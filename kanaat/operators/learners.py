@@ -13,7 +13,6 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassificationModel,
@@ -123,28 +122,65 @@ class Neighbours:
 
 @dataclass
 class Boosted:
-    """Stumps, each fitted to the rows the ones before were unsure about."""
+    """Stumps, each fitted to the rows the ones before were unsure about, as flat arrays: the term and cut of each, and
+    the log odds of class 1 up to the cut and beyond. All are scored in one pass."""
 
     name: str
-    stumps: list = field(default_factory=list)
+    term: list = field(default_factory=list)
+    cut: list = field(default_factory=list)
+    low: list = field(default_factory=list)
+    high: list = field(default_factory=list)
+    terms: int = 0
 
     @staticmethod
     def log_odds(p: Column) -> Column:
         inside = F.least(F.greatest(p, F.lit(SMALLEST)), F.lit(1.0 - SMALLEST))
         return F.log(inside / (F.lit(1.0) - inside))
 
+    def add(self, stump) -> None:
+        """Takes over a fitted stump; one without a cut says the same of every row."""
+        root = stump._java_obj.rootNode()
+        self.terms = stump.numFeatures
+
+        def odds(node) -> float:
+            stats = list(node.impurityStats().stats())
+            p = min(max(stats[1] / sum(stats), SMALLEST), 1.0 - SMALLEST)
+            return float(np.log(p / (1.0 - p)))
+
+        if stump.depth:
+            sides = root.leftChild(), root.rightChild()
+            self.term.append(int(root.split().featureIndex()))
+            self.cut.append(float(root.split().threshold()))
+        else:
+            sides = root, root
+            self.term.append(0)
+            self.cut.append(0.0)
+        self.low.append(odds(sides[0]))
+        self.high.append(odds(sides[1]))
+
     def score(self, df: DataFrame) -> DataFrame:
-        total, out = [], df
-        for i, stump in enumerate(self.stumps):
-            out = stump.transform(out).withColumn(f"_odds{i}", self.log_odds(_probability(self.name)))
-            out = _tidy(out, self.name)
-            total.append(F.col(f"_odds{i}"))
-        decision = reduce(lambda a, b: a + b, total) / F.lit(float(len(total)))
-        scored = out.withColumn(f"p_{self.name}", F.lit(1.0) / (F.lit(1.0) + F.exp(-decision)))
-        return scored.drop(*[f"_odds{i}" for i in range(len(total))])
+        return df.withColumn(f"p_{self.name}", forests.scorer(df.sparkSession, Stumps(*map(np.array, (self.term, self.cut, self.low, self.high))), self.terms)(F.col("features")))
 
     def save(self, path: str) -> None:
-        PipelineModel(self.stumps).write().overwrite().save(path)
+        rows = list(zip(range(len(self.term)), self.term, self.cut, self.low, self.high, [self.terms] * len(self.term)))
+        SparkSession.active().createDataFrame(rows, "place int, term int, cut double, low double, high double, terms int").coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def read(cls, spark: SparkSession, name: str, path: str) -> Boosted:
+        rows = spark.read.parquet(path).orderBy("place").collect()
+        return cls(name, *([r[c] for r in rows] for c in ("term", "cut", "low", "high")), rows[0].terms)
+
+
+@dataclass
+class Stumps:
+    term: np.ndarray
+    cut: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+    def score(self, weights: np.ndarray) -> np.ndarray:
+        odds = np.where(weights[:, self.term] <= self.cut, self.low, self.high).mean(axis=1)
+        return 1.0 / (1.0 + np.exp(-odds))
 
 
 @dataclass
@@ -246,17 +282,17 @@ def fit(name: str, params: dict, train: DataFrame, rows: int):
 
 
 def _boost(name: str, train: DataFrame, rounds: int, store_every: int = 10) -> Boosted:
-    weighted, stumps = train.withColumn("_weight", F.lit(1.0)), []
+    weighted, made = train.withColumn("_weight", F.lit(1.0)), Boosted(name)
     shared = {"featuresCol": "features", "labelCol": "label", "weightCol": "_weight", **_columns(name)}
     for i in range(rounds):
         stump = DecisionTreeClassifier(maxDepth=1, seed=SEED + i, **shared).fit(weighted)
-        stumps.append(stump)
+        made.add(stump)
         sure = Boosted.log_odds(_probability(name)) * F.when(F.col("label") == 1, 1.0).otherwise(-1.0)
         scored = stump.transform(weighted).withColumn("_weight", F.col("_weight") * F.exp(sure * -0.5))
         weighted = _tidy(scored, name)
         if i % store_every == store_every - 1:
             weighted = durable(weighted)
-    return Boosted(name, stumps)
+    return made
 
 
 def curve_of(margins: DataFrame) -> LogisticRegressionModel:
@@ -295,7 +331,7 @@ def load(spark: SparkSession, name: str, path: str):
     if name == "knn":
         return Neighbours(name, spark.read.parquet(path))
     if name == "ada":
-        return Boosted(name, PipelineModel.load(path).stages)
+        return Boosted.read(spark, name, path)
     if name == "svm":
         return Calibrated(name, LinearSVCModel.load(f"{path}/margin"), LogisticRegressionModel.load(f"{path}/curve"))
     return Plain(name, LOADERS[name].load(path))

@@ -217,3 +217,21 @@ def test_sentiment_scorer(spark):
     assert got["boom"].polarity == 0.0
     empty = sentiment.distribution(df.select(F.lit("Pozitif").alias("sentiment")).where("false")).first()
     assert empty.total == 0 and empty.positive_share is None
+
+
+def test_boosted_stumps_score_as_their_chain(spark, monkeypatch, tmp_path):
+    """The flat scorer against MLlib's own stumps, one transform after another."""
+    from test_forests import as_rows, table
+
+    kept, take = [], learners.Boosted.add
+    monkeypatch.setattr(learners.Boosted, "add", lambda self, stump: (kept.append(stump), take(self, stump)))
+    df = as_rows(spark, *table())
+    made = learners.fit("ada", {"rounds": 4}, df, 0)
+    out = df
+    for i, stump in enumerate(kept):
+        odds = learners.Boosted.log_odds(learners._probability("ada"))
+        out = learners._tidy(stump.transform(out).withColumn(f"o{i}", odds), "ada")
+    chain = out.withColumn("q", 1 / (1 + F.exp(-(F.col("o0") + F.col("o1") + F.col("o2") + F.col("o3")) / 4)))
+    assert all(abs(r.q - r.p_ada) < 1e-12 for r in made.score(chain).select("q", "p_ada").collect())
+    made.save(str(tmp_path / "ada"))
+    assert learners.load(spark, "ada", str(tmp_path / "ada")) == made
