@@ -15,6 +15,10 @@ text meets one text per shingle (the most central one of about its size), links
 texts of different components meet each other after that. Every link between components is still found, so the
 components are those of all links.
 
+Texts of different components meet only at a shingle that may be the first they share: what either set has from there
+on must reach the overlap that is needed. Rows are dealt by shingle and by the size classes that this leaves open, and
+within these by component: a family is one row beside the others until another component can reach it.
+
 Shingles are 48-bit hashes, nodes 64-bit ones. Texts without words and null texts have empty sets and link with
 nothing; null ids are kept and never name a component (it is null where no text has an id); repeated rows are one
 node; an empty table gives no rows. Other columns are left out.
@@ -28,7 +32,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from kanaat.llm.batches import STEP, Texts, chunks, lowered, mix, per_row, span_hashes, with_text_columns, words
 from kanaat.llm.registry import query, table
@@ -41,7 +44,9 @@ WINDOW = 5
 # How many shingles the order knows by count. Only speed depends on it.
 FREQUENT = 1_000_000
 # Shingles a task holds while it counts, and node ids that may be sent to every task.
-HELD, SENT = 4_000_000, 1_000_000
+HELD, SENT = 1_000_000, 1_000_000
+# Sizes of a class differ by less than this factor.
+CLASS = 1.05
 BITS = np.uint64((1 << 48) - 1)
 
 
@@ -126,7 +131,7 @@ def ordered_sets(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], text_co
 
 
 def prefixes(sets: DataFrame) -> DataFrame:
-    """``token``, ``node`` and ``n``: the prefixes of all sets; of equal sets in a batch one."""
+    """``token``, ``node``, ``n`` and ``place`` in the set (from 0): the prefixes of all sets; of equal sets in a batch one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, n = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
@@ -136,10 +141,11 @@ def prefixes(sets: DataFrame) -> DataFrame:
                 take = prefix_length(n[once])
                 raw = batch.column(2)
                 keys = np.concatenate([unpacked(raw[int(i)].as_py()[:6 * int(k)]) for i, k in zip(once, take, strict=True)])
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.repeat(node[once], take)), pa.array(np.repeat(n[once], take))],
-                                                 ["token", "node", "n"])
+                place = np.arange(len(keys)) - np.repeat(np.cumsum(take) - take, take)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.repeat(node[once], take)), pa.array(np.repeat(n[once], take)), pa.array(place)],
+                                                 ["token", "node", "n", "place"])
 
-    return sets.select("node", "n", "shingles").mapInArrow(run, "token long, node long, n long")
+    return sets.select("node", "n", "shingles").mapInArrow(run, "token long, node long, n long, place long")
 
 
 def reaches(shared: Column, n: Column, m: Column) -> Column:
@@ -189,36 +195,72 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def shared_tokens(met: DataFrame, shared: DataFrame) -> DataFrame:
+    """The pairs (x, y) of ``met`` that the length and positional filters leave, as (a, b), a the smaller node."""
+    overlap = (met.join(shared.select(F.col("node").alias("x"), "token"), "x").join(shared.select(F.col("node").alias("y"), "token"), ["y", "token"])
+               .groupBy("x", "y", "n_x", "n_y").agg(F.count(F.lit(1)).alias("_shared")))
+    return overlap.where(reaches(F.col("_shared"), F.col("n_x"), F.col("n_y"))).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def size_class(n: Column, ratio: float) -> Column:
+    return F.floor(F.log(n.cast("double")) / float(np.log(ratio))).cast("int")
+
+
+def meeting(open_: DataFrame) -> DataFrame:
+    """Pairs (x, y), with ``n_x <= n_y``, of different labels that share a token which may be the first they share.
+
+    From a place on a set of n has n - place shingles; that they reach the overlap needed with m bounds m by ``most``.
+    The smaller set is dealt to the classes of the larger sizes it may meet, the larger one to those of the smaller,
+    then labels meet by the least size and highest bound of their rows, then rows of labels that can reach each other."""
+    most = F.floor((OF + SIMILAR) * (F.col("n") - F.col("place")) / SIMILAR) - F.col("n")
+    rows = open_.withColumn("most", most).withColumn("own", size_class(F.col("n"), CLASS))
+    larger = F.least("most", F.floor(OF * F.col("n") / SIMILAR))
+    smaller, smallest = F.least("most", "n"), F.ceil(SIMILAR * F.col("n") / OF)
+    x = rows.where(larger >= F.col("n")).withColumn("c", F.explode(F.sequence("own", size_class(larger, CLASS)))).select(
+        "token", F.col("own").alias("c_x"), F.col("c").alias("c_y"), "label", "node", "n", "most")
+    y = rows.where(smaller >= smallest).withColumn("c", F.explode(F.sequence(size_class(smallest, CLASS), size_class(smaller, CLASS)))).select(
+        "token", F.col("c").alias("c_x"), F.col("own").alias("c_y"), "label", "node", "n", "most")
+    x, y = stored(x, "join-smaller"), stored(y, "join-larger")
+    key = ["token", "c_x", "c_y"]
+
+    def groups(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy(*key, F.col("label").alias(f"label_{name}")).agg(F.min("n").alias(f"low_{name}"), F.max("most").alias(f"most_{name}"))
+
+    labels = groups(x, "x").join(groups(y, "y"), key).where(
+        (F.col("label_x") != F.col("label_y")) & (F.col("low_x") <= F.col("most_y")) & (F.col("low_y") <= F.col("most_x")))
+    labels = stored(labels.select(*key, "label_x", "label_y", "low_y", "most_y"), "join-label-pairs")
+    of_x = x.select(*key, F.col("label").alias("label_x"), F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("most").alias("m_x"))
+    of_y = y.select(*key, F.col("label").alias("label_y"), F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("most").alias("m_y"))
+    some = labels.join(of_x, [*key, "label_x"]).where((F.col("n_x") <= F.col("most_y")) & (F.col("low_y") <= F.col("m_x"))).select(
+        *key, "label_y", "x", "n_x", "m_x")
+    return some.join(of_y, [*key, "label_y"]).where(
+        (F.col("n_x") <= F.col("n_y")) & (F.col("n_x") <= F.col("m_y")) & (F.col("n_y") <= F.col("m_x"))
+        & (OF * F.col("n_x") >= SIMILAR * F.col("n_y"))).select("x", "n_x", "y", "n_y").distinct()
+
+
 def linked(sets: DataFrame) -> DataFrame:
     """Components of all links between the nodes of ``sets``."""
-    everywhere = Window.partitionBy("token")
-    shared = stored(prefixes(sets).withColumns({"_low": F.min("node").over(everywhere), "_high": F.max("node").over(everywhere)}).where(
-        F.col("_low") != F.col("_high")).select("token", "node", "n").distinct(), "join-shared")
+    found = prefixes(sets).groupBy("token", "node").agg(F.first("n").alias("n"), F.min("place").alias("place"))
+    rows = stored(found, "join-prefixes")
+    several = rows.groupBy("token").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low != _high").select("token")
+    shared = stored(rows.join(several, "token", "left_semi"), "join-shared")
     # First each text meets, for each shingle, the most central of the texts of about its size: the one whose prefix is
     # shared to the largest part. Of a family it is the text that the others derive from.
-    size = F.floor(F.log(F.col("n").cast("double")) / float(np.log(OF / SIMILAR))).cast("int")
     central = shared.groupBy(F.col("node").alias("_node")).agg(F.count(F.lit(1)).alias("_d"))
     sizes = shared.join(central, F.col("node") == F.col("_node")).select(
-        "token", "node", "n", size.alias("size"), F.floor(F.col("_d") * -1000.0 / prefix_of(F.col("n"))).alias("off"))
+        "token", "node", "n", size_class(F.col("n"), OF / SIMILAR).alias("size"), F.floor(F.col("_d") * -1000.0 / prefix_of(F.col("n"))).alias("off"))
     hubs = sizes.groupBy("token", "size").agg(F.min(F.struct("off", "n", "node")).alias("hub"), F.count(F.lit(1)).alias("_many")).where("_many > 1")
     met = sizes.join(hubs, ["token", "size"]).where(F.col("node") != F.col("hub.node")).select(
         F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("hub.node").alias("y"), F.col("hub.n").alias("n_y")).distinct()
-    overlap = (met.join(shared.select(F.col("node").alias("x"), "token"), "x").join(shared.select(F.col("node").alias("y"), "token"), ["y", "token"])
-               .groupBy("x", "y", "n_x", "n_y").agg(F.count(F.lit(1)).alias("_shared")))
-    ordered = [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")]
-    first = stored(overlap.where(reaches(F.col("_shared"), F.col("n_x"), F.col("n_y"))).select(*ordered).distinct(), "join-pairs")
+    first = stored(shared_tokens(met, shared), "join-pairs")
     links = stored(verified(first, sets), "join-links")
     found = components(links)
-    # Then texts of different components meet wherever their prefixes do.
+    # Then texts of different components meet where a shingle may be the first they share.
     labelled = stored(shared.join(found.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
-        "token", "node", "n", F.coalesce("label", "node").alias("label")), "join-labelled")
+        "token", "node", "n", "place", F.coalesce("label", "node").alias("label")), "join-labelled")
     mixed = labelled.groupBy("token").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low != _high").select("token")
-    open_ = labelled.join(mixed, "token", "left_semi")
-    other = open_.select("token", F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("label").alias("_label"))
-    apart = (open_.withColumnRenamed("node", "x").withColumnRenamed("n", "n_x").join(other, "token")
-             .where((F.col("x") < F.col("y")) & (F.col("label") != F.col("_label")) & (OF * F.least("n_x", "n_y") >= SIMILAR * F.greatest("n_x", "n_y")))
-             .groupBy("x", "y", "n_x", "n_y").agg(F.count(F.lit(1)).alias("_shared")))
-    more = stored(apart.where(reaches(F.col("_shared"), F.col("n_x"), F.col("n_y"))).select(*ordered).join(first, ["a", "b"], "left_anti"), "join-pairs")
+    apart = stored(meeting(labelled.join(mixed, "token", "left_semi")), "join-meeting")
+    more = stored(shared_tokens(apart, shared).join(first, ["a", "b"], "left_anti"), "join-pairs")
     if more.isEmpty():
         return found
     again = stored(verified(more, sets), "join-links")

@@ -79,3 +79,28 @@ def test_wordless_row_beside_a_copy_of_its_id(spark):
     docs = spark.createDataFrame([(1, text), (2, text), (2, None), (2, ""), (2, " ")], "doc_id long, text string")
     rows = [(r.doc_id, r.text) for r in ngram_join.one_of_each(docs).collect()]
     assert sorted(rows, key=str) == sorted([(1, text), (2, None), (2, ""), (2, " ")], key=str)
+
+
+def test_family_beside_outsiders_costs_its_size(spark, monkeypatch):
+    pick = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for i in range(600):  # near copies of one text, then texts that share a good part of it but too little
+        words = list(base)
+        for _ in range(1 if i < 400 else 12):
+            words[pick.randrange(200)] = f"v{pick.randrange(10**9)}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    counts, write = {}, ngram_join.stored
+
+    def counting(df, name):
+        done = write(df, name)
+        counts.setdefault(name, []).append(done.count())
+        return done
+
+    monkeypatch.setattr(ngram_join, "stored", counting)
+    rows = {r.doc_id: r.component_id for r in ngram_join.similar_documents(docs).collect()}
+    assert rows == {i: c for i, (_, c) in brute(texts).items()}
+    assert max(rows[i] for i in range(400)) == 0
+    shared = counts["join-shared"][0]
+    assert counts["join-label-pairs"][0] < shared and counts["join-meeting"][0] < shared
