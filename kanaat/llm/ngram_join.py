@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from kanaat.llm.batches import STEP, Texts, chunks, lowered, mix, per_row, span_hashes, with_text_columns, words
 from kanaat.llm.registry import query, table
@@ -46,7 +47,9 @@ FREQUENT = 1_000_000
 # Shingles a task holds while it counts, and node ids that may be sent to every task.
 HELD, SENT = 1_000_000, 1_000_000
 # Sizes of a class differ by less than this factor.
-CLASS = 1.05
+CLASS = 1.1
+# A shingle counted so often is dealt by node, too, while shingles of one node are looked for.
+HOT, HOT_PARTS = 1000, 64
 BITS = np.uint64((1 << 48) - 1)
 
 
@@ -130,8 +133,11 @@ def ordered_sets(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], text_co
     return with_text_columns(docs, text_col, make, "node long, n long, shingles binary", ["doc_id"])
 
 
-def prefixes(sets: DataFrame) -> DataFrame:
-    """``token``, ``node``, ``n`` and ``place`` in the set (from 0): the prefixes of all sets; of equal sets in a batch one."""
+def prefixes(sets: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """``token``, ``node``, ``n``, ``place`` in the set (from 0) and ``part``: the prefixes of all sets; of equal sets in
+    a batch one. ``part`` is 0, or a number by node for a token that was counted `HOT` times or more."""
+    hot = common[0][common[1] >= HOT]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, n = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
@@ -141,11 +147,16 @@ def prefixes(sets: DataFrame) -> DataFrame:
                 take = prefix_length(n[once])
                 raw = batch.column(2)
                 keys = np.concatenate([unpacked(raw[int(i)].as_py()[:6 * int(k)]) for i, k in zip(once, take, strict=True)])
-                place = np.arange(len(keys)) - np.repeat(np.cumsum(take) - take, take)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.repeat(node[once], take)), pa.array(np.repeat(n[once], take)), pa.array(place)],
-                                                 ["token", "node", "n", "place"])
+                place, nodes = np.arange(len(keys)) - np.repeat(np.cumsum(take) - take, take), np.repeat(node[once], take)
+                part = np.zeros(len(keys), np.int32)
+                if len(hot):
+                    at = np.minimum(np.searchsorted(hot, keys), len(hot) - 1)
+                    part = np.where(hot[at] == keys, 1 + nodes % HOT_PARTS, 0).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.view(np.int64)), pa.array(nodes), pa.array(np.repeat(n[once], take)), pa.array(place), pa.array(part)],
+                    ["token", "node", "n", "place", "part"])
 
-    return sets.select("node", "n", "shingles").mapInArrow(run, "token long, node long, n long, place long")
+    return sets.select("node", "n", "shingles").mapInArrow(run, "token long, node long, n long, place long, part int")
 
 
 def reaches(shared: Column, n: Column, m: Column) -> Column:
@@ -220,7 +231,6 @@ def meeting(open_: DataFrame) -> DataFrame:
         "token", F.col("own").alias("c_x"), F.col("c").alias("c_y"), "label", "node", "n", "most")
     y = rows.where(smaller >= smallest).withColumn("c", F.explode(F.sequence(size_class(smallest, CLASS), size_class(smaller, CLASS)))).select(
         "token", F.col("c").alias("c_x"), F.col("own").alias("c_y"), "label", "node", "n", "most")
-    x, y = stored(x, "join-smaller"), stored(y, "join-larger")
     key = ["token", "c_x", "c_y"]
 
     def groups(side: DataFrame, name: str) -> DataFrame:
@@ -238,12 +248,12 @@ def meeting(open_: DataFrame) -> DataFrame:
         & (OF * F.col("n_x") >= SIMILAR * F.col("n_y"))).select("x", "n_x", "y", "n_y").distinct()
 
 
-def linked(sets: DataFrame) -> DataFrame:
+def linked(sets: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """Components of all links between the nodes of ``sets``."""
-    found = prefixes(sets).groupBy("token", "node").agg(F.first("n").alias("n"), F.min("place").alias("place"))
-    rows = stored(found, "join-prefixes")
-    several = rows.groupBy("token").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low != _high").select("token")
-    shared = stored(rows.join(several, "token", "left_semi"), "join-shared")
+    # Shingles of one node only are left out. Hot ones stay without a look, so that none of them meets in one task.
+    together = Window.partitionBy("token", "part")
+    shared = stored(prefixes(sets, common).withColumns({"_low": F.min("node").over(together), "_high": F.max("node").over(together)}).where(
+        "part > 0 or _low != _high").select("token", "node", "n", "place").distinct(), "join-shared")
     # First each text meets, for each shingle, the most central of the texts of about its size: the one whose prefix is
     # shared to the largest part. Of a family it is the text that the others derive from.
     central = shared.groupBy(F.col("node").alias("_node")).agg(F.count(F.lit(1)).alias("_d"))
@@ -259,7 +269,7 @@ def linked(sets: DataFrame) -> DataFrame:
     labelled = stored(shared.join(found.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
         "token", "node", "n", "place", F.coalesce("label", "node").alias("label")), "join-labelled")
     mixed = labelled.groupBy("token").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low != _high").select("token")
-    apart = stored(meeting(labelled.join(mixed, "token", "left_semi")), "join-meeting")
+    apart = stored(meeting(stored(labelled.join(mixed, "token", "left_semi"), "join-open")), "join-meeting")
     more = stored(shared_tokens(apart, shared).join(first, ["a", "b"], "left_anti"), "join-pairs")
     if more.isEmpty():
         return found
@@ -270,8 +280,9 @@ def linked(sets: DataFrame) -> DataFrame:
 def similar_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles``, ``node`` (equal words, equal node), ``label`` (the component's smallest node) and
     ``component_id`` of every row of ``docs``."""
-    sets = stored(ordered_sets(docs, frequent(docs, text_col), text_col), "join-all-sets")
-    found = linked(sets)
+    common = frequent(docs, text_col)
+    sets = stored(ordered_sets(docs, common, text_col), "join-all-sets")
+    found = linked(sets, common)
     rows = sets.select("doc_id", "n", "node")
     nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
     named = nodes.join(found.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
