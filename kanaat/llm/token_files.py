@@ -25,6 +25,7 @@ from kanaat.llm import range_coder
 from kanaat.llm.batches import chunks
 from kanaat.llm.pretokens import tokenizer_path
 from kanaat.llm.registry import query, table
+from kanaat.llm.storage import stored
 from kanaat.llm.token_ids import encoded, with_end
 from kanaat.session import shared_path
 
@@ -139,7 +140,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def counted(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id``, ``start`` (ids of all documents before), ``n_tokens`` and ``ids_crc32`` of every document in token files."""
-    pieces = read_batches(spark.read.parquet(path), False)
+    # Files are decoded once: what is counted is read by every branch of the sums below.
+    pieces = stored(read_batches(spark.read.parquet(path), False), "token-counts")
     docs = pieces.groupBy("part", "number").agg(
         F.first("doc_id").alias("doc_id"), F.sum("n").alias("n_tokens"), F.min("crc").alias("_one"), F.count(F.lit(1)).alias("_pieces"),
         F.sort_array(F.collect_list(F.struct("frame", "n", "crc"))).alias("_list"))
