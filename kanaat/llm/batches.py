@@ -141,6 +141,18 @@ def gather_lists(flat: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.n
     return flat[spread(start, count)]
 
 
+def set_aside(docs: DataFrame, used: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all columns but the ``used`` ones under names that no operator computes, and what gives a table
+    that still has them the columns of ``docs`` back, and only those."""
+    names = [c if c in used else f"_own_{i}" for i, c in enumerate(docs.columns)]
+    own = docs.columns
+
+    def back(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(n).alias(c) for n, c in zip(names, own, strict=True)])
+
+    return docs.toDF(*names), back
+
+
 def with_text_columns(docs: DataFrame, text_col: str, make: Callable[[Texts], dict[str, np.ndarray]], fields: str,
                       keep: list[str] | None = None) -> DataFrame:
     """``keep`` (all columns by default) and the columns that ``make`` computes from each piece of texts; ``fields``

@@ -5,7 +5,8 @@ sample of labelled rows (`labelled.SAMPLE_ROWS`), travel to the tasks as a few f
 by level. More symbols, repetition, shouting or capitals never raise the score, more distinct words never lower it.
 
 Null and empty texts have no words and fail the limits. Repeated rows get equal verdicts, null ids are kept.
-Without labels of both classes only the limits decide.
+Without labels of both classes only the limits decide. `judged` replaces columns that have a computed column's name,
+`clean` returns the rows' own columns unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kanaat.llm import boosting
-from kanaat.llm.batches import with_text_columns
+from kanaat.llm.batches import set_aside, with_text_columns
 from kanaat.llm.labelled import SAMPLE_ROWS, sampled_features
 from kanaat.llm.registry import query, table
 from kanaat.llm.statistics import FEATURES, features, text_statistics
@@ -49,8 +50,8 @@ def judged(docs: DataFrame, trees: boosting.Trees, text_col: str = "text", keep:
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows that pass, with their own columns."""
-    own = docs.columns
-    return judged(docs, fitted(docs, labels)).where("kept").select(*own)
+    rows, own = set_aside(docs, ["text"])
+    return own(judged(rows, fitted(docs, labels)).where("kept"))
 
 
 @query("op3_boosted_quality_rules")

@@ -9,7 +9,8 @@ document's log odds are its own plus what its path (without itself) lies above o
 Sums are combined before they are shuffled, so a host with a third of all rows is no hot key; the table of rates is
 sent to all tasks while it is small and joined by shuffle beyond. Null hosts and paths are sites of their own. Null and
 empty texts are scored as texts without words. Repeated rows get equal verdicts apart from leaving themselves out once;
-null ids are kept. Without labels of both classes nothing is rejected.
+null ids are kept. Without labels of both classes nothing is rejected. `judged` replaces columns that have a computed
+column's name, `clean` returns the rows' own columns unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kanaat.llm import logistic
-from kanaat.llm.batches import with_text_columns
+from kanaat.llm.batches import set_aside, with_text_columns
 from kanaat.llm.labelled import SAMPLE_ROWS, sampled_features
 from kanaat.llm.registry import query, table
 from kanaat.llm.statistics import features, text_statistics
@@ -95,9 +96,10 @@ def judged(evidence: DataFrame, model: Model, host_col: str, path_col: str) -> D
 
 def clean(docs: DataFrame, labels: DataFrame, host_col: str = "source", path_col: str = "lang") -> DataFrame:
     """The rows that are kept, with their own columns."""
-    own = docs.columns
     model = fitted(docs, labels)
-    return judged(with_evidence(docs, model), model, host_col, path_col).where("kept").select(*own)
+    rows, own = set_aside(docs, ["text"])
+    host, path = (rows.columns[docs.columns.index(c)] for c in (host_col, path_col))
+    return own(judged(with_evidence(rows, model), model, host, path).where("kept"))
 
 
 @query("op6_site_empirical_bayes")

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -63,5 +64,27 @@ def test_masked_and_query(spark, small):
         assert set(spans) <= set(r.spans.split(",")) | {""}
 
 
+def test_many_spans_in_one_text(spark):
+    text = "".join(f"é token = abcdef{i:06d} 😀 deadbeefdeadbeefdeadbeef{'x' * (i % 50)}\n" for i in range(10_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    begun = time.time()
+    row = secrets.with_secrets(docs).select("secrets", secrets.masked(F.col("text"), F.col("secrets")).alias("t")).first()
+    assert time.time() - begun < 60
+    assert [f"{x.kind}:{x.start}:{x.end}" for x in row.secrets] == base_spans(text)
+    assert len(row.secrets) == 20_000
+    plain, at = [], 0
+    for x in row.secrets:
+        plain += [text[at:x.start], "<secret>"]
+        at = x.end
+    assert row.t == "".join([*plain, text[at:]])
+
+
+def test_overlapping_spans_are_masked_as_one(spark):
+    found = [(2, 5, "a"), (3, 4, "b"), (4, 9, "c"), (9, 11, "d"), (14, 14, "e")]
+    docs = spark.createDataFrame([("0é23456789abcdefg", found), ("x", []), (None, [])], "text string, found array<struct<start:int,end:int,kind:string>>")
+    rows = [r.t for r in docs.select(secrets.masked(F.col("text"), F.col("found"), "#").alias("t")).collect()]
+    assert rows == ["0é##bcd#efg", "x", None]
+
+
 def test_no_rows(spark):
     assert secrets.with_secrets(spark.createDataFrame([], "doc_id long, text string")).count() == 0
