@@ -1,5 +1,10 @@
 """The corpus pipeline: documents that two quality stages keep, one of each group of near copies, without secrets,
 packed into sequences. Each stage works on all that the one before kept; run() writes and rereads what each returns.
+
+Null and empty texts have too few words and go in the quality rules; where they reach a later stage, they stay and are
+one end token each. Texts of any length are taken whole. Rows that are repeated or alike are one row after the n-gram
+join, the one with the smallest id. Null ids stay unless their text is a copy of a row with an id. Empty tables pass.
+All stages but the last return the columns of their rows as they were, also those whose names an operator computes.
 """
 
 from __future__ import annotations
@@ -8,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kanaat.llm import ngram_join, packing, quality_rules, secrets, site_quality
+from kanaat.llm.batches import set_aside
 from kanaat.llm.registry import table
 from kanaat.llm.storage import stored
 
@@ -29,10 +35,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every secret replaced by a mark; n_chars is the new text's."""
-    found = secrets.with_secrets(docs).withColumn("text", secrets.masked(F.col("text"), F.col("secrets")))
+    rows, own = set_aside(docs, ["text", "n_chars"])
+    found = secrets.with_secrets(rows).withColumn("text", secrets.masked(F.col("text"), F.col("secrets")))
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.when(F.size("secrets") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return found.select(*docs.columns)
+    return own(found)
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
