@@ -21,7 +21,7 @@ within these by component: a family is one row beside the others until another c
 
 Shingles are 48-bit hashes, nodes 64-bit ones. Texts without words and null texts have empty sets and link with
 nothing; null ids are kept and never name a component (it is null where no text has an id); repeated rows are one
-node; an empty table gives no rows. Other columns are left out.
+node; an empty table gives no rows. Other columns are left out (`one_of_each` keeps them, whatever their names).
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kanaat.llm.batches import STEP, Texts, chunks, lowered, mix, per_row, span_hashes, with_text_columns, words
+from kanaat.llm.batches import STEP, Texts, chunks, lowered, mix, per_row, set_aside, span_hashes, with_text_columns, words
 from kanaat.llm.registry import query, table
 from kanaat.llm.statistics import windows
 from kanaat.llm.storage import stored
@@ -297,6 +297,7 @@ def similar_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without those that are similar to one with a smaller id; texts without words all stay.
     Of rows with one id, or with none, one of each component stays."""
+    docs, own = set_aside(docs, ["doc_id", "text"])
     found = stored(similar_documents(docs).select("doc_id", "n_shingles", "node", "label", "component_id"), "join-found")
     gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("_gone"))
     many = found.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias("_many"))
@@ -304,7 +305,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     unclear = docs.join(F.broadcast(many) if fits(many, SENT) else many, F.col("doc_id").eqNullSafe(F.col("_many")), "left_anti")
     plain = unclear.join(F.broadcast(gone) if fits(gone, SENT) else gone, F.col("doc_id") == F.col("_gone"), "left_anti")
     if many.isEmpty():
-        return plain
+        return own(plain)
     repeated = docs.join(many, F.col("doc_id").eqNullSafe(F.col("_many")), "left_semi")
 
     def node_of(texts: Texts) -> dict[str, np.ndarray]:
@@ -315,7 +316,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     with_nodes = with_text_columns(repeated, "text", node_of, "_node long, _n long")
     chosen = with_nodes.where("_n > 0").join(labels, F.col("_node") == F.col("_k")).where(
         F.col("_id").eqNullSafe(F.col("doc_id"))).dropDuplicates(["_label"])
-    return plain.unionByName(chosen.select(*docs.columns)).unionByName(with_nodes.where("_n = 0").select(*docs.columns))
+    return own(plain.unionByName(chosen.select(*docs.columns)).unionByName(with_nodes.where("_n = 0").select(*docs.columns)))
 
 
 @query("op9_rare_first_join")

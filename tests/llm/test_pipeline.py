@@ -5,6 +5,7 @@ from __spark_entry__ import oracle_sql, queries
 from kanaat.llm import quality_rules, site_quality
 from test_ngram_join import brute
 from test_packing import check
+from pyspark.sql import functions as F
 from test_secrets import base_spans
 
 FOLDER = "/root/testdata/sf0.001"
@@ -55,3 +56,18 @@ def test_registered():
     names = queries()
     assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
     assert "pipeline" in names and set(oracle_sql()) <= set(names)
+
+
+def test_own_columns_stay_whatever_their_names(spark):
+    names = ["secrets", "strong_secrets", "_key", "_strong", "_weak", "_linked", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+             "base_failed", "quality_score", "kept", "score", "host_rate", "path_rate", "_p", "_host", "_path", "n_path", "s_path", "n_host", "s_host",
+             "node", "n", "shingles", "label", "component_id", "_node", "_n", "_gone", "_many", "_k", "_label", "_id"]
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("*", *[F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")).alias(c) for c in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, FOLDER)
+        assert after.schema.simpleString() == docs.schema.simpleString(), name
+        rows = after.collect()
+        assert rows and all(r[c] == f"{c} of {r.doc_id}" for r in rows for c in names), name
+        plain = stage(spark, docs.drop(*names), FOLDER)
+        assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in plain.collect()), name
+    assert corpus_pipeline.sequence_packing(spark, docs, FOLDER).count() >= docs.count()
