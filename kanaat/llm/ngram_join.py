@@ -74,7 +74,8 @@ def shingles(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def frequent(docs: DataFrame, text_col: str = "text", most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """The commonest shingles (sorted) and their counts. A task sends on what it has seen in two texts or more."""
+    """The commonest shingles (sorted), `most` at the most, and their counts. A task sends on what it has seen in two
+    texts or more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
@@ -93,8 +94,16 @@ def frequent(docs: DataFrame, text_col: str = "text", most: int = FREQUENT) -> t
         if size:
             yield flushed()
 
-    counts = docs.select(text_col).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "key").limit(most).toArrow()
+    counts = stored(docs.select(text_col).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "join-counts")
+    # How many shingles have a count of each class (a factor of 1.07) tells from which count on they are few enough.
+    level = F.floor(F.log2("n") * 10).cast("int")
+    room, least = most, None
+    for row in counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["level"]
+    top = counts.where(level >= least if least is not None else F.lit(False)).toArrow()
     keys, n = top.column("key").to_numpy().astype(np.uint64), top.column("n").to_numpy()
     order = np.argsort(keys)
     return keys[order], n[order]
@@ -252,8 +261,9 @@ def linked(sets: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """Components of all links between the nodes of ``sets``."""
     # Shingles of one node only are left out. Hot ones stay without a look, so that none of them meets in one task.
     together = Window.partitionBy("token", "part")
-    shared = stored(prefixes(sets, common).withColumns({"_low": F.min("node").over(together), "_high": F.max("node").over(together)}).where(
-        "part > 0 or _low != _high").select("token", "node", "n", "place").distinct(), "join-shared")
+    dealt = prefixes(sets, common).repartition("token", "part").distinct()
+    shared = stored(dealt.withColumns({"_low": F.min("node").over(together), "_high": F.max("node").over(together)}).where(
+        "part > 0 or _low != _high").select("token", "node", "n", "place"), "join-shared")
     # First each text meets, for each shingle, the most central of the texts of about its size: the one whose prefix is
     # shared to the largest part. Of a family it is the text that the others derive from.
     central = shared.groupBy(F.col("node").alias("_node")).agg(F.count(F.lit(1)).alias("_d"))
