@@ -237,26 +237,39 @@ def meeting(open_: DataFrame) -> DataFrame:
     larger = F.least("most", F.floor(OF * F.col("n") / SIMILAR))
     smaller, smallest = F.least("most", "n"), F.ceil(SIMILAR * F.col("n") / OF)
     x = rows.where(larger >= F.col("n")).withColumn("c", F.explode(F.sequence("own", size_class(larger, CLASS)))).select(
-        "token", F.col("own").alias("c_x"), F.col("c").alias("c_y"), "label", "node", "n", "most")
+        "token", F.col("own").alias("c_x"), F.col("c").alias("c_y"), "label", "alone", "node", "n", "most")
     y = rows.where(smaller >= smallest).withColumn("c", F.explode(F.sequence(size_class(smallest, CLASS), size_class(smaller, CLASS)))).select(
-        "token", F.col("c").alias("c_x"), F.col("own").alias("c_y"), "label", "node", "n", "most")
+        "token", F.col("c").alias("c_x"), F.col("own").alias("c_y"), "label", "alone", "node", "n", "most")
     key = ["token", "c_x", "c_y"]
 
     def groups(side: DataFrame, name: str) -> DataFrame:
-        return side.groupBy(*key, F.col("label").alias(f"label_{name}")).agg(F.min("n").alias(f"low_{name}"), F.max("most").alias(f"most_{name}"))
+        return side.groupBy(*key, F.col("label").alias(f"label_{name}"), F.col("alone").alias(f"alone_{name}")).agg(
+            F.min("n").alias(f"low_{name}"), F.max("most").alias(f"most_{name}"))
 
     labels = groups(x, "x").join(groups(y, "y"), key).where(
         (F.col("label_x") != F.col("label_y")) & (F.col("low_x") <= F.col("most_y")) & (F.col("low_y") <= F.col("most_x")))
-    labels = stored(labels.select(*key, "label_x", "label_y", "low_y", "most_y"), "join-label-pairs")
-    of_x = x.select(*key, F.col("label").alias("label_x"), F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("most").alias("m_x"))
-    of_y = y.select(*key, F.col("label").alias("label_y"), F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("most").alias("m_y"))
-    some = labels.join(of_x, [*key, "label_x"]).where((F.col("n_x") <= F.col("most_y")) & (F.col("low_y") <= F.col("m_x"))).select(
-        *key, "label_y", "x", "n_x", "m_x")
-    return some.join(of_y, [*key, "label_y"]).where(
+    labels = stored(labels, "join-label-pairs")
+    # A text without links is its label, and its bounds are exact; only members of components are looked up.
+    of_x = x.where(~F.col("alone")).select(*key, F.col("label").alias("label_x"), F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("most").alias("m_x"))
+    of_y = y.where(~F.col("alone")).select(*key, F.col("label").alias("label_y"), F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("most").alias("m_y"))
+    other = [*key, "label_y", "alone_y", "low_y", "most_y"]
+    some = labels.where("alone_x").select(*other, F.col("label_x").alias("x"), F.col("low_x").alias("n_x"), F.col("most_x").alias("m_x")).unionByName(
+        labels.where("not alone_x").join(of_x, [*key, "label_x"]).select(*other, "x", "n_x", "m_x")).where(
+        (F.col("n_x") <= F.col("most_y")) & (F.col("low_y") <= F.col("m_x")))
+    rest = ["x", "n_x", "m_x"]
+    pairs = some.where("alone_y").select(*rest, F.col("label_y").alias("y"), F.col("low_y").alias("n_y"), F.col("most_y").alias("m_y")).unionByName(
+        some.where("not alone_y").join(of_y, [*key, "label_y"]).select(*rest, "y", "n_y", "m_y"))
+    return pairs.where(
         (F.col("n_x") <= F.col("n_y")) & (F.col("n_x") <= F.col("m_y")) & (F.col("n_y") <= F.col("m_x"))
         & (OF * F.col("n_x") >= SIMILAR * F.col("n_y"))).select("x", "n_x", "y", "n_y").distinct()
 
 
+def rows_of(shared: DataFrame, met: DataFrame) -> DataFrame:
+    """The rows of ``shared`` of the nodes in ``met``."""
+    nodes = stored(met.select(F.explode(F.array("x", "y")).alias("_node")).distinct(), "join-nodes")
+    return shared.join(F.broadcast(nodes) if fits(nodes, SENT) else nodes, F.col("node") == F.col("_node"), "left_semi")
+
+
 def linked(sets: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """Components of all links between the nodes of ``sets``."""
     # Shingles of one node only are left out. Hot ones stay without a look, so that none of them meets in one task.
@@ -277,10 +290,10 @@ def linked(sets: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     found = components(links)
     # Then texts of different components meet where a shingle may be the first they share.
     labelled = stored(shared.join(found.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
-        "token", "node", "n", "place", F.coalesce("label", "node").alias("label")), "join-labelled")
+        "token", "node", "n", "place", F.coalesce("label", "node").alias("label"), F.col("label").isNull().alias("alone")), "join-labelled")
     mixed = labelled.groupBy("token").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low != _high").select("token")
     apart = stored(meeting(stored(labelled.join(mixed, "token", "left_semi"), "join-open")), "join-meeting")
-    more = stored(shared_tokens(apart, shared).join(first, ["a", "b"], "left_anti"), "join-pairs")
+    more = stored(shared_tokens(apart, rows_of(shared, apart)).join(first, ["a", "b"], "left_anti"), "join-pairs")
     if more.isEmpty():
         return found
     again = stored(verified(more, sets), "join-links")
