@@ -155,9 +155,9 @@ def set_aside(docs: DataFrame, used: list[str]) -> tuple[DataFrame, Callable[[Da
 
 
 def with_text_columns(docs: DataFrame, text_col: str, make: Callable[[Texts], dict[str, np.ndarray]], fields: str,
-                      keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (all columns by default) and the columns that ``make`` computes from each piece of texts; ``fields``
-    is their DDL. A column of ``docs`` with the name of a computed one is replaced."""
+                      keep: list[str] | None = None, most_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """``keep`` (all columns by default) and the columns that ``make`` computes from each piece of texts of about
+    ``most_bytes``; ``fields`` is their DDL. A column of ``docs`` with the name of a computed one is replaced."""
     added = T.StructType.fromDDL(fields)
     kept = [c for c in (docs.columns if keep is None else keep) if c not in added.names]
     source = docs.select(*kept, *([] if text_col in kept else [text_col]))
@@ -166,7 +166,7 @@ def with_text_columns(docs: DataFrame, text_col: str, make: Callable[[Texts], di
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in chunks(batch.column(place)):
+            for texts in chunks(batch.column(place), most_bytes):
                 columns = make(texts)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(i).slice(texts.first, texts.rows) for i in range(len(kept))]

@@ -45,7 +45,9 @@ WINDOW = 5
 # How many shingles the order knows by count. Only speed depends on it.
 FREQUENT = 1_000_000
 # Shingles a task holds while it counts, and node ids that may be sent to every task.
-HELD, SENT = 1_000_000, 1_000_000
+HELD, SENT = 500_000, 1_000_000
+# Bytes of text, and sets, that a task works on at once.
+PIECE, SETS = 1 << 18, 2000
 # Sizes of a class differ by less than this factor.
 CLASS = 1.1
 # A shingle counted so often is dealt by node, too, while shingles of one node are looked for.
@@ -85,7 +87,7 @@ def frequent(docs: DataFrame, text_col: str = "text", most: int = FREQUENT) -> t
             return pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(counts[often])], ["key", "n"])
 
         for batch in batches:
-            for texts in chunks(batch.column(0)):
+            for texts in chunks(batch.column(0), PIECE):
                 held.append(shingles(texts)[1])
                 size += len(held[-1])
                 if size > HELD:
@@ -139,16 +141,16 @@ def ordered_sets(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], text_co
         raw, end = packed(key).tobytes(), np.cumsum(n) * 6
         return {"node": node.view(np.int64), "n": n, "shingles": [raw[e - 6 * m:e] for e, m in zip(end.tolist(), n.tolist(), strict=True)]}
 
-    return with_text_columns(docs, text_col, make, "node long, n long, shingles binary", ["doc_id"])
+    return with_text_columns(docs, text_col, make, "node long, n long, shingles binary", ["doc_id"], PIECE)
 
 
 def prefixes(sets: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """``token``, ``node``, ``n``, ``place`` in the set (from 0) and ``part``: the prefixes of all sets; of equal sets in
-    a batch one. ``part`` is 0, or a number by node for a token that was counted `HOT` times or more."""
+    a piece one. ``part`` is 0, or a number by node for a token that was counted `HOT` times or more."""
     hot = common[0][common[1] >= HOT]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(i, SETS) for whole in batches for i in range(0, whole.num_rows, SETS)):
             node, n = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
             once = np.unique(node, return_index=True)[1]
             once = once[n[once] > 0]
