@@ -1,9 +1,10 @@
 """Exact k-nearest-neighbour join, Euclidean, ties by id.
 
-A small base (its row count is checked) travels to the tasks. A larger one is cut into cells around
-pivots: the distances to the pivots bound the k-th neighbour from above and the distance to a cell
-from below, so a query visits only cells that can hold a neighbour. Cells are cut into chunks of
-bounded size on both sides; every visit emits k rows, and the best k over all visits remain."""
+A small base (its row count is checked) travels to the tasks. With a larger one, queries are dealt to parts of
+bounded size and the base is streamed past each part of its group, in blocks of near rows: the k nearest so far of
+each query stay, and their distance rules out rows of a block, or a whole block by its centre and radius. A task holds
+one part and one block. Every row of the base is moved once for each part, and the parts are as many as the cores need
+until they reach their largest size; only the measuring itself grows with the product of both sides."""
 
 from __future__ import annotations
 
@@ -12,6 +13,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +24,10 @@ from kanaat.session import durable, fits, small_side
 BROADCAST_ROWS = 4096
 CHUNK_ROWS = 4096
 LEAST_PIVOTS = 128
-MOST_GROUPS = 1000
+# A part's queries: parts for each core, and the most bytes of their vectors.
+PARTS_PER_CORE, LEAST_PART_ROWS, PART_BYTES = 3, 512, 32 << 20
+# Rows of a part measured at once, and bytes of the vectors of pairs that are measured exactly at once.
+TILE_ROWS, EXACT_BYTES = 512, 4 << 20
 
 
 def matrix_of(vectors) -> np.ndarray:
@@ -34,26 +39,90 @@ def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(d, 0.0)
 
 
-def nearest(query_ids, queries, base_ids, base, k, skip_self) -> pd.DataFrame:
-    """The k nearest base rows of each query. The matrix product finds candidates up to rounding,
-    which are then measured exactly."""
-    rough = _squared(queries, base)
-    scale = (queries * queries).sum(1) + (base * base).sum(1).max()
-    found = []
-    for i, qid in enumerate(query_ids):
-        allowed = base_ids != qid if skip_self else np.ones(len(base_ids), dtype=bool)
-        if not allowed.any():
-            continue
-        row = np.where(allowed, rough[i], np.inf)
-        last = min(k, int(allowed.sum())) - 1
-        near = np.flatnonzero(row <= np.partition(row, last)[last] + 1e-9 * (1.0 + scale[i]))
-        exact = ((queries[i] - base[near]) ** 2).sum(1)
-        best = np.lexsort((base_ids[near], exact))[:k]
-        found.append(pd.DataFrame({"query_id": qid, "neighbour_id": base_ids[near][best], "distance2": exact[best]}))
-    if not found:
-        return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "neighbour_id": pd.Series(dtype="int64"),
-                             "distance2": pd.Series(dtype="float64")})
-    return pd.concat(found, ignore_index=True)
+class Nearest:
+    """The k nearest base rows of each query, of the rows added so far. The matrix product finds candidates up to
+    rounding, which are then measured exactly."""
+
+    def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int, skip_self: bool):
+        self.ids, self.queries, self.k, self.skip_self = ids, queries, k, skip_self
+        self.norms = (queries * queries).sum(1)
+        # With a column more the matrix product gives the distance less the query's own norm at once.
+        self.wide = np.column_stack([-2.0 * queries, np.ones(len(queries))])
+        self.room = np.zeros(0)
+        self.distance = np.full((len(ids), k), np.inf)
+        self.found = None
+
+    def add(self, ids: np.ndarray, base: np.ndarray) -> None:
+        if not len(ids):
+            return
+        if self.found is None:
+            self.found = np.full((len(self.ids), self.k), ids[0], dtype=ids.dtype)
+        norms = (base * base).sum(1)
+        centre = base.mean(0)
+        radius = math.sqrt(((base - centre) ** 2).sum(1).max())
+        highest, wide = np.fmax.reduce(norms), np.column_stack([base, norms]).T
+        # Never more than the true distance: what rounding can add to its square is taken off.
+        squares = self.norms + centre @ centre
+        away = np.sqrt(np.maximum(squares + self.wide[:, :-1] @ centre - 1e-9 * (1.0 + squares), 0.0))
+        for start in range(0, len(self.ids), TILE_ROWS):
+            rows = np.arange(start, min(start + TILE_ROWS, len(self.ids)))
+            worst = self.distance[rows[0] : rows[-1] + 1, -1]
+            open_rows = ~(away[rows[0] : rows[-1] + 1] - radius > np.sqrt(worst) * (1 + 1e-9) + 1e-9)
+            if open_rows.all():
+                self._tile(rows, self.wide[rows[0] : rows[-1] + 1], ids, base, wide, highest)
+            elif open_rows.any():
+                rows = rows[open_rows]
+                self._tile(rows, self.wide[rows], ids, base, wide, highest)
+
+    def _tile(self, rows, queries, ids, base, wide, highest) -> None:
+        if len(self.room) < len(rows) * len(ids):
+            self.room = np.empty(len(rows) * len(ids))
+        rough = np.matmul(queries, wide, out=self.room[: len(rows) * len(ids)].reshape(len(rows), len(ids)))
+        scale = 1e-9 * (1.0 + self.norms[rows] + highest)
+        limit = self.distance[rows, -1] - self.norms[rows] + scale
+        new, wanted = np.isinf(limit), self.k + self.skip_self
+        if new.any() and len(ids) > wanted:
+            limit[new] = np.partition(rough[new], wanted - 1, axis=1)[:, wanted - 1] + scale[new]
+        row, column = np.divmod(np.flatnonzero(rough <= limit[:, None]), len(ids))
+        if self.skip_self:
+            others = ids[column] != self.ids[rows[row]]
+            row, column = row[others], column[others]
+        if not len(row):
+            return
+        step = max(1, EXACT_BYTES // (8 * base.shape[1]))
+        exact = np.concatenate([
+            ((self.queries[rows[row[s : s + step]]] - base[column[s : s + step]]) ** 2).sum(1) for s in range(0, len(row), step)
+        ])
+        self._keep(rows[row], exact, ids[column])
+
+    def _keep(self, rows, distance, ids) -> None:
+        better = distance <= self.distance[rows, -1]
+        rows, distance, ids = rows[better], distance[better], ids[better]
+        touched = np.unique(rows)
+        row = np.concatenate([rows, np.repeat(touched, self.k)])
+        distance = np.concatenate([distance, self.distance[touched].ravel()])
+        ids = np.concatenate([ids, self.found[touched].ravel()])
+        place = np.unique(ids, return_inverse=True)[1]
+        order = np.lexsort((place, distance, row))
+        first = np.searchsorted(row[order], touched)
+        best = order[first[:, None] + np.arange(self.k)[None, :]]
+        self.distance[touched], self.found[touched] = distance[best], ids[best]
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the query, id of the neighbour, squared distance and rank from 1."""
+        row, rank = np.nonzero(np.isfinite(self.distance))
+        found = self.found[row, rank] if self.found is not None else np.zeros(0, np.int64)
+        return row, found, self.distance[row, rank], rank + 1
+
+
+def nearest(query_ids, queries, base_ids, base, k, skip_self, chunk_rows: int = CHUNK_ROWS) -> pd.DataFrame:
+    """The k nearest base rows of each query."""
+    query_ids = np.asarray(query_ids)
+    best = Nearest(query_ids, queries, k, skip_self)
+    for start in range(0, len(base_ids), chunk_rows):
+        best.add(base_ids[start : start + chunk_rows], base[start : start + chunk_rows])
+    row, found, distance, _ = best.result()
+    return pd.DataFrame({"query_id": query_ids[row], "neighbour_id": found, "distance2": distance})
 
 
 def _against(held: dict, k: int, skip_self: bool, frames):
@@ -64,11 +133,6 @@ def _against(held: dict, k: int, skip_self: bool, frames):
                 yield nearest(part["id"].to_numpy(), matrix_of(part["vector"]), ids, matrix, k, skip_self)
 
 
-def _best(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy("distance2", "neighbour_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-
-
 def knn_join(
     queries: DataFrame,
     base: DataFrame,
@@ -87,44 +151,71 @@ def knn_join(
         return found.withColumn(
             "rank", F.row_number().over(Window.partitionBy("query_id").orderBy("distance2", "neighbour_id"))
         )
-    return _best(_by_cells(queries, base, k, skip_self, chunk_rows, pivots), k)
+    return _by_blocks(queries, base, k, skip_self, chunk_rows, pivots)
 
 
 def _assign(centres: np.ndarray, frames):
     for pdf in frames:
-        away = np.sqrt(_squared(matrix_of(pdf["vector"]), centres))
-        cell = away.argmin(1)
-        yield pdf.assign(cell=cell.astype("int32"), away=away[np.arange(len(cell)), cell])
+        for start in range(0, len(pdf), 1024):
+            part = pdf.iloc[start : start + 1024]
+            away = np.sqrt(_squared(matrix_of(part["vector"]), centres))
+            cell = away.argmin(1)
+            yield part.assign(cell=cell.astype("int32"), away=away[np.arange(len(cell)), cell])
 
 
-def _visits(centres: np.ndarray, cells: dict, k: int, frames):
-    """Cells a query has to look into. ``cells`` holds per group: cell numbers, radius of each and the
-    smallest distances to the pivot in each."""
-    for pdf in frames:
-        away = np.sqrt(_squared(matrix_of(pdf["vector"]), centres))
-        rows, into = [], []
-        for i, group in enumerate(pdf["grp"]):
-            if group not in cells:
+def _matrix(column: pa.Array) -> np.ndarray:
+    sizes = np.unique(np.diff(column.offsets.to_numpy()))
+    values = column.flatten()
+    if column.null_count or values.null_count or len(sizes) != 1:
+        raise ValueError("vectors of different lengths or with missing parts")
+    return values.to_numpy().reshape(len(column), -1)
+
+
+def _numpy(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False)
+
+
+def _runs(batch: pa.RecordBatch) -> list[tuple[int, int]]:
+    """Rows of one part, kind and cell that follow each other."""
+    changes = np.zeros(max(0, batch.num_rows - 1), bool)
+    for name in ("grp", "part", "kind", "cell"):
+        values = _numpy(batch.column(name))
+        changes |= values[1:] != values[:-1]
+    cuts = [0, *(np.flatnonzero(changes) + 1).tolist(), batch.num_rows]
+    return [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
+
+
+def _streamed(k: int, skip_self: bool, chunk_rows: int, batches):
+    """Of each part first the queries, then the base rows of its group, cell by cell."""
+    key, ids, vectors, best, kinds = None, [], [], None, None
+
+    def made():
+        if best is not None:
+            row, found, distance, rank = best.result()
+            for s in range(0, len(row), 10_000):
+                e = s + 10_000
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(best.ids[row[s:e]], kinds[0]), pa.array(found[s:e], kinds[1]), pa.array(distance[s:e]),
+                     pa.array(rank[s:e].astype("int32"))], ["query_id", "neighbour_id", "distance2", "rank"])
+
+    for batch in batches:
+        kinds = [batch.schema.field(name).type for name in ("query_id", "neighbour_id")]
+        for start, end in _runs(batch):
+            run = batch.slice(start, end - start)
+            here = run.column("grp")[0].as_py(), run.column("part")[0].as_py()
+            if here != key:
+                yield from made()
+                key, ids, vectors, best = here, [], [], None
+            if run.column("kind")[0].as_py() == 0:
+                ids.append(_numpy(run.column("query_id")))
+                vectors.append(_matrix(run.column("vector")))
                 continue
-            numbers, radius, closest, owner = cells[group]
-            reach = np.sort(away[i][owner] + closest)
-            bound = reach[k - 1] if len(reach) >= k else np.inf
-            open_cells = numbers[away[i][numbers] - radius <= bound * (1 + 1e-9) + 1e-9]
-            rows += [i] * len(open_cells)
-            into.append(open_cells)
-        if rows:
-            yield pdf.iloc[rows].assign(cell=np.concatenate(into).astype("int32"))
-
-
-def _chunk(k: int, skip_self: bool, key, queries: pd.DataFrame, base: pd.DataFrame) -> pd.DataFrame:
-    if queries.empty or base.empty:
-        return nearest([], np.zeros((0, 1)), np.array([], dtype="int64"), np.zeros((1, 1)), k, skip_self)
-    base_ids, matrix = base["id"].to_numpy(), matrix_of(base["vector"])
-    steps = [queries.iloc[s : s + 1024] for s in range(0, len(queries), 1024)]
-    return pd.concat(
-        [nearest(q["id"].to_numpy(), matrix_of(q["vector"]), base_ids, matrix, k, skip_self) for q in steps],
-        ignore_index=True,
-    )
+            if best is None:
+                best, ids, vectors = Nearest(np.concatenate(ids), np.concatenate(vectors), k, skip_self), [], []
+            for s in range(0, run.num_rows, chunk_rows):
+                block = run.slice(s, chunk_rows)
+                best.add(_numpy(block.column("neighbour_id")), _matrix(block.column("vector")))
+    yield from made()
 
 
 def _found(queries: DataFrame, base: DataFrame) -> str:
@@ -132,49 +223,33 @@ def _found(queries: DataFrame, base: DataFrame) -> str:
     return f"query_id {kinds[0]}, neighbour_id {kinds[1]}, distance2 double"
 
 
-def _by_cells(queries, base, k, skip_self, chunk_rows, pivots) -> DataFrame:
+def _by_blocks(queries, base, k, skip_self, chunk_rows, pivots) -> DataFrame:
+    spark = queries.sparkSession
+    # Copies of a vector are equally far from any query, so those of the smallest ids are all that can be found.
+    copies = Window.partitionBy("grp", F.xxhash64("vector"), "vector").orderBy("id")
+    base = durable(base.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k + skip_self).drop("_copy"))
     if pivots is None:  # so many that a cell's rows grow as the root of the base
         pivots = max(LEAST_PIVOTS, math.isqrt(base.count()))
     keyed = base.withColumn("_key", shuffle_key(F.col("id"), SEED))
     centres = matrix_of([r.vector for r in keyed.orderBy("_key", "id").limit(pivots).select("vector").collect()])
     typed = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in base.schema.fields)
     placed = durable(base.mapInPandas(partial(_assign, centres), f"{typed}, cell int, away double"))
-    wanted = k + 1 if skip_self else k
-    rank = F.row_number().over(Window.partitionBy("grp", "cell").orderBy("away"))
-    sizes = placed.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("rows"), F.max("away").alias("radius"))
-    if not fits(sizes.select("grp").distinct(), MOST_GROUPS):
-        raise ValueError(f"more than {MOST_GROUPS} groups; join them one by one")
-    # At most pivots x groups rows here, and k times as many closest distances.
-    stats = sizes.toPandas()
-    close = placed.select("grp", "cell", "away").withColumn("r", rank).where(F.col("r") <= wanted).toPandas()
-    cells = {
-        g: (s["cell"].to_numpy(), s["radius"].to_numpy(), c["away"].to_numpy(), c["cell"].to_numpy())
-        for (g, s), c in ((gs, close[close["grp"] == gs[0]]) for gs in stats.groupby("grp"))
-    }
-    visits = queries.mapInPandas(partial(_visits, centres, cells, wanted), f"{typed}, cell int")
-    visitors = visits.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("visitors"))
-    plan = F.broadcast(
-        sizes.join(visitors, ["grp", "cell"]).select(
-            "grp",
-            "cell",
-            F.ceil(F.col("rows") / chunk_rows).cast("int").alias("base_parts"),
-            F.ceil(F.col("visitors") / chunk_rows).cast("int").alias("query_parts"),
-        )
-    )
-    part = F.xxhash64("id")
-    base_side = placed.join(plan, ["grp", "cell"]).select(
-        "id", "grp", "vector", "cell",
-        F.pmod(part, F.col("base_parts")).cast("int").alias("bp"),
-        F.explode(F.sequence(F.lit(0), F.col("query_parts") - 1)).alias("qp"),
+    cores = spark.sparkContext.defaultParallelism
+    rows = max(LEAST_PART_ROWS, -(-queries.count() // (PARTS_PER_CORE * cores)))
+    rows = max(1, min(rows, PART_BYTES // (8 * centres.shape[1])))
+    plan = small_side(queries.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("parts")))
+    query_id, base_id = (df.schema["id"].dataType for df in (queries, base))
+    query_side = queries.join(plan, "grp").select(
+        "grp", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(0).alias("kind"), F.lit(0).alias("cell"),
+        F.lit(0.0).alias("away"), F.col("id").alias("query_id"), F.lit(None).cast(base_id).alias("neighbour_id"), "vector",
     )
-    query_side = visits.join(plan, ["grp", "cell"]).select(
-        "id", "grp", "vector", "cell",
-        F.pmod(part, F.col("query_parts")).cast("int").alias("qp"),
-        F.explode(F.sequence(F.lit(0), F.col("base_parts") - 1)).alias("bp"),
+    base_side = placed.join(plan, "grp").select(
+        "grp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("kind"), "cell",
+        "away", F.lit(None).cast(query_id).alias("query_id"), F.col("id").alias("neighbour_id"), "vector",
     )
-    keys = ["grp", "cell", "bp", "qp"]
-    return query_side.groupBy(*keys).cogroup(base_side.groupBy(*keys)).applyInPandas(
-        partial(_chunk, k, skip_self), _found(queries, base)
+    dealt = query_side.unionByName(base_side).repartitionByRange(PARTS_PER_CORE * cores, "grp", "part")
+    return dealt.sortWithinPartitions("grp", "part", "kind", "cell", "away").mapInArrow(
+        partial(_streamed, k, skip_self, chunk_rows), f"{_found(queries, base)}, rank int"
     )
 
 

@@ -235,3 +235,35 @@ def test_boosted_stumps_score_as_their_chain(spark, monkeypatch, tmp_path):
     assert all(abs(r.q - r.p_ada) < 1e-12 for r in made.score(chain).select("q", "p_ada").collect())
     made.save(str(tmp_path / "ada"))
     assert learners.load(spark, "ada", str(tmp_path / "ada")) == made
+
+
+def test_a_large_base_is_streamed_in_bounded_rows(spark, monkeypatch):
+    """No row of either side is multiplied by cells, a common vector stays k + 1 rows, queries are dealt to several parts."""
+    rows, df = points(spark, 300, dims=16, groups=3, copies=500)
+    monkeypatch.setattr(neighbours, "LEAST_PART_ROWS", 40)
+    seen, stream = spark.sparkContext.accumulator(0), neighbours._streamed
+
+    def counted(k, skip_self, chunk_rows, batches):
+        def watched():
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return stream(k, skip_self, chunk_rows, watched())
+
+    monkeypatch.setattr(neighbours, "_streamed", counted)
+    got = neighbours.knn_join(df, df, 5, skip_self=True, broadcast_rows=0).collect()
+    expected = brute(rows, 5)
+    assert len(got) == 5 * 800
+    for r in got:
+        assert expected[r.query_id][r["rank"] - 1] == r.neighbour_id
+    assert seen.value < 800 + 306 * 20
+
+
+def test_neighbours_of_text_ids(spark):
+    rows, df = points(spark, 90, copies=10)
+    named = df.withColumn("id", F.format_string("n%03d", "id"))
+    got = neighbours.knn_join(named, named, 4, skip_self=True, broadcast_rows=0).collect()
+    expected = brute(rows, 4)
+    assert sorted((r.query_id, r["rank"], r.neighbour_id) for r in got) == sorted(
+        (f"n{i:03d}", n + 1, f"n{j:03d}") for i, near in expected.items() for n, j in enumerate(near))
