@@ -32,6 +32,7 @@ from kanaat.functions.fixed_values import NEIGHBOURS, SEED
 from kanaat.operators import forests
 from kanaat.operators.neighbours import BROADCAST_ROWS, knn_classify, matrix_of, nearest
 from kanaat.operators.ranking import hash_rank
+from kanaat.operators.tables import in_pieces
 from kanaat.session import durable, fits
 
 SMALLEST = 1e-10
@@ -307,7 +308,8 @@ def margins(name: str, model: LinearSVCModel, rows: DataFrame) -> DataFrame:
 
 def _calibrated(name: str, params: dict, train: DataFrame, rows: int, folds: int = 3) -> Calibrated:
     """The curve is fitted to margins of rows their model has not seen."""
-    parts = hash_rank(train, ["label"], "id").withColumn("_fold", (F.col("rank") - 1) % folds).drop("rank").persist()
+    parts = hash_rank(train, ["label"], "id").withColumn("_fold", (F.col("rank") - 1) % folds).drop("rank")
+    parts = in_pieces(parts, rows).persist()
 
     def held_out(i: int) -> DataFrame:
         return margins(name, estimator(name, params, rows).fit(parts.where(F.col("_fold") != i)), parts.where(F.col("_fold") == i))

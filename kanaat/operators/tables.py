@@ -113,3 +113,9 @@ def label_tally(labelled: DataFrame, target_positive: int, target_negative: int)
     )
     done = (F.col("positives") >= target_positive) & (F.col("negatives") >= target_negative)
     return found.withColumn("complete", done.cast("int"))
+
+
+def in_pieces(df: DataFrame, rows: int, rows_per_piece: int = 20_000) -> DataFrame:
+    """Iterative fits run one job per step; a small table should not cost many tasks each time. Rows are put in
+    order: learners that draw rows by their place then draw the same ones in every run."""
+    return df.coalesce(max(1, -(-rows // rows_per_piece))).sortWithinPartitions("id")

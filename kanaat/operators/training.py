@@ -144,13 +144,7 @@ def prepare(rows: DataFrame, profile: Profile) -> Prepared:
     )
     test = vectors.where("is_test").select("id", F.col("label").cast("double").alias("label"), "features")
     rows = train.count()
-    return Prepared(vectorizer, _in_pieces(train, rows), _in_pieces(durable(test), rows), rows, done)
-
-
-def _in_pieces(df: DataFrame, rows: int, rows_per_piece: int = 20_000) -> DataFrame:
-    """Iterative fits run one job per step; a small table should not cost many tasks each time. Rows are put in
-    order: learners that draw rows by their place then draw the same ones in every run."""
-    return df.coalesce(max(1, -(-rows // rows_per_piece))).sortWithinPartitions("id")
+    return Prepared(vectorizer, tables.in_pieces(train, rows), tables.in_pieces(durable(test), rows), rows, done)
 
 
 @dataclass
@@ -180,7 +174,7 @@ def search(profile: Profile, data: Prepared, grids: dict | None = None) -> Searc
     grids = profile.grids if grids is None else grids
     spark = data.train.sparkSession
     ranked = sampling.stratified_folds(data.train.withColumn("category", F.lit("")), profile.folds, identity="id")
-    folded = _in_pieces(ranked.select("id", "label", "features", "fold"), data.rows).persist()
+    folded = tables.in_pieces(ranked.select("id", "label", "features", "fold"), data.rows).persist()
     settings = {n: [{**base, **g} for g in grids.get(n, [{}])] for n, base in profile.members.items()}
     column = {(n, i): f"p_{n}_{i}" for n, own in settings.items() for i in range(len(own))}
     parts, curves = [], {}

@@ -28,11 +28,13 @@ def _by_category(rows, profile):
 
 def _learner(name):
     def run(spark, folder):
-        made = []
-        for category, rows in _by_category(labelled_comments(spark, folder), ELEVEN):
+        def one(category, rows):
             data = training.prepare(rows, ELEVEN)
             fitted = learners.fit(name, ELEVEN.members[name], data.train, data.rows)
-            made.append(training.report(training.CategoryModel(category, ELEVEN, data.vectorizer, [fitted]), data))
+            return training.report(training.CategoryModel(category, ELEVEN, data.vectorizer, [fitted]), data)
+
+        parted = _by_category(labelled_comments(spark, folder), ELEVEN)
+        made = learners.at_once(spark, [lambda c=c, r=r: one(c, r) for c, r in parted])
         return rounded(tables.union_all(made).withColumn("model", F.lit(name)))
 
     return run

@@ -267,3 +267,12 @@ def test_neighbours_of_text_ids(spark):
     expected = brute(rows, 4)
     assert sorted((r.query_id, r["rank"], r.neighbour_id) for r in got) == sorted(
         (f"n{i:03d}", n + 1, f"n{j:03d}") for i, near in expected.items() for n, j in enumerate(near))
+
+
+def test_calibration_folds_lie_in_few_pieces(spark, monkeypatch):
+    """A job for each step of a fit: a small table's folds must not be dealt to every shuffle partition."""
+    made, take = [], learners.margins
+    monkeypatch.setattr(learners, "margins", lambda name, model, rows: (made.append(rows.rdd.getNumPartitions()), take(name, model, rows))[1])
+    data = training.prepare(corpus(spark), TRIAL)
+    learners.fit("svm", {"maxIter": 3}, data.train, data.rows)
+    assert made == [1, 1, 1]
