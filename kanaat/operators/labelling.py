@@ -7,6 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,23 +23,32 @@ from kanaat.session import durable, shared_path
 Labeller = Callable[[str], str]
 
 
-def _ask(load: Callable[[], Labeller], attempts: int, pause: float, frames):
+# Rows whose prompts are held as Python strings, and whose answers are sent back, at once.
+ASKED_ROWS = 128
+
+
+def _ask(load: Callable[[], Labeller], attempts: int, pause: float, batches):
     ask = load()
-    for pdf in frames:
-        answers, used, failed = [], [], []
-        for prompt in pdf["prompt"]:
-            for attempt in range(1, attempts + 1):
-                try:
-                    answer, broken = ask(prompt), 0
-                    break
-                except Exception:  # try again, then settle for 0 and say so
-                    answer, broken = None, 1
-                    if attempt < attempts:
-                        time.sleep(pause)
-            answers.append(answer)
-            used.append(attempt)
-            failed.append(broken)
-        yield pdf[["question", "text"]].assign(answer=answers, attempts=used, failed=failed)
+    for batch in batches:
+        for start in range(0, batch.num_rows, ASKED_ROWS):
+            part = batch.slice(start, ASKED_ROWS)
+            answers, used, failed = [], [], []
+            for prompt in part.column("prompt"):
+                prompt = prompt.as_py()
+                for attempt in range(1, attempts + 1):
+                    try:
+                        answer, broken = ask(prompt), 0
+                        break
+                    except Exception:  # try again, then settle for 0 and say so
+                        answer, broken = None, 1
+                        if attempt < attempts:
+                            time.sleep(pause)
+                answers.append(answer)
+                used.append(attempt)
+                failed.append(broken)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("question"), part.column("text"), pa.array(answers, pa.string()), pa.array(used, pa.int32()),
+                 pa.array(failed, pa.int32())], ["question", "text", "answer", "attempts", "failed"])
 
 
 ANSWERS = "question string, version string, label int, attempts int, failed int"
@@ -104,7 +114,7 @@ def label_comments(
     prompts = distinct.join(known, "category").select(
         "question", "text", render_prompt(F.col("text"), F.col("category"), F.col("description")).alias("prompt")
     )
-    answers = prompts.mapInPandas(
+    answers = prompts.mapInArrow(
         partial(_ask, load, attempts, pause), "question string, text string, answer string, attempts int, failed int"
     ).withColumn("label", F.coalesce(parse_answer(F.col("answer")), F.lit(0)))
     if cache:

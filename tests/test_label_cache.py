@@ -51,3 +51,16 @@ def test_a_question_is_asked_once_over_all_slices(spark, tmp_path):
     assert held.count() == held.select("question").distinct().count()
     asked = {(r.category, r.text) for r in df.where("category is not null").collect()}
     assert held.count() <= len(asked)
+
+
+def test_answers_go_back_while_others_are_asked():
+    """A batch's prompts and texts are never all Python strings at once."""
+    import pyarrow as pa
+
+    asked, texts = [], [f"t{i}" for i in range(1000)]
+    batch = pa.RecordBatch.from_pydict({"question": texts, "text": texts, "prompt": [None, *texts[1:]]})
+    given = labelling._ask(lambda: lambda prompt: (asked.append(prompt), "evet")[1], 1, 0.0, iter([batch]))
+    first = next(given)
+    assert first.num_rows == len(asked) == labelling.ASKED_ROWS and asked[:2] == [None, "t1"]
+    rest = [row for part in given for row in part.to_pylist()]
+    assert [r["text"] for r in first.to_pylist() + rest] == texts and rest[-1] == {"question": "t999", "text": "t999", "answer": "evet", "attempts": 1, "failed": 0}
