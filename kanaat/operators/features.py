@@ -39,14 +39,11 @@ def term_counts(docs: DataFrame, groups: list[str]) -> DataFrame:
     """Corpus frequency and document frequency per term. The words of a text are sorted in the row, so
     the first of equal neighbours counts for the document; one shuffle of combined counts follows."""
     sorted_words = docs.select(*groups, F.sort_array("words").alias("w"))
-    before = F.concat(F.array(F.lit(None).cast("string")), "w")
-    flagged = F.zip_with(
-        "w",
-        F.slice(before, F.lit(1), F.size("w")),
-        lambda a, b: F.struct(a.alias("term"), F.when(a.eqNullSafe(b), 0).otherwise(1).alias("first")),
-    )
-    return sorted_words.select(*groups, F.explode(flagged).alias("e")).groupBy(*groups, F.col("e.term").alias("term")).agg(
-        F.count(F.lit(1)).alias("ctf"), F.sum("e.first").alias("df")
+    # Over an expression, as in `each_word`; functions of lambdas would run over every word uncompiled.
+    placed = sorted_words.select(*groups, "w", F.posexplode(F.slice("w", F.lit(1), F.size("w"))).alias("place", "term"))
+    first = F.when((F.col("place") > 0) & F.get("w", F.col("place") - 1).eqNullSafe(F.col("term")), 0).otherwise(1)
+    return placed.select(*groups, "term", first.alias("first")).groupBy(*groups, "term").agg(
+        F.count(F.lit(1)).alias("ctf"), F.sum("first").alias("df")
     )
 
 

@@ -276,3 +276,11 @@ def test_calibration_folds_lie_in_few_pieces(spark, monkeypatch):
     data = training.prepare(corpus(spark), TRIAL)
     learners.fit("svm", {"maxIter": 3}, data.train, data.rows)
     assert made == [1, 1, 1]
+
+
+def test_counts_of_terms_run_no_lambda_over_each_word(spark):
+    docs = spark.createDataFrame([(i, "c", d.split()) for i, d in enumerate(DOCS)] + [(9, "c", [])], "comment_id long, category string, words array<string>")
+    counts = features.term_counts(docs, ["category"])
+    assert "lambda" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.term: (r.ctf, r.df) for r in counts.collect()} == {
+        "aa": (3, 2), "bb": (4, 3), "cc": (2, 2), "dd": (3, 2), "ee": (1, 1), "ff": (1, 1)}
