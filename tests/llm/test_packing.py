@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kanaat.llm import grouping, packing
@@ -85,3 +86,13 @@ def test_odd_rows(spark):
     rows = packing.packed_sequences(docs).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset").collect()
     check(rows, texts)
     assert packing.packed_sequences(docs.limit(0)).count() == 0
+
+
+def test_texts_are_encoded_in_small_chunks(spark, monkeypatch):
+    """What a worker holds at once is set by the chunk, not by the rows that Arrow sends."""
+    docs, seen, real = spark.createDataFrame([(0, "x")], "doc_id long, text string"), [], packing.encoded
+    monkeypatch.setattr(packing, "encoded", lambda texts, path: (seen.append(len(texts.data)), real(texts, path))[1])
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: run)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(900)), pa.array(["ab cd " * 170] * 900)], ["doc_id", "text"])
+    rows = sum(out.num_rows for out in packing.token_pieces(docs)(iter([batch])))
+    assert rows == 900 and max(seen) <= 1 << 18
