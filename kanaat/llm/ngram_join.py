@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kanaat.llm.batches import STEP, Texts, chunks, lowered, mix, per_row, set_aside, span_hashes, with_text_columns, words
+from kanaat.llm.batches import STEP, Texts, chunks, lowered, mix, per_row, set_aside, small_batches, span_hashes, tidy, with_text_columns, words
 from kanaat.llm.registry import query, table
 from kanaat.llm.statistics import windows
 from kanaat.llm.storage import stored
@@ -96,7 +96,7 @@ def frequent(docs: DataFrame, text_col: str = "text", most: int = FREQUENT) -> t
         if size:
             yield flushed()
 
-    counts = stored(docs.select(text_col).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "join-counts")
+    counts = stored(small_batches(docs).select(text_col).mapInArrow(tidy(run), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "join-counts")
     # How many shingles have a count of each class (a factor of 1.07) tells from which count on they are few enough.
     level = F.floor(F.log2("n") * 10).cast("int")
     room, least = most, None
@@ -167,7 +167,7 @@ def prefixes(sets: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFram
                     [pa.array(keys.view(np.int64)), pa.array(nodes), pa.array(np.repeat(n[once], take)), pa.array(place), pa.array(part)],
                     ["token", "node", "n", "place", "part"])
 
-    return sets.select("node", "n", "shingles").mapInArrow(run, "token long, node long, n long, place long, part int")
+    return sets.select("node", "n", "shingles").mapInArrow(tidy(run), "token long, node long, n long, place long, part int")
 
 
 def reaches(shared: Column, n: Column, m: Column) -> Column:
@@ -199,7 +199,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep.append(bool(most >= enough and len(np.intersect1d(x, y, assume_unique=True)) >= enough))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:

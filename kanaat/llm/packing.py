@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kanaat.llm import grouping
-from kanaat.llm.batches import chunks
+from kanaat.llm.batches import chunks, small_batches, tidy
 from kanaat.llm.pretokens import tokenizer_path
 from kanaat.llm.registry import query, table
 from kanaat.llm.storage import stored
@@ -66,7 +66,7 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, most: int = SEQU
                 yield pa.RecordBatch.from_arrays(out, names)
 
     schema = f"doc_id {of}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return small_batches(docs).select("doc_id", "text").mapInArrow(tidy(run), schema)
 
 
 def epoch(state: DataFrame, number: int, capacity: int) -> DataFrame:
@@ -80,7 +80,7 @@ def epoch(state: DataFrame, number: int, capacity: int) -> DataFrame:
                                                     GENERATIONS, MEMBERS))
             yield frame[["block", "island", "numbers", "sizes"]].assign(population=populations)
 
-    return state.mapInPandas(run, "block long, island int, numbers array<long>, sizes array<int>, population array<array<int>>")
+    return state.mapInPandas(tidy(run), "block long, island int, numbers array<long>, sizes array<int>, population array<array<int>>")
 
 
 def migrated(state: DataFrame, islands: int) -> DataFrame:

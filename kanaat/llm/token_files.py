@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from kanaat.llm import range_coder
-from kanaat.llm.batches import chunks
+from kanaat.llm.batches import chunks, tidy
 from kanaat.llm.pretokens import tokenizer_path
 from kanaat.llm.registry import query, table
 from kanaat.llm.storage import stored
@@ -109,7 +109,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
                                              ["part", "frame", "data"])
 
     # Binary pages don't shrink further; they go to the file as they are.
-    ordered.mapInArrow(run, "part int, frame int, data binary").write.option("compression", "none").parquet(path)
+    ordered.mapInArrow(tidy(run), "part int, frame int, data binary").write.option("compression", "none").parquet(path)
 
 
 def read_batches(files: DataFrame, with_ids: bool) -> DataFrame:
@@ -130,7 +130,7 @@ def read_batches(files: DataFrame, with_ids: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(out, names)
 
     schema = "part int, frame int, number long, doc_id long, n long, crc long" + ", ids array<int>" * with_ids
-    return files.select("part", "frame", "data").mapInArrow(run, schema)
+    return files.select("part", "frame", "data").mapInArrow(tidy(run), schema)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
