@@ -7,9 +7,10 @@ order. A phrase whose run touches an end of its range is counted in part there a
 come two streams, one ordered by what a phrase begins with, one by what it ends with; merge joins of sorted streams
 give each cut its left count, its right count, and each phrase the counts of the phrases that extend it by a word.
 
-A phrase is rare if one of its words is, so records end before the first word that is certainly rare. That is
-asked of a filter of fixed size (``FILTER_BITS``), which may take a rare word for a frequent one and never the other
-way round; counts are exact whatever it says. Ends of ranges are drawn from a sample of at most ``SAMPLE`` records,
+A phrase is rare if one of its words or one pair of its neighbours is, so records end before the first word, and
+inside the first pair, that is certainly rare. Pairs are counted by buckets of their hashes beforehand, which go from
+task to task as sorted numbers without their words. Both are asked of filters of fixed size (``FILTER_BITS``), which
+may take rare for frequent and never the other way round; counts are exact whatever they say. Ends of ranges are drawn from a sample of at most ``SAMPLE`` records,
 on which only the evenness of the ranges depends. A word that starts a third of all records spans many ranges.
 
 Null texts count as empty, a null language as ``und``; ids and other columns are not looked at, repeated rows count
@@ -27,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kanaat.llm.batches import STEP, Texts, chunks, lowered, mix, span_hashes, words
+from kanaat.llm.batches import STEP, Texts, chunks, lowered, mix, runs, small_batches, span_hashes, tidy, words
 from kanaat.llm.registry import query, table
 from kanaat.llm.storage import stored
 from kanaat.session import small_side
@@ -36,12 +37,14 @@ LONGEST = 5
 # Fixed sets of the bytes that end a piece: . , ; : ! ? and line feed to carriage return.
 ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 NO_LANG = "und"
-# Bits of the filter of frequent words, and of one of its numbers.
+# Bits of the filter of frequent words (and of that of pairs), and of one of its numbers.
 FILTER_BITS, WORD_BITS = 1 << 25, 32
+# Buckets that pairs are counted in, pairs a part of the buckets gets about, and buckets a task holds before it passes them on.
+BUCKET_BITS, PART_PAIRS, HELD_PAIRS = 30, 4_000_000, 1_500_000
 # Records of a range of the sorted order, ranges at most, and sampled records at most.
 RANGE_RECORDS, MOST_RANGES, SAMPLE = 2_000_000, 65_536, 100_000
 # Bytes of text that are cut into words together, distinct words and sorted records a task holds before it passes them on.
-CHUNK, HELD, RECORDS = 2 << 20, 400_000, 1_000_000
+CHUNK, HELD, RECORDS = 1 << 20, 400_000, 500_000
 # floor(1000 a n / (l r)) in whole decimals of 38 digits.
 SCORE = "(cast(1000 as decimal(38,0)) * cast(f as decimal(38,0)) * cast(n as decimal(38,0))) div (cast(l as decimal(38,0)) * cast(r as decimal(38,0)))"
 # Parts a language's phrases are dealt to before the best of all are taken.
@@ -50,12 +53,25 @@ SHARES = 64
 Batches = Iterator[pa.RecordBatch]
 
 
+def places(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-case bytes, each word's start, end and row, and whether the next word stands in its piece."""
+    data = lowered(texts.data)
+    start, end, row = words(Texts(data, texts.at, texts.first), ENDS)
+    # A piece ends where a row does or where an ending byte stands between two words.
+    flag = np.zeros(256, bool)
+    flag[list(ENDS)] = True
+    upto = np.concatenate([[0], np.cumsum(flag[data], dtype=np.int64)])
+    joined = np.zeros(len(start), bool)
+    if len(start) > 1:
+        joined[:-1] = (row[1:] == row[:-1]) & (upto[start[1:]] == upto[end[:-1]])
+    return data, start, end, row, joined
+
+
 class Words:
     """The words of a piece of texts: which distinct (language, word) each is, and how many words follow it in its piece."""
 
     def __init__(self, texts: Texts, langs: pa.Array) -> None:
-        data = lowered(texts.data)
-        start, end, row = words(Texts(data, texts.at, texts.first), ENDS)
+        data, start, end, row, self.joined = places(texts)
         self.n = len(start)
         codes = langs.dictionary_encode()
         lang = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row]
@@ -70,21 +86,20 @@ class Words:
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         self.ids = place[which]
-        # A piece ends where a row does or where an ending byte stands between two words.
-        flag = np.zeros(256, bool)
-        flag[list(ENDS)] = True
-        upto = np.concatenate([[0], np.cumsum(flag[data], dtype=np.int64)])
-        self.joined = np.zeros(self.n, bool)
-        if self.n > 1:
-            self.joined[:-1] = (row[1:] == row[:-1]) & (upto[start[1:]] == upto[end[:-1]])
 
     def counts(self) -> np.ndarray:
         return np.bincount(self.ids, minlength=len(self.names))
 
-    def records(self, frequent: np.ndarray) -> np.ndarray:
+    def records(self, frequent: np.ndarray, pairs: np.ndarray | None = None) -> np.ndarray:
         """One row for each word that starts a phrase of two frequent words or more: 1 + its place in ``names`` and
-        those of the words behind it, 0 behind the last one."""
+        those of the words behind it, 0 behind the last one. ``pairs``, a filter, ends phrases inside rare pairs."""
         good = frequent[self.ids]
+        joined = self.joined
+        if pairs is not None:
+            here = np.flatnonzero(joined[:-1] & good[:-1] & good[1:])
+            hashes = self.hashes[self.ids]
+            joined = np.zeros(self.n, bool)
+            joined[here] = passed(pairs, buckets(hashes[here], hashes[here + 1]))
         out = np.zeros((self.n, LONGEST), np.int32)
         alive = good.copy()
         out[alive, 0] = self.ids[alive] + 1
@@ -93,37 +108,50 @@ class Words:
             m = self.n - k
             if m <= 0:
                 break
-            nxt[:m] = alive[:m] & self.joined[k - 1:self.n - 1] & good[k:]
+            nxt[:m] = alive[:m] & joined[k - 1:self.n - 1] & good[k:]
             here = np.flatnonzero(nxt)
             out[here, k] = self.ids[here + k] + 1
             alive = nxt
         return out[out[:, 1] > 0]
 
 
+def value_hashes(values: pa.Array) -> np.ndarray:
+    piece = next(chunks(values, 1 << 62), None)
+    return span_hashes(piece.data, piece.at[:-1], piece.at[1:]) if piece else np.zeros(0, np.uint64)
+
+
 def name_hashes(names: pa.Table) -> np.ndarray:
     """A 64-bit hash of every (language, word), the same in every task."""
     spelled = names.column("word").combine_chunks()
     langs = names.column("lang").combine_chunks().dictionary_encode()
+    of_lang = value_hashes(langs.dictionary)
+    return mix(value_hashes(spelled) ^ mix(of_lang[langs.indices.to_numpy(zero_copy_only=False)] + STEP)) if len(spelled) else np.zeros(0, np.uint64)
+
+
+def place_hashes(texts: Texts, langs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The same hash for each word of a piece of texts where it stands, and whether the next word stands in its piece."""
+    data, start, end, row, joined = places(texts)
+    codes = langs.dictionary_encode()
+    of_row = mix(value_hashes(codes.dictionary) + STEP)[codes.indices.to_numpy(zero_copy_only=False)]
+    return mix(span_hashes(data, start, end) ^ of_row[row]), joined
 
-    def hashes(values: pa.Array) -> np.ndarray:
-        piece = next(chunks(values, 1 << 62), None)
-        return span_hashes(piece.data, piece.at[:-1], piece.at[1:]) if piece else np.zeros(0, np.uint64)
 
-    of_lang = hashes(langs.dictionary)
-    return mix(hashes(spelled) ^ mix(of_lang[langs.indices.to_numpy(zero_copy_only=False)] + STEP)) if len(spelled) else np.zeros(0, np.uint64)
+def buckets(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The bucket of each pair of words, from their hashes."""
+    return mix(first * STEP + second) >> np.uint64(64 - BUCKET_BITS)
 
 
 def texts_and_langs(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+    return small_batches(docs).select(F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG)).alias("lang"))
 
 
-def word_pieces(batches: Batches) -> Iterator[Words]:
+def text_pieces(batches: Batches) -> Iterator[tuple[Texts, pa.Array]]:
     for batch in batches:
         for texts in chunks(batch.column(0), CHUNK):
             langs = batch.column(1).slice(texts.first, texts.rows)
             if len(texts.data) <= 2 * CHUNK:
-                yield Words(texts, langs)
+                yield texts, langs
                 continue
             # A text longer than CHUNK is a chunk of its own: it is cut where pieces end.
             ends = np.flatnonzero(np.isin(texts.data, np.frombuffer(ENDS, np.uint8))) + 1
@@ -131,10 +159,15 @@ def word_pieces(batches: Batches) -> Iterator[Words]:
             while at < len(texts.data):
                 later = np.searchsorted(ends, at + CHUNK)
                 to = int(ends[later]) if later < len(ends) else len(texts.data)
-                yield Words(Texts(texts.data[at:to], np.array([0, to - at]), 0), langs)
+                yield Texts(texts.data[at:to], np.array([0, to - at]), 0), langs
                 at = to
 
 
+def word_pieces(batches: Batches) -> Iterator[Words]:
+    for texts, langs in text_pieces(batches):
+        yield Words(texts, langs)
+
+
 def added_up(names: pa.Table, counts: np.ndarray) -> tuple[pa.Table, np.ndarray]:
     """Equal (language, word) rows as one."""
     held = names.append_column("n", pa.array(counts)).group_by(["lang", "word"]).aggregate([("n", "sum")])
@@ -142,7 +175,7 @@ def added_up(names: pa.Table, counts: np.ndarray) -> tuple[pa.Table, np.ndarray]
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """(lang, word, n, hash) of all words of (text, lang); equal words of a task are added up first."""
+    """(lang, word, n) of all words of (text, lang); equal words of a task are added up first."""
     def run(batches: Batches) -> Batches:
         def out() -> Batches:
             names, counts = added_up(pa.concat_tables(held), np.concatenate(sums))
@@ -150,7 +183,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
                 part = names.slice(a, 50_000)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("lang").cast(pa.string()).combine_chunks(), part.column("word").cast(pa.string()).combine_chunks(),
-                     pa.array(counts[a:a + 50_000]), pa.array(name_hashes(part).view(np.int64))], ["lang", "word", "n", "hash"])
+                     pa.array(counts[a:a + 50_000])], ["lang", "word", "n"])
 
         held, sums, size = [], [], 0
         for piece in word_pieces(batches):
@@ -167,8 +200,16 @@ def word_counts(rows: DataFrame) -> DataFrame:
         if held:
             yield from out()
 
-    parts = rows.mapInArrow(run, "lang string, word string, n bigint, hash bigint")
-    return parts.groupBy("lang", "word").agg(F.sum("n").alias("n"), F.first("hash").alias("hash"))
+    return rows.mapInArrow(tidy(run), "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def word_hashes(names: DataFrame) -> DataFrame:
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            spelled = pa.table({c: batch.column(i).cast(pa.binary()) for i, c in enumerate(["lang", "word"])})
+            yield pa.RecordBatch.from_arrays([pa.array(name_hashes(spelled).view(np.int64))], ["hash"])
+
+    return names.select("lang", "word").mapInArrow(tidy(run), "hash bigint")
 
 
 def filter_of(frequent: DataFrame) -> np.ndarray:
@@ -186,6 +227,78 @@ def passed(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (filter_[at // WORD_BITS] >> (at % WORD_BITS).astype(np.uint32)) & 1 > 0
 
 
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    begin, _ = runs(keys)
+    return keys[begin], np.add.reduceat(counts[order], begin) if len(begin) else counts
+
+
+def bucket_bytes(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Buckets in order as steps, with their counts, compressed."""
+    columns = [planes(c) for c in (np.diff(keys.astype(np.int64), prepend=0), counts & 0xFFFFFFFF, counts >> 32)]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(columns))
+
+
+def buckets_of(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(3, 4, -1)
+    steps, low, high = (np.ascontiguousarray(c.T).view("<u4").reshape(-1).astype(np.int64) for c in raw)
+    return np.cumsum(steps).astype(np.uint32), low | high << 32
+
+
+def frequent_pairs(rows: DataFrame, keep, total: int, least: int) -> DataFrame:
+    """(hash, n) of the buckets of pairs that occur ``least`` times or more, pairs of words that pass ``keep``."""
+    bits = min(16, max(0, (-(-total // PART_PAIRS) - 1).bit_length()))
+
+    def deal(batches: Batches) -> Batches:
+        def out() -> pa.RecordBatch:
+            part = (keys >> np.uint32(BUCKET_BITS - bits)).astype(np.int32)
+            begin, size = runs(part)
+            blobs = [bucket_bytes(keys[a:a + n], counts[a:a + n]) for a, n in zip(begin.tolist(), size.tolist(), strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(part[begin]), pa.array(blobs, pa.binary())], ["part", "run"])
+
+        held, size = [], 0
+        for texts, langs in text_pieces(batches):
+            hashes, joined = place_hashes(texts, langs)
+            good = passed(keep.value, hashes)
+            here = np.flatnonzero(joined[:-1] & good[:-1] & good[1:])
+            found = np.sort(buckets(hashes[here], hashes[here + 1]).astype(np.uint32))
+            begin, count = runs(found)
+            if len(begin):
+                held.append((found[begin], count))
+                size += len(begin)
+            if size > HELD_PAIRS:
+                keys, counts = summed(*(np.concatenate(c) for c in zip(*held, strict=True)))
+                held, size = [(keys, counts)], len(keys)
+                if size > HELD_PAIRS // 2:
+                    yield out()
+                    held, size = [], 0
+        if held:
+            keys, counts = summed(*(np.concatenate(c) for c in zip(*held, strict=True)))
+            yield out()
+
+    def count(batches: Batches) -> Batches:
+        def out() -> pa.RecordBatch:
+            keys, counts = summed(*(np.concatenate(c) for c in zip(*held, strict=True)))
+            often = counts >= least
+            return pa.RecordBatch.from_arrays([pa.array(keys[often].astype(np.int64)), pa.array(counts[often])], ["hash", "n"])
+
+        part, held = None, []
+        for batch in batches:
+            for p, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if p != part and held:
+                    yield out()
+                    held = []
+                part = p
+                held.append(buckets_of(blob))
+        if held:
+            yield out()
+
+    dealt = rows.mapInArrow(tidy(deal), "part int, run binary").repartition(1 << bits, "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(tidy(count), "hash bigint, n bigint")
+
+
 def packed(records: np.ndarray, top: int) -> list[np.ndarray]:
     """A few numbers that order records as their words do; places are at most ``top``."""
     bits, columns = (21, 3) if top < 1 << 21 else (31, 2)
@@ -293,8 +406,8 @@ def cut_places(records: np.ndarray, names: pa.Table, bounds: list[tuple]) -> np.
     return out
 
 
-def sampled_bounds(rows: DataFrame, keep, total: int, range_records: int) -> list[tuple]:
-    """Ends of the ranges, as (lang, word, ..) in order: evenly spread over sampled records."""
+def sampled_bounds(rows: DataFrame, keep, pairs, total: int, range_records: int) -> list[tuple]:
+    """Ends of the ranges, as (lang, word, ..) in order: evenly spread over sampled ones of about ``total`` records."""
     ranges = min(MOST_RANGES, max(1, -(-total // range_records)))
     if ranges == 1:
         return []
@@ -303,14 +416,14 @@ def sampled_bounds(rows: DataFrame, keep, total: int, range_records: int) -> lis
 
     def run(batches: Batches) -> Batches:
         for i, piece in enumerate(word_pieces(batches)):
-            records = piece.records(passed(keep.value, piece.hashes)) if piece.n else np.zeros((0, LONGEST), np.int64)
+            records = piece.records(passed(keep.value, piece.hashes), pairs.value) if piece.n else np.zeros((0, LONGEST), np.int64)
             picked = records[np.random.default_rng(i).random(len(records)) < share / of_texts]
             listed = [(lang, word) for lang, word in zip(piece.names.column("lang").to_pylist(), piece.names.column("word").to_pylist(), strict=True)]
             spelled = [[listed[r[0] - 1][0], *(listed[x - 1][1] for x in r if x)] for r in picked.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(spelled, pa.list_(pa.binary()))], ["record"])
 
     sampled = rows if of_texts == 1.0 else rows.sample(of_texts, 11)
-    found = sorted(tuple(map(bytes, r.record)) for r in sampled.mapInArrow(run, "record array<binary>").collect())
+    found = sorted(tuple(map(bytes, r.record)) for r in sampled.mapInArrow(tidy(run), "record array<binary>").collect())
     return sorted({found[len(found) * i // ranges] for i in range(1, ranges)}) if found else []
 
 
@@ -361,8 +474,10 @@ def merged(parts: list[Run]) -> Run:
 def phrase_counts(rows: DataFrame, frequent: DataFrame, total: int, least: int, range_records: int = RANGE_RECORDS) -> DataFrame:
     """(lang, phrase, size, f) of every phrase of 2 to LONGEST words with f >= ``least``, in (text, lang)."""
     spark = rows.sparkSession
-    keep = spark.sparkContext.broadcast(filter_of(frequent))
-    bounds = sampled_bounds(rows, keep, total, range_records)
+    keep = spark.sparkContext.broadcast(filter_of(word_hashes(frequent)))
+    often = stored(frequent_pairs(rows, keep, total, least), "pairs")
+    pairs = spark.sparkContext.broadcast(filter_of(often))
+    bounds = sampled_bounds(rows, keep, pairs, often.agg(F.sum("n")).first()[0] or 0, range_records)
     ends = spark.sparkContext.broadcast(bounds)
 
     def deal(batches: Batches) -> Batches:
@@ -375,7 +490,7 @@ def phrase_counts(rows: DataFrame, frequent: DataFrame, total: int, least: int,
 
         held, size = [], 0
         for piece in word_pieces(batches):
-            records = piece.records(passed(keep.value, piece.hashes)) if piece.n else np.zeros((0, LONGEST), np.int32)
+            records = piece.records(passed(keep.value, piece.hashes), pairs.value) if piece.n else np.zeros((0, LONGEST), np.int32)
             if len(records):
                 held.append((piece.names, *combined(records, np.ones(len(records), np.int64))))
                 size += len(held[-1][1])
@@ -401,8 +516,8 @@ def phrase_counts(rows: DataFrame, frequent: DataFrame, total: int, least: int,
         if held:
             yield out()
 
-    runs = rows.mapInArrow(deal, "part int, run binary").repartition(len(bounds) + 1, "part").sortWithinPartitions("part")
-    found = runs.mapInArrow(count, "lang string, phrase string, size int, f bigint")
+    dealt = rows.mapInArrow(tidy(deal), "part int, run binary").repartition(len(bounds) + 1, "part").sortWithinPartitions("part")
+    found = dealt.mapInArrow(tidy(count), "lang string, phrase string, size int, f bigint")
     return found.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 
 

@@ -101,3 +101,27 @@ def test_query_equals_sql(spark, duck, small):
     from compare import difference, duck_result, spark_result
 
     assert difference(spark_result(C.op12_stream_collocations(spark, small)), duck_result(duck, C.SQL)) is None
+
+
+def test_records_end_inside_rare_pairs_and_buckets_go_both_ways():
+    texts = next(C.chunks(pa.array(["a b c. a b d", "a b"])), None)
+    piece = C.Words(texts, pa.array(["en", "en"]))
+    hashes, joined = C.place_hashes(texts, pa.array(["en", "en"]))
+    assert (hashes == piece.hashes[piece.ids]).all() and (joined == piece.joined).all()
+    known = C.buckets(hashes[:1], hashes[1:2])
+    pairs = np.zeros(C.FILTER_BITS // C.WORD_BITS, np.uint32)
+    pairs[known.astype(np.int64) % C.FILTER_BITS // C.WORD_BITS] = np.uint32(1) << (known.astype(np.int64) % C.WORD_BITS).astype(np.uint32)
+    every = np.ones(len(piece.names), bool)
+    # Only a b is frequent: of the five phrase starts (a, b, a, b, a) those with a are left, and no record is longer.
+    assert len(piece.records(every)) == 5 and (piece.records(every, pairs) > 0).sum(axis=1).tolist() == [2, 2, 2]
+    keys, counts = C.summed(np.array([7, 2**30 - 1, 7, 0], np.uint32), np.array([1, 2, 1 << 33, 4]))
+    back = C.buckets_of(C.bucket_bytes(keys, counts))
+    assert back[0].tolist() == [0, 7, 2**30 - 1] and back[1].tolist() == [4, (1 << 33) + 1, 2]
+
+
+def test_pairs_are_dealt_by_bucket(spark, monkeypatch):
+    monkeypatch.setattr(C, "PART_PAIRS", 500)
+    monkeypatch.setattr(C, "HELD_PAIRS", 50)
+    rows = made(300)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    assert sorted(map(tuple, C.collocations(docs, least=12, range_records=300).collect())) == plain(rows, 12)
