@@ -5,10 +5,13 @@ can be decoded alone. Numpy works on the same position of all blocks of a frame
 share of some vector operations.
 
 The model of a block. Order 2 and order 1: a small table, by the last two ids and by the last one, holds the id that
-came next before and how sure it is. Order 0: adaptive counts of 256 groups of ids; a frame's ids are numbered by
-frequency (the frame's head lists the common ones) and groups are narrow where ids are common, wide where they are
-rare; inside a group ids are alike. The mixture P(x) = a [x = order-2 id] + b [x = order-1 id] + c order0(x) drives the
-coder; a and b are learned while coding, for each degree of sureness and for whether the two ids agree.
+came next before and how sure it is. Order 0: how often the frame has each id that neither table foretold, counted
+before coding and listed in the frame's head; ids that are rare are counted by groups of neighbours, inside a group
+they are alike. The mixture P(x) = a [x = order-2 id] + b [x = order-1 id] + c order0(x) drives the coder; a and b are
+learned while coding, for each degree of sureness and for whether the two ids agree.
+
+The coder is a range variant of asymmetric numerals (rANS): its state is one number a block, a decoded id takes two
+products and no division. The encoder goes over a block forwards to learn what the decoder will know, then backwards.
 """
 
 from __future__ import annotations
@@ -18,212 +21,206 @@ import zlib
 
 import numpy as np
 
-MAGIC, VERSION = b"KCMR", 1
-BLOCK, LANES = 4096, 1024
+MAGIC, VERSION = b"KCMR", 2
+BLOCK, LANES = 2048, 2048
 # A short frame has shorter blocks, so that enough of them are worked on together.
-FEWEST_LANES, LEAST_BLOCK = 256, 512
-TABLE_BITS = 10
-COMMON = 640
-# Ids are 32-bit; groups of ranks: 128 of one, 64 of 8, 32 of 64 and 32 that share the rest evenly.
-NARROW, MIDDLE = 128, 64
-LEARN, STEP_COUNT, MOST_COUNT = 5, 24, 1 << 15
+FEWEST_LANES, LEAST_BLOCK = 1024, 512
+TABLE_BITS = 9
+# Ids with an entry of their own: at most so many, and none that is rarer than one in so many or that comes less often.
+COMMON, RAREST, LEAST_SEEN = 4096, 1 << 15, 8
+# The other ids are in so many groups at most, each as wide as the same power of two.
+GROUPS_BITS = 8
+# Steps between two lessons of a model, and how fast it learns.
+ROUND, LEARN, MOST = 8, 5, 63360
+# Spreads the id before the last.
+HASH = 61
+# Chances at first in 1 / 65536. By disagreement (0 where the ids agree), sureness of order 1 and of order 2, from nothing on.
+FIRST = np.array([64, 16000, 32000, 48000])
+FIRST_CHANCE2 = np.tile(FIRST, 8).astype(np.int32)
+FIRST_CHANCE1 = np.where(np.arange(32) < 16, 64, np.repeat(np.tile(FIRST // 4 + 48, 2), 4)).astype(np.int32)
 U = np.uint64
-# Ranges stay above 2 ** 40, enough for the three divisions of an id before the next bits go out.
-TOP, SMALL = U(48), U((1 << 40) - 1)
+HALF, LOW16, WORD, FRESH = U(16), U(0xFFFF), U(32), U(1 << 32)
+HEAD = "<4sHHIIQIIII"
 
 
 class Checksum(ValueError):
     """A block's ids don't have its checksum."""
 
 
-def group_starts(ranks: int) -> np.ndarray:
-    """First rank of each of the 256 groups, then ``ranks``, for ids below ``ranks``."""
-    fixed = np.concatenate([np.arange(NARROW), NARROW + 8 * np.arange(MIDDLE), NARROW + 8 * MIDDLE + 64 * np.arange(32)])
-    base = NARROW + 8 * MIDDLE + 64 * 32
-    wide = max(1, -(-(ranks - base) // 32))
-    return np.concatenate([fixed, base + wide * np.arange(33)]).astype(np.int64)
-
-
-class Coder:
-    """64-bit range coders without carry, one for each lane; 16 bits go out or come in at a time."""
-
-    def __init__(self, lanes: int, words: np.ndarray | None = None, start: np.ndarray | None = None) -> None:
-        self.low = np.zeros(lanes, np.uint64)
-        self.range = np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-        self.reading = words is not None
-        if self.reading:
-            self.words = np.concatenate([words.astype(np.uint64), np.zeros(8, np.uint64)])
-            self.at = start.copy()
-            self.code = np.zeros(lanes, np.uint64)
-            for _ in range(4):
-                self.code = (self.code << U(16)) | self.words[self.at]
-                self.at += 1
-        else:
-            self.out = np.zeros((lanes, BLOCK // 2), np.uint16)
-            self.n = np.zeros(lanes, np.int64)
-
-    def take(self, lane: np.ndarray | slice, above: np.ndarray, wide: np.ndarray) -> None:
-        """The part of the range that begins ``above`` its low end and is ``wide``."""
-        self.low[lane] += above
-        self.range[lane] = wide
-
-    def settle(self, k: int) -> None:
-        """Moves bits of the first k lanes where they are settled."""
-        low, wide = self.low[:k], self.range[:k]
-        todo = np.flatnonzero((((low ^ (low + wide)) >> TOP) == 0) | (wide <= SMALL))
-        if len(todo):
-            self.shift(todo)
-
-    def shift(self, lane: np.ndarray) -> None:
-        """Sends out, or takes in, the highest 16 bits where they are settled or the range has become small."""
-        while len(lane):
-            low, wide = self.low[lane], self.range[lane]
-            same = ((low ^ (low + wide)) >> TOP) == 0
-            small = ~same & (wide <= SMALL)
-            wide = np.where(small, (~low + U(1)) & SMALL, wide)
-            go = np.flatnonzero(same | small)
-            lane, low, wide = lane[go], low[go], wide[go]
-            if not len(lane):
-                return
-            if self.reading:
-                self.code[lane] = (self.code[lane] << U(16)) | self.words[np.minimum(self.at[lane], len(self.words) - 1)]
-                self.at[lane] += 1
-            else:
-                n = self.n[lane]
-                if n.max() + 8 > self.out.shape[1]:
-                    self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
-                self.out[lane, n] = (low >> TOP).astype(np.uint16)
-                self.n[lane] = n + 1
-            self.low[lane], self.range[lane] = low << U(16), np.maximum(wide << U(16), U(1))
-
-    def finish(self) -> tuple[np.ndarray, np.ndarray]:
-        """All lanes' words one after another and how many each has."""
-        for shift in (48, 32, 16, 0):
-            if self.n.max(initial=0) + 8 > self.out.shape[1]:
-                self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
-            self.out[np.arange(len(self.n)), self.n] = ((self.low >> U(shift)) & U(0xFFFF)).astype(np.uint16)
-            self.n += 1
-        return self.out[np.arange(self.out.shape[1])[None, :] < self.n[:, None]], self.n
-
-    def value(self, lane: np.ndarray | slice, unit: np.ndarray, total: np.ndarray | U) -> np.ndarray:
-        return np.minimum((self.code[lane] - self.low[lane]) // unit, total - U(1))
-
-
-# What a count's step adds to running sums from each place on; the last row adds nothing.
-ABOVE = np.concatenate([np.triu(np.full((16, 16), STEP_COUNT)), np.zeros((1, 16))]).astype(np.uint16)
-
-
-def at_most(sums: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """How many of the 16 running sums of each row are at most v: the place that v falls into."""
-    eights = (sums <= v[:, None]).view(np.uint64)
-    return ((eights[:, 0] + eights[:, 1]) * U(0x0101010101010101) >> U(56)).astype(np.int64)
-
-
-def halve(outer: np.ndarray, inner: np.ndarray, full: np.ndarray) -> None:
-    """Halves the counts of the lanes ``full``, none below 1."""
-    by_lane = inner.reshape(-1, 16, 16)
-    counts = (np.diff(by_lane[full], axis=2, prepend=np.uint16(0)) + np.uint16(1)) >> np.uint16(1)
-    by_lane[full] = np.cumsum(counts, axis=2, dtype=np.uint16)
-    outer[full] = np.cumsum(by_lane[full][:, :, 15], axis=1, dtype=np.uint16)
-
-
-def run(coder: Coder, ranks: int, lengths: np.ndarray, given: np.ndarray | None) -> np.ndarray:
-    """Codes the lanes of ``given`` (positions x lanes, ranks), or decodes and returns them. ``lengths`` falls."""
-    lanes, longest = len(lengths), int(lengths[0]) if len(lengths) else 0
-    out = given if given is not None else np.zeros((longest, lanes), np.int32)
-    starts = group_starts(ranks)
-    width = np.diff(starts)
-    group_of = np.repeat(np.arange(256), width)
-    every, size = np.arange(lanes), 1 << TABLE_BITS
-    # What each table holds, 8 x (rank + 1) + sureness; 0 is nothing yet.
-    told = [np.zeros(lanes * size, np.int32) for _ in range(2)]
-    # Chance of each prediction in 1 / 65536, by sureness (and agreement): learned while coding.
-    chance = [np.full(lanes * 16, 16384, np.int32) for _ in range(2)]
-    # Counts of the groups as running sums: over 16 sixteens of groups, and over the groups inside each.
-    outer = np.tile(np.arange(16, 272, 16, dtype=np.uint16), (lanes, 1))
-    inner = np.tile(np.arange(1, 17, dtype=np.uint16), (lanes * 16, 1))
-    rows, flat, outer_flat = inner.view("V32").reshape(-1), inner.reshape(-1), outer.reshape(-1)
-    last, before = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
-    base, base16 = (every * size).astype(np.int32), (every * 16).astype(np.int32)
-    ends = np.searchsorted(-lengths, -np.arange(longest), side="left")
-    for t in range(longest):
-        k = int(ends[t])
-        mixed = last[:k] * np.int32(40503)
-        slot1 = base[:k] + ((mixed >> 4) & (size - 1))
-        slot2 = base[:k] + (((mixed + before[:k] * np.int32(60493)) >> 5) & (size - 1))
-        e1, e2 = told[0][slot1], told[1][slot2]
-        p1, p2 = (e1 >> 3) - 1, (e2 >> 3) - 1
-        agree = p1 == p2
-        c1, c2 = base16[:k] + (e1 & 7), base16[:k] + (e2 & 7) + 8 * agree
-        q1, q2 = chance[0][c1], chance[1][c2]
-        f2 = q2 * (p2 >= 0)
-        f1 = (((65536 - f2) * (q1 >> 1)) >> 15) * ((p1 >= 0) & ~agree)
+class Mixture:
+    """What the blocks of some lanes have learned. Ids are given one higher; 0 is no id. All lanes make `ROUND` steps with
+    what they know, then learn from them; arrays have a row for each step of a round."""
+
+    def __init__(self, lanes: int) -> None:
+        every, size = np.arange(lanes), 1 << TABLE_BITS
+        # What the tables hold, 16 x id + sureness, that of order 1 four times as high; 0 is nothing yet.
+        self.told1, self.told2 = np.zeros(lanes * size, np.int32), np.zeros(lanes * size, np.int32)
+        # Chance of each prediction by both surenesses and disagreement: learned while coding.
+        self.chance1, self.chance2 = np.tile(FIRST_CHANCE1, lanes), np.tile(FIRST_CHANCE2, lanes)
+        self.base, self.base32 = every * size, every * 32
+        rows = lambda kind: np.empty((ROUND, lanes), kind)
+        self.slot1, self.slot2, self.context = (rows(np.int64) for _ in range(3))
+        self.e1, self.e2, self.f1, self.f2 = (rows(np.int32) for _ in range(4))
+        self.hit1, self.hit2 = rows(bool), rows(bool)
+
+    def predict(self, at: int | slice, last: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Steps ``at`` of a round, from the ids before: the order-1 and the order-2 entry and their parts of 65536."""
+        mask, e1, e2 = (1 << TABLE_BITS) - 1, self.e1[at], self.e2[at]
+        self.told1.take(np.add(self.base, last & mask, out=self.slot1[at]), out=e1, mode="clip")
+        self.told2.take(np.add(self.base, (last + before * np.int32(HASH)) & mask, out=self.slot2[at]), out=e2, mode="clip")
+        # The surenesses are in separate bits; entries that differ by 16 or more have different ids.
+        both = e1 ^ e2
+        context = np.add(self.base32, (both & 15) | (np.minimum(both, 16) & 16), out=self.context[at])
+        return e1, e2, self.chance1.take(context, out=self.f1[at], mode="clip"), self.chance2.take(context, out=self.f2[at], mode="clip")
+
+    def learn(self, x: np.ndarray) -> None:
+        """The chances move to what was right in the round, away from 0 and 1; the tables hold ``x``. Where steps of a
+        round meet in one place the last counts."""
+        n = len(x)
+        context = self.context[:n]
+        for chance, f, hit in ((self.chance1, self.f1[:n], self.hit1[:n]), (self.chance2, self.f2[:n], self.hit2[:n])):
+            chance[context] = f - (f >> LEARN) + (hit.view(np.int8).astype(np.int32) * (MOST >> LEARN) + 2)
+        fresh = x << 4
+        e1, e2 = self.e1[:n], self.e2[:n]
+        self.told1[self.slot1[:n]] = np.where(e1 >> 4 == x, np.minimum(e1 + 4, e1 | 12), fresh | 4)
+        self.told2[self.slot2[:n]] = np.where(self.hit2[:n], np.minimum(e2 + 1, e2 | 3), fresh | 1)
+
+
+def widths(lengths: np.ndarray) -> list[int]:
+    """How many lanes, whose ``lengths`` fall, have each position."""
+    return np.searchsorted(-lengths, -np.arange(int(lengths[0]) if len(lengths) else 0), side="left").tolist()
+
+
+def foretold(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For ``x`` (positions x lanes, ids one higher): whether a table foretells it, and its (or all others') part of
+    65536, from where on and how wide."""
+    hit, cum, freq = np.empty(x.shape, bool), np.empty(x.shape, np.uint16), np.empty(x.shape, np.uint16)
+    model, start = Mixture(x.shape[1]), np.concatenate([np.zeros_like(x[:2]), x[:ROUND]])
+    for t in range(0, len(x), ROUND):
+        this = x[t:t + ROUND]
+        n = len(this)
+        earlier = x[t - 2:t + n] if t else start
+        e1, e2, f1, f2 = model.predict(slice(0, n), earlier[1:n + 1], earlier[:n])
+        hit2 = np.equal(this, e2 >> 4, out=model.hit2[:n])
+        hit1 = np.greater(this == e1 >> 4, hit2, out=model.hit1[:n])
         both = f1 + f2
-        here = slice(0, k)
-        unit = coder.range[here] >> U(16)
-        if given is not None:
-            x = out[t, :k]
-            hit2 = x == p2
-            hit1 = (x == p1) & ~hit2
-        else:
-            x = np.zeros(k, np.int32)
-            v = coder.value(here, unit, U(65536)).astype(np.int32)
-            hit2 = v < f2
-            hit1 = (v < both) ^ hit2
-        hit = hit1 | hit2
-        cum = np.where(hit, f2 * hit1, both)
-        freq = np.where(hit, np.where(hit2, f2, f1), 65536 - both)
-        coder.take(here, unit * cum.astype(np.uint64), unit * freq.astype(np.uint64))
-        rest = np.flatnonzero(~hit)
-        if len(rest):
-            tot = outer[:, 15].take(rest)
-            unit = coder.range[rest] // tot
-            if given is not None:
-                y = x[rest]
-                group = group_of.take(y)
-                high, low = group >> 4, group & 15
-                row = base16[rest] + high
-                under = outer_flat.take(row) - flat.take(16 * row + 15)
-            else:
-                v = coder.value(rest, unit, tot.astype(np.uint64)).astype(np.uint16)
-                high = at_most(outer.take(rest, axis=0), v)
-                row = base16[rest] + high
-                under = outer_flat.take(row) - flat.take(16 * row + 15)
-                low = at_most(rows.take(row).view(np.uint16).reshape(-1, 16), v - under)
-                group = 16 * high + low
-            spot = 16 * row + low
-            upto = flat.take(spot)
-            own = upto - flat.take(spot - 1) * (low > 0)
-            cum = (under + upto - own).astype(np.uint64)
-            # The place inside the group divides the group's part of the range once more.
-            w = width[group].astype(np.uint64)
-            part = unit * own.astype(np.uint64) // w
-            if given is not None:
-                place = (y - starts[group]).astype(np.uint64)
-            else:
-                place = np.minimum((coder.code[rest] - coder.low[rest] - unit * cum) // part, w - U(1))
-                x[rest] = starts[group] + place.astype(np.int64)
-            coder.take(rest, unit * cum + part * place, part)
-            rows[row] = (rows.take(row).view(np.uint16).reshape(-1, 16) + ABOVE.take(low, axis=0)).view("V32").reshape(-1)
-            step = np.full(k, 16)
-            step[rest] = high
-            outer[:k] += ABOVE.take(step, axis=0)
-            if t % 256 == 255:
-                halve(outer, inner, np.flatnonzero(outer[:, 15] > MOST_COUNT))
-        coder.settle(k)
-        if given is None:
-            x = np.where(hit, np.where(hit2, p2, p1), x)
-            out[t, :k] = x
-        # Learn: the chances, then the tables.
-        # The targets they move to keep them away from 0 and 1.
-        chance[1][c2] = q2 + ((64 + hit2 * 63424 - q2) >> LEARN)
-        asked = ~hit2 & (f1 > 0)
-        chance[0][c1] = q1 + ((64 + hit1 * 63424 - q1) >> LEARN) * asked
-        fresh = (x + 1) << 3
-        for table, slot, entry, p in ((told[0], slot1, e1, p1), (told[1], slot2, e2, p2)):
-            table[slot] = np.where(p == x, entry + ((entry & 7) < 7), fresh)
-        before[:k], last[:k] = last[:k], x
-    return out
+        hit[t:t + n] = hit1 | hit2
+        cum[t:t + n] = np.where(hit2, 0, np.where(hit1, f2, both))
+        freq[t:t + n] = np.where(hit2, f2, np.where(hit1, f1, 65536 - both))
+        model.learn(this)
+    return hit, cum, freq
+
+
+class Order0:
+    """Parts of 65536 of the listed ids, then of the groups of ``1 << bits`` ids; ``first`` is an entry's lowest id."""
+
+    def __init__(self, first: np.ndarray, freq: np.ndarray, common: int, bits: int) -> None:
+        self.first, self.freq, self.common, self.bits = first, freq, common, bits
+        self.cum = np.cumsum(freq) - freq
+
+    @classmethod
+    def counted(cls, seen: np.ndarray) -> Order0:
+        """From how often each id is to be coded."""
+        total, bits = int(seen.sum()), max(1, (len(seen) - 1).bit_length() - GROUPS_BITS)
+        common = np.argsort(-seen, kind="stable")[:COMMON]
+        common = common[(seen[common] >= LEAST_SEEN) & (seen[common] * RAREST >= total)]
+        others = seen.copy()
+        others[common] = 0
+        groups = np.add.reduceat(others, np.arange(0, len(others), 1 << bits))
+        some = np.flatnonzero(groups)
+        counts = np.concatenate([seen[common], groups[some]]).astype(np.int64)
+        freq = 1 + counts * (65536 - len(counts)) // max(1, total)
+        if len(freq):
+            freq[np.argmax(freq)] += 65536 - int(freq.sum())
+        return cls(np.concatenate([common, some << bits]), freq, len(common), bits)
+
+    def entries(self, highest: int) -> np.ndarray:
+        """The entry of every id below ``highest``, counted from 1."""
+        of_group = np.zeros((highest - 1 >> self.bits) + 1, np.uint16)
+        of_group[self.first[self.common:] >> self.bits] = np.arange(self.common, len(self.first)) + 1
+        entry = np.repeat(of_group, 1 << self.bits)[:highest]
+        entry[self.first[:self.common]] = np.arange(self.common) + 1
+        return entry
+
+
+def encode_lanes(x: np.ndarray, entry: np.ndarray, cum: np.ndarray, freq: np.ndarray, lengths: np.ndarray, order0: Order0) -> tuple[np.ndarray, np.ndarray]:
+    """All lanes' words one after another and how many each has. ``entry`` is 0 where a table foretells the id."""
+    lanes, room = len(lengths), 2 * len(x) + 2
+    words = np.empty(lanes * room, np.uint32)
+    at = np.arange(1, lanes + 1) * room - 1
+    state = np.full(lanes, FRESH)
+    all_freq, all_cum = np.concatenate([[65536], order0.freq]).astype(np.uint64), np.concatenate([[0], order0.cum]).astype(np.uint64)
+    bits, inside = U(order0.bits), np.int32((1 << order0.bits) - 1)
+    for t, k in reversed(list(enumerate(widths(lengths)))):
+        s, here, e = state[:k], at[:k], entry[t, :k]
+        wide = np.flatnonzero(e > order0.common)
+        if len(wide):
+            # The place inside a group, after the group when decoded.
+            v = s.take(wide)
+            out = (v >> (U(64) - bits)) > 0
+            words[here.take(wide)] = v.astype(np.uint32)
+            here[wide] -= out
+            s[wide] = (np.where(out, v >> WORD, v) << bits) | ((x[t].take(wide) - 1) & inside).astype(np.uint64)
+        f0, f = all_freq.take(e), freq[t, :k].astype(np.uint64)
+        high = s >> WORD
+        out = np.flatnonzero(high >= f0 * f)
+        there = here.take(out)
+        words[there] = s.take(out).astype(np.uint32)
+        here[out] = there - 1
+        s[out] = high.take(out)
+        q = s // f0
+        s = (q << HALF) + (s - q * f0 + all_cum.take(e))
+        q = s // f
+        state[:k] = (q << HALF) + (s - q * f + cum[t, :k])
+    words[at], words[at - 1] = state.astype(np.uint32), (state >> WORD).astype(np.uint32)
+    ends = np.arange(1, lanes + 1) * room
+    return np.concatenate([words[a:b] for a, b in zip((at - 1).tolist(), ends.tolist(), strict=True)]), ends - at + 1
+
+
+def decode_lanes(words: np.ndarray, start: np.ndarray, longest: int, order0: Order0) -> np.ndarray:
+    """Ids, one higher (positions x lanes), of the lanes whose words begin at ``start``; what a shorter one has beyond
+    its end means nothing."""
+    # Two rows before the first are no ids.
+    x = np.zeros((longest + 2, len(start)), np.int32)
+    model = Mixture(len(start))
+    s, at = (words[start] << WORD) | words[start + 1], start + 2
+    # For each of the 65536 places: its entry's width less 1 and how far inside it is; its lowest id as in the tables.
+    of_place = np.repeat(np.arange(len(order0.freq)), order0.freq)
+    part = ((order0.freq - 1)[of_place] << 16 | (np.arange(65536) - order0.cum[of_place])).astype(np.uint32)
+    lowest = (order0.first + 1 << 4)[of_place].astype(np.int32)
+    grouped = int(order0.freq[:order0.common].sum())
+    bits, inside = U(order0.bits), U((1 << order0.bits) - 1)
+    for t in range(longest):
+        step = t % ROUND
+        e1, e2, f1, f2 = model.predict(step, x[t + 1], x[t])
+        v, both = (s & LOW16).astype(np.int32), f1 + f2
+        hit2, hit = np.less(v, f2, out=model.hit2[step]), v < both
+        np.greater(hit, hit2, out=model.hit1[step])
+        v -= np.where(hit2, 0, np.where(hit, f2, both))
+        s >>= HALF
+        s *= np.where(hit2, f2, np.where(hit, f1, 65536 - both)).astype(np.uint64)
+        s += v.astype(np.uint64)
+        # Order 0, for all lanes; those with a hit stay as they are.
+        place = (s & LOW16).view(np.int64)
+        own = part.take(place, mode="clip").astype(np.uint64)
+        s = np.where(hit, s, (s >> HALF) * ((own >> HALF) + U(1)) + (own & LOW16))
+        got = np.right_shift(np.where(hit2, e2, np.where(hit, e1, lowest.take(place, mode="clip"))), 4, out=x[t + 2])
+        low = np.flatnonzero(s < FRESH)
+        here = at.take(low)
+        s[low] = (s.take(low) << WORD) | words.take(here, mode="clip")
+        at[low] = here + 1
+        wide = np.flatnonzero((place >= grouped) > hit)
+        if len(wide):
+            # The place inside a group comes after the group.
+            v, here = s.take(wide), at.take(wide)
+            got[wide] += (v & inside).astype(np.int32)
+            v >>= bits
+            low = v < FRESH
+            s[wide] = np.where(low, (v << WORD) | words.take(here, mode="clip"), v)
+            at[wide] = here + low
+        if step == ROUND - 1:
+            model.learn(x[t + 3 - ROUND:t + 3])
+    return x[2:]
 
 
 def encode_frame(ids: np.ndarray, extra: bytes = b"") -> bytes:
@@ -232,49 +229,46 @@ def encode_frame(ids: np.ndarray, extra: bytes = b"") -> bytes:
     block = int(np.clip(len(ids) // FEWEST_LANES, LEAST_BLOCK, BLOCK))
     blocks = -(-len(ids) // block)
     highest = int(ids.max(initial=0)) + 1
-    seen = np.bincount(ids.astype(np.int64), minlength=1)
-    common = np.argsort(-seen, kind="stable")[:COMMON]
-    common = common[seen[common] > 0].astype(np.uint32)
-    rank = ranked(common, highest)
     lengths = np.full(blocks, block, np.int64)
     if blocks:
         lengths[-1] = len(ids) - block * (blocks - 1)
-    lanes = np.zeros((blocks, block), np.int32)
-    lanes.reshape(-1)[:len(ids)] = rank[ids]
-    coded = []
+    x = np.zeros((blocks, block), np.int32)
+    x.reshape(-1)[:len(ids)] = ids
+    x += 1
+    groups = []
+    seen = np.zeros(highest, np.int64)
     for a in range(0, blocks, LANES):
-        coder = Coder(len(lengths[a:a + LANES]))
-        run(coder, highest, lengths[a:a + LANES], np.ascontiguousarray(lanes[a:a + LANES].T))
-        coded.append(coder.finish())
-    words = np.concatenate([w for w, _ in coded]) if coded else np.zeros(0, np.uint16)
+        own, length = np.ascontiguousarray(x[a:a + LANES].T), lengths[a:a + LANES]
+        hit, cum, freq = foretold(own)
+        # Only the last block of a frame is shorter.
+        hit[length[-1]:, -1] = True
+        seen += np.bincount(own[~hit] - 1, minlength=highest)
+        groups.append((own, length, hit, cum, freq))
+    order0 = Order0.counted(seen)
+    entry_of, coded = order0.entries(highest), []
+    for own, length, hit, cum, freq in groups:
+        entry = entry_of.take(own - 1)
+        entry[hit] = 0
+        coded.append(encode_lanes(own, entry, cum, freq, length, order0))
+    words = np.concatenate([w for w, _ in coded]) if coded else np.zeros(0, np.uint32)
     n = np.concatenate([c for _, c in coded]) if coded else np.zeros(0, np.int64)
     raw = memoryview(ids.astype("<u4").tobytes())
     checks = np.array([zlib.crc32(raw[4 * block * b:4 * block * (b + 1)]) for b in range(blocks)], "<u4")
-    head = struct.pack("<4sHHIIQII", MAGIC, VERSION, block, blocks, highest, len(ids), len(common), len(extra))
-    body = head + extra + common.astype("<u4").tobytes() + n.astype("<u4").tobytes() + checks.tobytes()
-    return body + struct.pack("<I", zlib.crc32(body)) + words.astype("<u2").tobytes()
-
-
-def ranked(common: np.ndarray, highest: int) -> np.ndarray:
-    """The rank of every id below ``highest``: listed ones first, the others in order."""
-    rank = np.zeros(highest, np.int64)
-    others = np.ones(highest, bool)
-    others[common] = False
-    rank[common] = np.arange(len(common))
-    rank[others] = len(common) + np.arange(int(others.sum()))
-    return rank
+    head = struct.pack(HEAD, MAGIC, VERSION, block, blocks, highest, len(ids), len(order0.first), order0.common, order0.bits, len(extra))
+    body = head + extra + order0.first.astype("<u4").tobytes() + (order0.freq - 1).astype("<u2").tobytes() + n.astype("<u4").tobytes() + checks.tobytes()
+    return body + struct.pack("<I", zlib.crc32(body)) + words.astype("<u4").tobytes()
 
 
 def frame_head(frame: bytes) -> dict:
     """What the head says; raises `Checksum` if it is damaged."""
-    magic, version, block, blocks, highest, n, common, extra = struct.unpack_from("<4sHHIIQII", frame)
+    magic, version, block, blocks, highest, n, entries, common, bits, extra = struct.unpack_from(HEAD, frame)
     if magic != MAGIC or version != VERSION:
         raise Checksum("not a frame of this format")
-    at = struct.calcsize("<4sHHIIQII") + extra
-    head = {"block": block, "blocks": blocks, "highest": highest, "ids": n, "extra": frame[at - extra:at]}
-    for name, count in (("common", common), ("words", blocks), ("checks", blocks)):
-        head[name] = np.frombuffer(frame, "<u4", count, at)
-        at += 4 * count
+    at = struct.calcsize(HEAD) + extra
+    head = {"block": block, "blocks": blocks, "highest": highest, "ids": n, "common": common, "bits": bits, "extra": frame[at - extra:at]}
+    for name, kind, count in (("first", "<u4", entries), ("parts", "<u2", entries), ("words", "<u4", blocks), ("checks", "<u4", blocks)):
+        head[name] = np.frombuffer(frame, kind, count, at)
+        at += head[name].nbytes
     if struct.unpack_from("<I", frame, at)[0] != zlib.crc32(frame[:at]):
         raise Checksum("the head of a frame is damaged")
     return head | {"at": at + 4}
@@ -289,19 +283,18 @@ def decode_frame(frame: bytes, only: list[int] | None = None) -> np.ndarray:
         lengths[-1] = head["ids"] - head["block"] * (head["blocks"] - 1)
     n = head["words"].astype(np.int64)
     start = np.cumsum(n) - n
-    words = np.frombuffer(frame, "<u2", int(n.sum()), head["at"])
+    words = np.frombuffer(frame, "<u4", int(n.sum()), head["at"]).astype(np.uint64)
     order = np.argsort(-lengths[blocks], kind="stable")
     took = blocks[order]
-    id_of = np.argsort(ranked(head["common"], head["highest"])).astype(np.uint32)
+    order0 = Order0(head["first"].astype(np.int64), head["parts"].astype(np.int64) + 1, head["common"], head["bits"])
     out = [None] * len(took)
     for a in range(0, len(took), LANES):
         group = took[a:a + LANES]
-        ranks = run(Coder(len(group), words, start[group]), head["highest"], lengths[group], None)
-        # Damaged bytes may give ranks beyond the last id; the checksum then tells.
-        lanes = id_of[np.minimum(ranks.T, head["highest"] - 1)]
+        # Damaged bytes may give other ids; the checksum then tells.
+        lanes = np.ascontiguousarray((decode_lanes(words, start[group], int(lengths[group].max()), order0) - 1).T).astype("<u4")
         for lane, b in enumerate(group):
             ids = lanes[lane, :lengths[b]]
-            if zlib.crc32(ids.astype("<u4").tobytes()) != head["checks"][b]:
+            if zlib.crc32(ids.tobytes()) != head["checks"][b]:
                 raise Checksum(f"block {b} of a frame is damaged")
             out[order[a + lane]] = ids
     return np.concatenate(out) if out else np.zeros(0, np.uint32)

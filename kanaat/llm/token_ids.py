@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 
 from kanaat.llm.batches import Texts, gather_lists, per_worker, span_hashes, spread
 from kanaat.llm.pretokens import loaded, pieces
@@ -50,6 +51,16 @@ def library_encode(path: str) -> Encode:
     return encode
 
 
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values in order, the first place of each and the number of each place's value; only they are sorted."""
+    codes, found = pd.factorize(hashes)
+    first = np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1))
+    order = np.argsort(found)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
+    return found[order], first[order], number[codes]
+
+
 def encoded(texts: Texts, path: str, encode: Encode | None = None, name: str = "library") -> tuple[np.ndarray, np.ndarray]:
     """The ids of all rows one after another, and how many each row has. ``encode`` gives the ids of distinct pieces;
     texts that spell an added token of the tokenizer are cut around it."""
@@ -65,7 +76,7 @@ def encoded(texts: Texts, path: str, encode: Encode | None = None, name: str = "
     start, end, row = pieces(texts, path)
     if not len(start):
         return np.zeros(0, np.uint32), np.zeros(texts.rows, np.int64)
-    hashes, first, which = np.unique(span_hashes(texts.data, start, end), return_index=True, return_inverse=True)
+    hashes, first, which = distinct(span_hashes(texts.data, start, end))
     new = kept.missing(hashes)
     if len(new):
         words = [raw[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)]
