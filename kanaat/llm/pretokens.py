@@ -114,4 +114,5 @@ def pieces(texts: Texts, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]
             start[inside] = True
     first = np.flatnonzero(start)
     begin = at[first]
-    return begin, np.append(begin[1:], len(texts.data)), np.searchsorted(texts.at, begin, side="right") - 1
+    row = np.repeat(np.arange(texts.rows), np.diff(np.searchsorted(begin, texts.at)))
+    return begin, np.append(begin[1:], len(texts.data)), row

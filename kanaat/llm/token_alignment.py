@@ -103,17 +103,12 @@ def ids_of(texts: Texts, cut: tuple[np.ndarray, np.ndarray, np.ndarray], encode:
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(texts.rows, np.int64)
     held = per_worker(f"aligned {name}", dict)
-    if "all" not in held or len(held["all"].key) > MOST_KEPT:
+    if "all" not in held or held["all"].size > MOST_KEPT:
         held["all"] = Kept()
     kept = held["all"]
-    hashes, first, which = np.unique(span_hashes(texts.data, start, end), return_index=True, return_inverse=True)
-    new = kept.missing(hashes)
-    if len(new):
-        raw = texts.data.tobytes()
-        kept.add(hashes[new], *encode([raw[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)]))
-    place = np.searchsorted(kept.key, hashes)[which]
-    count = kept.count[place]
-    return gather_lists(kept.ids, kept.start[place], count).astype(np.int64), per_row(row, texts.rows, count)
+    number = kept.of_pieces(span_hashes(texts.data, start, end), start, end, texts.data.tobytes(), encode)
+    count = kept.count[number]
+    return gather_lists(kept.ids, kept.start[number], count).astype(np.int64), per_row(row, texts.rows, count)
 
 
 def spelled_rows(texts: Texts, ids: np.ndarray, counts: np.ndarray, spelling: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 
 from kanaat.llm.batches import Texts, gather_lists, per_worker, span_hashes, spread
 from kanaat.llm.pretokens import loaded, pieces
@@ -18,49 +18,91 @@ Encode = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
 
 class Kept:
-    """Encodings of pieces seen so far, found by the hash of their bytes; hashes are kept in order."""
+    """Encodings of pieces seen so far, found by the hash of their bytes in an open table that is at most half full."""
 
     def __init__(self) -> None:
-        self.key = np.zeros(0, np.uint64)
-        self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.key, self.number = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int32)
+        self.start, self.count, self.size = np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int64), 0
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
 
-    def missing(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.key):
-            return np.arange(len(hashes))
-        at = np.minimum(np.searchsorted(self.key, hashes), len(self.key) - 1)
-        return np.flatnonzero(self.key[at] != hashes)
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each piece's encoding, -1 where there is none."""
+        last = len(self.key) - 1
+        at = (hashes & np.uint64(last)).view(np.int64)
+        key = self.key.take(at)
+        out = np.where(key == hashes, self.number.take(at), -1)
+        todo = np.flatnonzero((key != hashes) & (key != 0))
+        while len(todo):
+            here, own = (at.take(todo) + 1) & last, hashes.take(todo)
+            at[todo] = here
+            key = self.key.take(here)
+            found = key == own
+            out[todo[found]] = self.number.take(here[found])
+            todo = todo[~found & (key != 0)]
+        return out
+
+    def place(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        """Puts distinct new hashes into the table."""
+        last = len(self.key) - 1
+        at = (hashes & np.uint64(last)).view(np.int64)
+        while len(at):
+            free = self.key.take(at) == 0
+            self.key[at[free]] = hashes[free]
+            # Of several that want one place, the last has it.
+            own = self.key.take(at) == hashes
+            self.number[at[own]] = numbers[own]
+            at, hashes, numbers = (at[~own] + 1) & last, hashes[~own], numbers[~own]
 
     def add(self, hashes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        size = self.size + len(hashes)
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while size > len(self.start):
+            self.start, self.count = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.count))
         self.ids[self.used:self.used + len(ids)] = ids
-        key = np.concatenate([self.key, hashes])
-        order = np.argsort(key, kind="stable")
-        self.key = key[order]
-        self.start = np.concatenate([self.start, self.used + np.cumsum(counts) - counts])[order]
-        self.count = np.concatenate([self.count, counts])[order]
-        self.used += len(ids)
+        self.start[self.size:size], self.count[self.size:size] = self.used + np.cumsum(counts) - counts, counts
+        if 2 * size > len(self.key):
+            held = np.flatnonzero(self.key)
+            keys, numbers, room = self.key[held], self.number[held], len(self.key)
+            while 2 * size > room:
+                room *= 2
+            self.key, self.number = np.zeros(room, np.uint64), np.zeros(room, np.int32)
+            self.place(keys, numbers)
+        self.place(hashes, np.arange(self.size, size, dtype=np.int32))
+        self.size, self.used = size, self.used + len(ids)
+
+    def of_pieces(self, hashes: np.ndarray, start: np.ndarray, end: np.ndarray, raw: bytes, encode: Encode) -> np.ndarray:
+        """The numbers of the pieces ``raw[start:end]``; ``encode`` gives the ids of those not seen before."""
+        # 0 stands for a free place.
+        hashes = np.maximum(hashes, np.uint64(1))
+        number = self.numbers(hashes)
+        unknown = np.flatnonzero(number < 0)
+        if len(unknown):
+            new, first = np.unique(hashes[unknown], return_index=True)
+            first = unknown[first]
+            self.add(new, *encode([raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]))
+            number[unknown] = self.numbers(hashes[unknown])
+        return number
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter by which a byte-level vocabulary writes each byte: itself if it can be seen, else one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*seen}))}
 
 
 def library_encode(path: str) -> Encode:
+    """Words are pieces already, so the library's model gets each as it is, spelled in byte letters; its pipeline for
+    whole texts would cut every word once more and keep its places, at twice the time."""
     def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        done = loaded(path).encode([w.decode("utf-8", "replace") for w in words], is_pretokenized=True, add_special_tokens=False)
-        return np.array(done.ids, np.uint32), np.bincount(np.array(done.word_ids, np.int64), minlength=len(words))
+        tokenize, letters = loaded(path).model.tokenize, byte_letters()
+        done = [[t.id for t in tokenize(w.decode("utf-8", "replace").encode().decode("latin-1").translate(letters))] for w in words]
+        counts = np.fromiter(map(len, done), np.int64, len(done))
+        return np.fromiter(chain.from_iterable(done), np.uint32, int(counts.sum())), counts
 
     return encode
 
 
-def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct values in order, the first place of each and the number of each place's value; only they are sorted."""
-    codes, found = pd.factorize(hashes)
-    first = np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1))
-    order = np.argsort(found)
-    number = np.empty(len(order), np.int64)
-    number[order] = np.arange(len(order))
-    return found[order], first[order], number[codes]
-
-
 def encoded(texts: Texts, path: str, encode: Encode | None = None, name: str = "library") -> tuple[np.ndarray, np.ndarray]:
     """The ids of all rows one after another, and how many each row has. ``encode`` gives the ids of distinct pieces;
     texts that spell an added token of the tokenizer are cut around it."""
@@ -70,20 +112,15 @@ def encoded(texts: Texts, path: str, encode: Encode | None = None, name: str = "
     if any(a in raw for a in added):
         return around_added(texts, path, encode, name, added)
     held = per_worker(f"kept {name} {path}", dict)
-    if "all" not in held or len(held["all"].key) > MOST_KEPT:
+    if "all" not in held or held["all"].size > MOST_KEPT:
         held["all"] = Kept()
     kept = held["all"]
     start, end, row = pieces(texts, path)
     if not len(start):
         return np.zeros(0, np.uint32), np.zeros(texts.rows, np.int64)
-    hashes, first, which = distinct(span_hashes(texts.data, start, end))
-    new = kept.missing(hashes)
-    if len(new):
-        words = [raw[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)]
-        kept.add(hashes[new], *(encode or library_encode(path))(words))
-    place = np.searchsorted(kept.key, hashes)[which]
-    count = kept.count[place]
-    return gather_lists(kept.ids, kept.start[place], count), np.bincount(row, weights=count, minlength=texts.rows).astype(np.int64)
+    number = kept.of_pieces(span_hashes(texts.data, start, end), start, end, raw, encode or library_encode(path))
+    count = kept.count.take(number)
+    return gather_lists(kept.ids, kept.start.take(number), count), np.bincount(row, weights=count, minlength=texts.rows).astype(np.int64)
 
 
 def around_added(texts: Texts, path: str, encode: Encode | None, name: str, added: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:

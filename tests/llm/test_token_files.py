@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from kanaat.llm import range_coder, token_files
+from kanaat.llm import range_coder, token_files, token_ids
 from kanaat.llm.pretokens import loaded, tokenizer_path
 
 
@@ -83,3 +83,28 @@ def test_odd_rows_and_documents_across_frames(spark, tmp_path, monkeypatch, rows
     check(token_files.counted(spark, path).collect(), rows)
     ids = [i for r in sorted(token_files.read(spark, path).collect(), key=lambda r: (r.part, r.frame, r.number)) for i in r.ids]
     assert len(ids) == sum(r.n_tokens for r in token_files.counted(spark, path).collect())
+
+
+def test_many_blocks_are_worked_on_together():
+    """A full frame is decoded in at most 2048 steps, all lanes in each."""
+    assert range_coder.BLOCK <= 2048 <= range_coder.LANES
+    ids = (np.random.default_rng(1).zipf(1.2, 300_000) % 50_257).astype(np.uint32)
+    head = range_coder.frame_head(range_coder.encode_frame(ids))
+    assert head["block"] == 512 and head["blocks"] == -(-len(ids) // 512)
+
+
+def test_kept_encodings_are_found_when_the_table_grows():
+    pick, kept, seen = np.random.default_rng(2), token_ids.Kept(), {}
+    for step in range(6):
+        # The same low bits: many pieces want one place.
+        hashes = np.unique(pick.integers(1, 1 << 40, 9000).astype(np.uint64) << np.uint64(8 * (step % 3)))
+        new = hashes[kept.numbers(hashes) < 0]
+        assert {int(h) for h in hashes} - {int(h) for h in new} == {int(h) for h in hashes} & seen.keys()
+        counts = pick.integers(1, 4, len(new))
+        ids = pick.integers(0, 50_257, int(counts.sum())).astype(np.uint32)
+        kept.add(new, ids, counts)
+        seen |= {int(h): own.tolist() for h, own in zip(new, np.split(ids, np.cumsum(counts)[:-1]), strict=True)}
+    hashes = np.array(list(seen), np.uint64)
+    number = kept.numbers(hashes)
+    assert all(kept.ids[kept.start[n]:kept.start[n] + kept.count[n]].tolist() == seen[int(h)] for h, n in zip(hashes, number, strict=True))
+    assert (kept.numbers(hashes ^ np.uint64(1 << 63)) < 0).all()
