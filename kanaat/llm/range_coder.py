@@ -7,7 +7,7 @@ share of some vector operations.
 The model of a block. Order 2 and order 1: a small table, by the last two ids and by the last one, holds the id that
 came next before and how sure it is. Order 0: how often the frame has each id that neither table foretold, counted
 before coding and listed in the frame's head; ids that are rare are counted by groups of neighbours, inside a group
-they are alike. The mixture P(x) = a [x = order-2 id] + b [x = order-1 id] + c order0(x) drives the coder; a and b are
+they are alike, so places inside groups stand beside the coder's words. The mixture P(x) = a [x = order-2 id] + b [x = order-1 id] + c order0(x) drives the coder; a and b are
 learned while coding, for each degree of sureness and for whether the two ids agree.
 
 The coder is a range variant of asymmetric numerals (rANS): its state is one number a block, a decoded id takes two
@@ -77,8 +77,9 @@ class Mixture:
         """The chances move to what was right in the round, away from 0 and 1; the tables hold ``x``. Where steps of a
         round meet in one place the last counts."""
         n = len(x)
-        context = self.context[:n]
-        for chance, f, hit in ((self.chance1, self.f1[:n], self.hit1[:n]), (self.chance2, self.f2[:n], self.hit2[:n])):
+        # Every second step is enough for the chances.
+        context = self.context[:n:2]
+        for chance, f, hit in ((self.chance1, self.f1[:n:2], self.hit1[:n:2]), (self.chance2, self.f2[:n:2], self.hit2[:n:2])):
             chance[context] = f - (f >> LEARN) + (hit.view(np.int8).astype(np.int32) * (MOST >> LEARN) + 2)
         fresh = x << 4
         e1, e2 = self.e1[:n], self.e2[:n]
@@ -134,6 +135,10 @@ class Order0:
             freq[np.argmax(freq)] += 65536 - int(freq.sum())
         return cls(np.concatenate([common, some << bits]), freq, len(common), bits)
 
+    def kind(self) -> str:
+        """How a place inside a group is written."""
+        return f"<u{1 if self.bits <= 8 else 2 if self.bits <= 16 else 4}"
+
     def entries(self, highest: int) -> np.ndarray:
         """The entry of every id below ``highest``, counted from 1."""
         of_group = np.zeros((highest - 1 >> self.bits) + 1, np.uint16)
@@ -143,24 +148,15 @@ class Order0:
         return entry
 
 
-def encode_lanes(x: np.ndarray, entry: np.ndarray, cum: np.ndarray, freq: np.ndarray, lengths: np.ndarray, order0: Order0) -> tuple[np.ndarray, np.ndarray]:
+def encode_lanes(entry: np.ndarray, cum: np.ndarray, freq: np.ndarray, lengths: np.ndarray, order0: Order0) -> tuple[np.ndarray, np.ndarray]:
     """All lanes' words one after another and how many each has. ``entry`` is 0 where a table foretells the id."""
-    lanes, room = len(lengths), 2 * len(x) + 2
+    lanes, room = len(lengths), len(entry) + 2
     words = np.empty(lanes * room, np.uint32)
     at = np.arange(1, lanes + 1) * room - 1
     state = np.full(lanes, FRESH)
     all_freq, all_cum = np.concatenate([[65536], order0.freq]).astype(np.uint64), np.concatenate([[0], order0.cum]).astype(np.uint64)
-    bits, inside = U(order0.bits), np.int32((1 << order0.bits) - 1)
     for t, k in reversed(list(enumerate(widths(lengths)))):
         s, here, e = state[:k], at[:k], entry[t, :k]
-        wide = np.flatnonzero(e > order0.common)
-        if len(wide):
-            # The place inside a group, after the group when decoded.
-            v = s.take(wide)
-            out = (v >> (U(64) - bits)) > 0
-            words[here.take(wide)] = v.astype(np.uint32)
-            here[wide] -= out
-            s[wide] = (np.where(out, v >> WORD, v) << bits) | ((x[t].take(wide) - 1) & inside).astype(np.uint64)
         f0, f = all_freq.take(e), freq[t, :k].astype(np.uint64)
         high = s >> WORD
         out = np.flatnonzero(high >= f0 * f)
@@ -177,8 +173,9 @@ def encode_lanes(x: np.ndarray, entry: np.ndarray, cum: np.ndarray, freq: np.nda
     return np.concatenate([words[a:b] for a, b in zip((at - 1).tolist(), ends.tolist(), strict=True)]), ends - at + 1
 
 
-def decode_lanes(words: np.ndarray, start: np.ndarray, longest: int, order0: Order0) -> np.ndarray:
-    """Ids, one higher (positions x lanes), of the lanes whose words begin at ``start``; what a shorter one has beyond
+def decode_lanes(words: np.ndarray, start: np.ndarray, inside: np.ndarray, start_inside: np.ndarray, longest: int, order0: Order0) -> np.ndarray:
+    """Ids, one higher (positions x lanes), of the lanes whose words begin at ``start``, and the places inside
+    groups at ``start_inside``; what a shorter one has beyond
     its end means nothing."""
     # Two rows before the first are no ids.
     x = np.zeros((longest + 2, len(start)), np.int32)
@@ -189,7 +186,7 @@ def decode_lanes(words: np.ndarray, start: np.ndarray, longest: int, order0: Ord
     part = ((order0.freq - 1)[of_place] << 16 | (np.arange(65536) - order0.cum[of_place])).astype(np.uint32)
     lowest = (order0.first + 1 << 4)[of_place].astype(np.int32)
     grouped = int(order0.freq[:order0.common].sum())
-    bits, inside = U(order0.bits), U((1 << order0.bits) - 1)
+    next_inside = start_inside.copy()
     for t in range(longest):
         step = t % ROUND
         e1, e2, f1, f2 = model.predict(step, x[t + 1], x[t])
@@ -211,13 +208,9 @@ def decode_lanes(words: np.ndarray, start: np.ndarray, longest: int, order0: Ord
         at[low] = here + 1
         wide = np.flatnonzero((place >= grouped) > hit)
         if len(wide):
-            # The place inside a group comes after the group.
-            v, here = s.take(wide), at.take(wide)
-            got[wide] += (v & inside).astype(np.int32)
-            v >>= bits
-            low = v < FRESH
-            s[wide] = np.where(low, (v << WORD) | words.take(here, mode="clip"), v)
-            at[wide] = here + low
+            here = next_inside.take(wide)
+            got[wide] += inside.take(here, mode="clip")
+            next_inside[wide] = here + 1
         if step == ROUND - 1:
             model.learn(x[t + 3 - ROUND:t + 3])
     return x[2:]
@@ -245,18 +238,22 @@ def encode_frame(ids: np.ndarray, extra: bytes = b"") -> bytes:
         seen += np.bincount(own[~hit] - 1, minlength=highest)
         groups.append((own, length, hit, cum, freq))
     order0 = Order0.counted(seen)
-    entry_of, coded = order0.entries(highest), []
+    entry_of, coded, inside, grouped = order0.entries(highest), [], [], []
     for own, length, hit, cum, freq in groups:
         entry = entry_of.take(own - 1)
         entry[hit] = 0
-        coded.append(encode_lanes(own, entry, cum, freq, length, order0))
+        # Places inside groups are alike and stand beside the coder's words, lane after lane.
+        wide = (entry > order0.common).T
+        inside.append(((own - 1).T[wide] & ((1 << order0.bits) - 1)).astype(order0.kind()))
+        grouped.append(wide.sum(axis=1))
+        coded.append(encode_lanes(entry, cum, freq, length, order0))
     words = np.concatenate([w for w, _ in coded]) if coded else np.zeros(0, np.uint32)
-    n = np.concatenate([c for _, c in coded]) if coded else np.zeros(0, np.int64)
+    n, m = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in ([c for _, c in coded], grouped))
     raw = memoryview(ids.astype("<u4").tobytes())
     checks = np.array([zlib.crc32(raw[4 * block * b:4 * block * (b + 1)]) for b in range(blocks)], "<u4")
     head = struct.pack(HEAD, MAGIC, VERSION, block, blocks, highest, len(ids), len(order0.first), order0.common, order0.bits, len(extra))
-    body = head + extra + order0.first.astype("<u4").tobytes() + (order0.freq - 1).astype("<u2").tobytes() + n.astype("<u4").tobytes() + checks.tobytes()
-    return body + struct.pack("<I", zlib.crc32(body)) + words.astype("<u4").tobytes()
+    body = head + extra + order0.first.astype("<u4").tobytes() + (order0.freq - 1).astype("<u2").tobytes() + n.astype("<u4").tobytes() + m.astype("<u4").tobytes() + checks.tobytes()
+    return body + struct.pack("<I", zlib.crc32(body)) + words.astype("<u4").tobytes() + b"".join(i.tobytes() for i in inside)
 
 
 def frame_head(frame: bytes) -> dict:
@@ -266,7 +263,7 @@ def frame_head(frame: bytes) -> dict:
         raise Checksum("not a frame of this format")
     at = struct.calcsize(HEAD) + extra
     head = {"block": block, "blocks": blocks, "highest": highest, "ids": n, "common": common, "bits": bits, "extra": frame[at - extra:at]}
-    for name, kind, count in (("first", "<u4", entries), ("parts", "<u2", entries), ("words", "<u4", blocks), ("checks", "<u4", blocks)):
+    for name, kind, count in (("first", "<u4", entries), ("parts", "<u2", entries), ("words", "<u4", blocks), ("grouped", "<u4", blocks), ("checks", "<u4", blocks)):
         head[name] = np.frombuffer(frame, kind, count, at)
         at += head[name].nbytes
     if struct.unpack_from("<I", frame, at)[0] != zlib.crc32(frame[:at]):
@@ -287,11 +284,15 @@ def decode_frame(frame: bytes, only: list[int] | None = None) -> np.ndarray:
     order = np.argsort(-lengths[blocks], kind="stable")
     took = blocks[order]
     order0 = Order0(head["first"].astype(np.int64), head["parts"].astype(np.int64) + 1, head["common"], head["bits"])
+    m = head["grouped"].astype(np.int64)
+    start_inside = np.cumsum(m) - m
+    # One more, so that there is a place to read in a frame without groups.
+    inside = np.append(np.frombuffer(frame, order0.kind(), int(m.sum()), head["at"] + 4 * int(n.sum())).astype(np.int32), np.int32(0))
     out = [None] * len(took)
     for a in range(0, len(took), LANES):
         group = took[a:a + LANES]
         # Damaged bytes may give other ids; the checksum then tells.
-        lanes = np.ascontiguousarray((decode_lanes(words, start[group], int(lengths[group].max()), order0) - 1).T).astype("<u4")
+        lanes = np.ascontiguousarray((decode_lanes(words, start[group], inside, start_inside[group], int(lengths[group].max()), order0) - 1).T).astype("<u4")
         for lane, b in enumerate(group):
             ids = lanes[lane, :lengths[b]]
             if zlib.crc32(ids.tobytes()) != head["checks"][b]:
