@@ -33,3 +33,9 @@ def test_only_a_training_without_fallbacks_raises(spark, monkeypatch):
     assert model.path == "default after ArithmeticError"
     with pytest.raises(ArithmeticError):
         training.train_category("Teslimat", corpus(spark), small, fallbacks=False)
+
+
+def test_metrics_are_of_the_searched_ensemble_only(spark, tables, monkeypatch):
+    monkeypatch.setattr(training, "search", failing)
+    with pytest.raises(RuntimeError, match="ArithmeticError: search"):
+        models.trained_categories(spark, tables).collect()
