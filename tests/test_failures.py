@@ -4,6 +4,7 @@ import pytest
 
 from kanaat.operators import training
 from kanaat.plans import models
+from kanaat.sources.models import Trained
 from test_learning import corpus
 
 
@@ -39,3 +40,16 @@ def test_metrics_are_of_the_searched_ensemble_only(spark, tables, monkeypatch):
     monkeypatch.setattr(training, "search", failing)
     with pytest.raises(RuntimeError, match="ArithmeticError: search"):
         models.trained_categories(spark, tables).collect()
+
+
+def test_a_model_that_cannot_be_applied_is_no_zero(spark, tables, monkeypatch):
+    broken = training.CategoryModel("Bozuk", training.SEVEN, None, [])
+    monkeypatch.setattr(models, "trained", lambda *_, **__: Trained([broken], None, None))
+    with pytest.raises(RuntimeError, match="not predicted: Bozuk"):
+        models.predicted_categories(spark, tables).collect()
+
+
+def test_predictions_are_of_the_searched_ensemble_only(spark, tables, monkeypatch):
+    monkeypatch.setattr(training, "search", failing)
+    with pytest.raises(RuntimeError, match="ArithmeticError: search"):
+        models.predicted_categories(spark, tables).collect()
