@@ -119,3 +119,42 @@ def test_one_class_and_no_positive_weight(spark):
     for y in (np.ones(20, int), np.arange(20) % 2):
         trees, = R.grow(as_rows(spark, x, y), [R.Forest(trees=2, rows=None)], 3)
         assert np.allclose(trees.score(x), y.mean()) and len(trees.term) == 2
+
+
+def test_each_share_of_a_piece_is_a_task(spark, monkeypatch):
+    x, y = table()
+    seen, level = [], R._level
+
+    def watched(held, sent, pieces):
+        if not seen:
+            found = held.groupBy(F.spark_partition_id().alias("task")).agg(F.countDistinct("share", "piece").alias("n"), F.count(F.lit(1)).alias("rows"))
+            seen.extend((r.n, r.rows) for r in found.collect())
+        return level(held, sent, pieces)
+
+    monkeypatch.setattr(R, "_level", watched)
+    R.grow(as_rows(spark, x, y), [R.Forest(trees=16, depth=1)], x.shape[1], cores=16)
+    assert seen == [(1, len(y))] * 16
+
+
+@pytest.mark.parametrize("terms_of_a_node", [2, 300])
+def test_terms_looked_up_are_those_walked_through(terms_of_a_node):
+    """Few terms a node are looked up, many are found by walking through the rows' weights; both count the same."""
+    import pyarrow as pa
+
+    x, y = table(terms=300)
+    rng, cuts, width = np.random.default_rng(2), [np.array([0.1, 0.5])] * 300, R.CUTS + 2
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * 300), pa.array(x.ravel()))
+    v = pa.StructArray.from_arrays([pa.array(np.ones(len(x), np.int8)), pa.array([None] * len(x), pa.list_(pa.int32())), lists], ["type", "indices", "values"])
+    ints = [pa.array(a.astype(np.int32)) for a in (y, y)]
+    piece = R.Piece([pa.RecordBatch.from_arrays([pa.array(np.arange(len(x))), *ints, v], ["id", "label", "fold", "v"])], cuts)
+    rows, slot = np.arange(0, len(x), 2), rng.integers(0, 3, len(x))[::2]
+    taken, allowed = rng.integers(1, 4, len(rows)).astype(float), R.allowed_terms(R.Forest(per_node=terms_of_a_node / 300), 0, np.arange(3), 300)
+    entries = R.Entries.of(piece, rows, slot, taken, allowed)
+    expected = {}
+    for row, node, times in zip(rows, slot, taken, strict=True):
+        for term in allowed[node]:
+            if x[row, term] > 0:
+                counts = expected.setdefault((node * 300 + term) * width + int(np.searchsorted(cuts[term], x[row, term])), np.zeros(2))
+                counts[y[row]] += times
+    key, classes = entries.counted(entries.bin, 300)
+    assert key.tolist() == sorted(expected) and all((expected[k] == c).all() for k, c in zip(key.tolist(), classes, strict=True))
